@@ -1,0 +1,31 @@
+"""Column metadata of catalogue and JDBC tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def catalogue_columns(spark: SparkSession, tables: list[str]) -> DataFrame:
+    """``(table, position, column, type)`` rows for the named tables."""
+    rows = [
+        (table, place, column.name, column.dataType)
+        for table in tables
+        for place, column in enumerate(spark.catalog.listColumns(table))
+    ]
+    return spark.createDataFrame(rows, "table string, position int, column string, type string")
+
+
+def jdbc_columns_options(url: str, driver: str, tables: list[str], **credentials: str) -> dict[str, str]:
+    """Options for reading the same rows from a server's information schema."""
+    wanted = ", ".join("'" + t.replace("'", "''") + "'" for t in tables)
+    query = (
+        "select table_name, ordinal_position, column_name, data_type "
+        f"from information_schema.columns where table_name in ({wanted})"
+    )
+    return {"url": url, "driver": driver, "query": query, **credentials}
+
+
+def jdbc_columns(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    raw = spark.read.format("jdbc").options(**options).load()
+    return raw.toDF("table", "position", "column", "type").withColumn("position", F.col("position") - 1)

@@ -1,0 +1,18 @@
+"""Offsets recorded in a streaming checkpoint."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def latest_checkpoint_offset(spark: SparkSession, folder: str) -> DataFrame:
+    """``(batch, offset)`` of the newest batch: the last line of its file."""
+    files = spark.read.option("pathGlobFilter", "[0-9]*").text(folder, wholetext=True)
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
+    lines = F.split(F.rtrim("value"), "\n")
+    batches = files.select(
+        name.alias("_name"), F.trim(F.element_at(lines, -1)).alias("offset")
+    ).where(F.col("_name").rlike("^[0-9]+$"))
+    numbered = batches.select(F.col("_name").cast("bigint").alias("batch"), "offset")
+    return numbered.agg(F.max("batch").alias("batch"), F.max_by("offset", "batch").alias("offset")).where("batch is not null")

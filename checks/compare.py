@@ -24,10 +24,10 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value: object) -> object:
-    if value is None or (isinstance(value, float) and math.isnan(value)) or value is pd.NaT:
+    if value is None or value is pd.NA or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
         return None
     if isinstance(value, float):
-        return round(value, 6) + 0.0
+        return round(value, 10) + 0.0
     return value
 
 

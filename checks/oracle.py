@@ -50,7 +50,7 @@ _TOP = """top AS (
     FROM v a JOIN v b ON a.id <> b.id)
   WHERE rank <= 6)"""
 
-_TOP_OUT = "SELECT base, item, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM top"
+_TOP_OUT = "SELECT base, item, sim, CAST(rank AS INTEGER) AS rank FROM top"
 
 _MEANS = """means AS (
   SELECT label, list(m ORDER BY d) AS c FROM (
@@ -159,28 +159,28 @@ ORACLE: dict[str, str] = {
     "topn_cosine": f"WITH {_VECS}, {_TOP} {_TOP_OUT}",
     "topn_pearson": f"""WITH c AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
         v AS (SELECT id, {_CENTRED.format('x', 'list_avg(x)')} AS e FROM c), {_TOP} {_TOP_OUT}""",
-    "topn_euclidean": f"""WITH {_VECS} SELECT base, item, round(dist, 6) AS dist, CAST(rank AS INTEGER) AS rank FROM (
+    "topn_euclidean": f"""WITH {_VECS} SELECT base, item, round(dist, 10) AS dist, CAST(rank AS INTEGER) AS rank FROM (
         SELECT a.id AS base, b.id AS item, list_distance(a.e, b.e) AS dist, row_number() OVER (
           PARTITION BY a.id ORDER BY round(list_distance(a.e, b.e), 10), b.id) AS rank
         FROM v a JOIN v b ON a.id <> b.id) WHERE rank <= 6""",
     "nearest_euclidean": f"""WITH {_VECS}, q AS (SELECT id, e FROM v WHERE id = (SELECT min(id) FROM v))
-        SELECT v.id AS item, round(list_distance(v.e, q.e), 6) AS dist FROM v JOIN q ON v.id <> q.id
+        SELECT v.id AS item, round(list_distance(v.e, q.e), 10) AS dist FROM v JOIN q ON v.id <> q.id
         ORDER BY round(list_distance(v.e, q.e), 10), v.id LIMIT 6""",
     "nearest_pearson": f"""WITH {_VECS},
         c AS (SELECT id, {_CENTRED.format('e', 'list_avg(e)')} AS e FROM v),
         q AS (SELECT id, e FROM c WHERE id = (SELECT min(id) FROM v))
-        SELECT c.id AS item, round(list_cosine_similarity(c.e, q.e), 6) AS sim FROM c JOIN q ON c.id <> q.id
+        SELECT c.id AS item, round(list_cosine_similarity(c.e, q.e), 10) AS sim FROM c JOIN q ON c.id <> q.id
         ORDER BY round(list_cosine_similarity(c.e, q.e), 10) DESC, c.id LIMIT 6""",
     "topn_encode": f"""WITH {_VECS}, {_TOP}
-        SELECT base, string_agg(format('{{}}:{{:.6f}}', item, sim), ',' ORDER BY rank) AS value FROM top GROUP BY base""",
+        SELECT base, string_agg(format('{{}}:{{:.10f}}', item, sim), ',' ORDER BY rank) AS value FROM top GROUP BY base""",
     "topn_decode": f"WITH {_VECS}, {_TOP} {_TOP_OUT}",
     "cluster_nearest": f"""WITH {_VECS}
-        SELECT label, base, item, round(dist, 6) AS dist, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT label, base, item, round(dist, 10) AS dist, CAST(rank AS INTEGER) AS rank FROM (
           SELECT a.label, a.id AS base, b.id AS item, list_distance(a.e, b.e) AS dist, row_number() OVER (
             PARTITION BY a.id ORDER BY round(list_distance(a.e, b.e), 10), b.id) AS rank
           FROM v a JOIN v b ON a.label = b.label AND a.id <> b.id) WHERE rank <= 3""",
     "nearest_centroid": f"""WITH {_VECS}, {_MEANS}
-        SELECT id AS vec_id, cluster, round(dist, 6) AS distance FROM assigned""",
+        SELECT id AS vec_id, cluster, round(dist, 10) AS distance FROM assigned""",
     "wssse": f"WITH {_VECS}, {_MEANS} SELECT round(sum(dist * dist), 4) AS wssse FROM assigned",
     "cluster_sizes": f"WITH {_VECS}, {_MEANS} SELECT cluster, count(*) AS n_items FROM assigned GROUP BY cluster",
     "feature_vector": """SELECT p_partkey AS schoolid, p_size::DOUBLE AS f0, length(p_type)::DOUBLE AS f1,
@@ -258,7 +258,7 @@ ORACLE: dict[str, str] = {
     "topn_apply_delete": f"""WITH {_CHANGES}, {_VECS}, {_TOP},
         gone AS (SELECT sid FROM changes WHERE type = 'delete'),
         kept AS (
-          SELECT base, string_agg(format('{{}}:{{:.6f}}', item, sim), ',' ORDER BY rank) AS value
+          SELECT base, string_agg(format('{{}}:{{:.10f}}', item, sim), ',' ORDER BY rank) AS value
           FROM top WHERE item NOT IN (SELECT sid FROM gone) GROUP BY base)
         SELECT v.id AS base, coalesce(value, '') AS value FROM v LEFT JOIN kept ON kept.base = v.id
         WHERE v.id NOT IN (SELECT sid FROM gone)""",

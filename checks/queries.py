@@ -16,6 +16,7 @@ from sorrel.operators import als, behaviour, cells, clustering, query_log, range
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.ranking import global_index, neighbour_gaps
 from sorrel.operators.topk import as_lists, as_rows, nearest_to_one, top_matches
+from sorrel.session import materialise
 from sorrel.sources.files import catalogue_table
 from sorrel.sources.streams import parse_changes, resolve_start_offsets
 
@@ -30,7 +31,7 @@ def query(fn: Query) -> Query:
 
 
 def _shown(ranked: DataFrame, score: str = "sim") -> DataFrame:
-    return ranked.select("base", "item", F.round("score", 6).alias(score), F.col("rank").cast("int").alias("rank"))
+    return ranked.select("base", "item", F.col("score").alias(score), F.col("rank").cast("int").alias("rank"))
 
 
 # Locations ---------------------------------------------------------------------
@@ -104,34 +105,35 @@ def _first_id(spark, d):
 @query
 def nearest_euclidean(spark, d):
     found = nearest_to_one(inputs.vectors(spark, d), _first_id(spark, d), 6, "euclidean", ID, VEC)
-    return found.select("item", F.round("score", 6).alias("dist"))
+    return found.select("item", F.round("score", 10).alias("dist"))
 
 
 @query
 def nearest_pearson(spark, d):
     found = nearest_to_one(inputs.vectors(spark, d), _first_id(spark, d), 6, "pearson", ID, VEC)
-    return found.select("item", F.round("score", 6).alias("sim"))
+    return found.select("item", F.round("score", 10).alias("sim"))
 
 
 def _lists(spark, d):
-    return similar_lists.build(inputs.vectors(spark, d), ID, VEC)
+    """The prepared lists, held as a stored table would be."""
+    return materialise(similar_lists.build(inputs.vectors(spark, d), ID, VEC))
 
 
 @query
 def topn_encode(spark, d):
-    return _lists(spark, d).select("base", encode_scored(F.col("entries"), digits=6).alias("value"))
+    return _lists(spark, d).select("base", encode_scored(F.col("entries"), digits=10).alias("value"))
 
 
 @query
 def topn_decode(spark, d):
-    text = _lists(spark, d).select("base", encode_scored(F.col("entries"), digits=6).alias("value"))
+    text = _lists(spark, d).select("base", encode_scored(F.col("entries"), digits=10).alias("value"))
     return _shown(as_rows(text.select("base", decode_scored(F.col("value")).alias("entries"))))
 
 
 @query
 def cluster_nearest(spark, d):
     found = clustering.nearest_in_cluster(inputs.vectors(spark, d), ID, VEC, "label")
-    return found.select("label", "base", "item", F.round("score", 6).alias("dist"), F.col("rank").cast("int").alias("rank"))
+    return found.select(F.col("label").cast("int").alias("label"), "base", "item", F.col("score").alias("dist"), F.col("rank").cast("int").alias("rank"))
 
 
 # Clusters -----------------------------------------------------------------------
@@ -144,7 +146,7 @@ def _assigned(spark, d):
 
 @query
 def nearest_centroid(spark, d):
-    return _assigned(spark, d).select(ID, "cluster", F.round("distance", 6).alias("distance"))
+    return _assigned(spark, d).select(ID, F.col("cluster").cast("int").alias("cluster"), "distance")
 
 
 @query
@@ -154,7 +156,7 @@ def wssse(spark, d):
 
 @query
 def cluster_sizes(spark, d):
-    return clustering.cluster_sizes(_assigned(spark, d))
+    return clustering.cluster_sizes(_assigned(spark, d)).withColumn("cluster", F.col("cluster").cast("int"))
 
 
 @query
@@ -380,14 +382,15 @@ def topn_for_subset(spark, d):
 def topn_apply_add(spark, d):
     added, vectors = _changed(spark, d, "add"), inputs.vectors(spark, d)
     before = vectors.join(added.select(F.col("base").alias(ID)), ID, "left_anti")
-    after = similar_lists.apply_add(similar_lists.build(before, ID, VEC), added, vectors, ID, VEC)
+    lists = materialise(similar_lists.build(before, ID, VEC))
+    after = similar_lists.apply_add(lists, added, vectors, ID, VEC)
     return _shown(as_rows(after))
 
 
 @query
 def topn_apply_delete(spark, d):
     after = similar_lists.apply_delete(_lists(spark, d), _changed(spark, d, "delete"))
-    return after.select("base", encode_scored(F.col("entries"), digits=6).alias("value"))
+    return after.select("base", encode_scored(F.col("entries"), digits=10).alias("value"))
 
 
 @query
@@ -397,7 +400,8 @@ def topn_apply_update(spark, d):
     before = lookup_join(vectors, marks, [ID], [ID], "left").select(
         ID, F.when(F.col("_old"), F.reverse(VEC)).otherwise(F.col(VEC)).alias(VEC)
     )
-    after = similar_lists.apply_update(similar_lists.build(before, ID, VEC), updated, vectors, ID, VEC)
+    lists = materialise(similar_lists.build(before, ID, VEC))
+    after = similar_lists.apply_update(lists, updated, vectors, ID, VEC)
     return _shown(as_rows(after))
 
 

@@ -52,12 +52,18 @@ def pearson(a: Column, b: Column, on_mismatch: str = "error") -> Column:
 
 def adjusted_cosine(a: Column, b: Column, on_mismatch: str = "error") -> Column:
     """Cosine after taking one mean, common to both vectors, off every component."""
-    x, y = as_doubles(a), as_doubles(b)
-    mean = (_total(x) + _total(y)) / (F.size(a) + F.size(b))
-    xs, ys = F.transform(x, lambda v: v - mean), F.transform(y, lambda v: v - mean)
-    value = F.when(F.size(a) == 0, F.lit(NAN)).otherwise(
-        _ratio(dot(xs, ys), F.sqrt(dot(xs, xs)) * F.sqrt(dot(ys, ys)))
-    )
+    mean = (_total(as_doubles(a)) + _total(as_doubles(b))) / (F.size(a) + F.size(b))
+
+    def minus(vec: Column) -> Column:
+        # A one-element transform holds the mean, so that it is not worked out per component.
+        return F.get(F.transform(F.array(mean), lambda m: F.transform(as_doubles(vec), lambda v: v - m)), 0)
+
+    def compare(pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        return _ratio(dot(x, y), F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)))
+
+    shifted = F.array(F.struct(minus(a).alias("x"), minus(b).alias("y")))
+    value = F.when(F.size(a) == 0, F.lit(NAN)).otherwise(F.get(F.transform(shifted, compare), 0))
     return _same_length(a, b, value, on_mismatch)
 
 

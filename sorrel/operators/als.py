@@ -14,7 +14,7 @@ from sorrel.operators.behaviour import rmse, split_bucket, split_name
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.topk import top_matches
 from sorrel.schemas import ALS_ITERATIONS, ALS_LAMBDAS, ALS_RANKS, UNSEEN_PER_USER
-from sorrel.session import ensure_checkpoint_dir
+from sorrel.session import ensure_checkpoint_dir, materialise
 
 SEED = 42
 GRID_THREADS = 4
@@ -94,7 +94,7 @@ def top_unseen(
     Seen pairs are masked where a block of users meets a block of items, so a user
     with a long history costs no longer candidate lists.
     """
-    pairs = seen.select(F.col("user_id").alias("base"), F.col("item_id").alias("item")).distinct()
+    pairs = materialise(seen.select(F.col("user_id").alias("base"), F.col("item_id").alias("item")).distinct())
     users = model.userFactors.join(pairs.select(F.col("base").alias("id")).distinct(), "id", "left_semi")
     items = model.itemFactors.join(catalogue.select(F.col("item_id").alias("id")).distinct(), "id", "left_semi")
     best = top_matches(users, items, n, "dot", "id", "features", exclude_self=False, exclude=pairs)

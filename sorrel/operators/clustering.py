@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sorrel.operators.topk import top_matches
 from sorrel.schemas import KMEANS_ITERATIONS, KMEANS_K, NEAREST_IN_CLUSTER
+from sorrel.session import materialise
 
 SEED = 42
 GRID_THREADS = 3
@@ -70,10 +71,8 @@ def centroids(items: DataFrame, cluster_col: str, vec_col: str) -> DataFrame:
 
 def nearest_centroid(items: DataFrame, id_col: str, vec_col: str, centres: DataFrame, cluster_col: str) -> DataFrame:
     """``(id, cluster, distance)`` with the closest centroid, the lower cluster number on ties."""
-    found = top_matches(
-        items, centres.select(cluster_col, F.col("centroid").alias(vec_col))
-        .withColumnRenamed(cluster_col, id_col), 1, "euclidean", id_col, vec_col, exclude_self=False,
-    )
+    centres = materialise(centres.select(F.col(cluster_col).alias(id_col), F.col("centroid").alias(vec_col)))
+    found = top_matches(items, centres, 1, "euclidean", id_col, vec_col, exclude_self=False)
     return found.select(F.col("base").alias(id_col), F.col("item").alias("cluster"), F.col("score").alias("distance"))
 
 

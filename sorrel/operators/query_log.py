@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sorrel.operators.joins import lookup_join
+
 NAME = r"[A-Za-z_][A-Za-z0-9_]*"
 SOURCE = rf"\b(?:from|join)\s+({NAME}(?:\.{NAME})?)(?:\s+(?:as\s+)?(?!(?:left|right|inner|full|cross|join|on|where|group|order|limit)\b)({NAME}))?"
 KEYWORDS = ("as", "distinct", "case", "when", "then", "else", "end", "and", "or", "not", "null", "is", "in", "like")
@@ -69,7 +71,7 @@ def selected_columns(log: DataFrame, query_id: str, sql: str, catalogue: DataFra
             F.substring_index("_token", ".", -1).alias("_name"),
         )
     )
-    known = sources(log, query_id, sql).join(catalogue.select("table", "column"), "table")
+    known = lookup_join(sources(log, query_id, sql), catalogue.select("table", "column"), ["table"], [query_id])
     match = (F.col("_name") == "*") | (F.col("_name") == F.col("column"))
     owner = F.col("_alias").isNull() | (F.col("_alias") == F.col("alias"))
     return (

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sorrel.operators.joins import lookup_join
+from sorrel.session import materialise
 
 TOP_LEVEL = 16
 ADDRESS_BITS = 32
@@ -83,9 +84,14 @@ def locate(addresses: DataFrame, ranges: DataFrame, ip: str = "ip_num", keep: tu
 
 
 def ip_location(log: DataFrame, ranges: DataFrame, ip: str, salt_on: list[str]) -> DataFrame:
-    """Every log row with its location, null when no range holds the address."""
+    """Every log row with its location, null when no range holds the address.
+
+    Addresses are located once each; the log meets the result in a join salted by
+    ``salt_on``, which must vary within an address.
+    """
     distinct = log.select(ip).where(F.col(ip).isNotNull()).distinct()
-    return lookup_join(log, locate(distinct, ranges, ip), [ip], salt_on, "left")
+    located = materialise(locate(distinct, ranges, ip))
+    return lookup_join(log, located, [ip], salt_on, "left")
 
 
 def location_counts(log: DataFrame, ranges: DataFrame, ip: str, unmatched: bool = False) -> DataFrame:

@@ -19,8 +19,9 @@ from sorrel.functions.similarity import METRICS
 from sorrel.operators.joins import lookup_join
 from sorrel.session import shuffle_partitions
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 16384
 SMALLEST_BLOCK = 256
+SLICE_SCORES = 1 << 22
 DIGITS = 10
 LOWER_IS_BETTER = {"euclidean"}
 _GROUP, _LEFT, _RIGHT = "_group", "_lb", "_rb"
@@ -99,6 +100,16 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero((above | level) & np.isfinite(scores))
 
 
+def _trim(base: np.ndarray, item: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The best ``k`` of the candidates of each base."""
+    order = np.lexsort((item, -value, base))
+    base, item, value = base[order], item[order], value[order]
+    starts = np.flatnonzero(np.r_[True, base[1:] != base[:-1]]) if len(base) else np.empty(0, dtype=int)
+    rank = np.arange(len(base)) - np.repeat(starts, np.diff(np.r_[starts, len(base)]))
+    keep = rank < k
+    return base[keep], item[keep], value[keep]
+
+
 def _pair_kernel(metric: str, k: int, exclude_self: bool, both_ways: bool, schema: pa.Schema):
     def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = left.sort_by("id"), right.sort_by("id")
@@ -106,30 +117,37 @@ def _pair_kernel(metric: str, k: int, exclude_self: bool, both_ways: bool, schem
         left = left.filter(pa.compute.is_null(left.column("other")))
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        scores = np.round(_score(metric, _vectors(left), _vectors(right)), DIGITS)
-        scores[np.isnan(scores)] = -np.inf
-        lid = left.column("id").to_numpy()
-        rid = right.column("id").to_numpy()
-        if exclude_self:
-            scores[lid[:, None] == rid[None, :]] = -np.inf
+        group, lb, rb = (part.as_py() for part in key)
+        a, b = _vectors(left), _vectors(right)
+        lid, rid = left.column("id").to_numpy(), right.column("id").to_numpy()
+        seen_row = seen_col = np.empty(0, dtype=int)
         if seen.num_rows:
             base, item = seen.column("id").to_numpy(), seen.column("other").to_numpy()
             r = np.minimum(np.searchsorted(lid, base), len(lid) - 1)
             c = np.minimum(np.searchsorted(rid, item), len(rid) - 1)
             hit = (lid[r] == base) & (rid[c] == item)
-            scores[r[hit], c[hit]] = -np.inf
-        group, lb, rb = (part.as_py() for part in key)
-        rows, cols = _best(scores, k)
-        base, item, value = lid[rows], rid[cols], scores[rows, cols]
-        if both_ways and lb != rb:
-            cols, rows = _best(np.ascontiguousarray(scores.T), k)
-            base = np.concatenate([base, rid[cols]])
-            item = np.concatenate([item, lid[rows]])
-            value = np.concatenate([value, scores[rows, cols]])
-        return pa.table(
-            [pa.array(np.full(len(base), group, dtype=np.int64)), pa.array(base), pa.array(item), pa.array(value)],
-            schema=schema,
-        )
+            seen_row, seen_col = r[hit], c[hit]
+        forward, backward = [], []
+        step = max(1, SLICE_SCORES // len(rid))
+        for at in range(0, len(lid), step):
+            ids = lid[at : at + step]
+            scores = np.round(_score(metric, a[at : at + step], b), DIGITS)
+            scores[np.isnan(scores)] = -np.inf
+            if exclude_self:
+                scores[ids[:, None] == rid[None, :]] = -np.inf
+            here = (seen_row >= at) & (seen_row < at + step)
+            scores[seen_row[here] - at, seen_col[here]] = -np.inf
+            rows, cols = _best(scores, k)
+            forward.append((ids[rows], rid[cols], scores[rows, cols]))
+            if both_ways and lb != rb:
+                cols, rows = _best(np.ascontiguousarray(scores.T), k)
+                backward.append((rid[cols], ids[rows], scores[rows, cols]))
+        found = [np.concatenate(parts) for parts in zip(*forward)]
+        if backward:
+            other = _trim(*(np.concatenate(parts) for parts in zip(*backward)), k)
+            found = [np.concatenate(parts) for parts in zip(found, other)]
+        groups = np.full(len(found[0]), group, dtype=np.int64)
+        return pa.table([pa.array(x) for x in (groups, *found)], schema=schema)
 
     return compare
 

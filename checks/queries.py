@@ -364,7 +364,7 @@ def realtime_als(spark, d):
 
 def _changed(spark, d, kind):
     events = parse_changes(inputs.change_messages(spark, d))
-    latest = similar_lists.latest_changes(events, "event_id")
+    latest = materialise(similar_lists.latest_changes(events, "event_id"))
     return latest.where(F.col("type") == kind).select(F.col("sid").alias("base"))
 
 

@@ -12,36 +12,32 @@ from pyspark.sql import functions as F
 from sorrel.operators.joins import lookup_join
 
 NAME = r"[A-Za-z_][A-Za-z0-9_]*"
-SOURCE = rf"\b(?:from|join)\s+({NAME}(?:\.{NAME})?)(?:\s+(?:as\s+)?(?!(?:left|right|inner|full|cross|join|on|where|group|order|limit)\b)({NAME}))?"
+_CLAUSES = "left|right|inner|full|cross|join|on|where|group|order|limit"
+SOURCE = rf"(?i)\b(?:from|join)\s+{NAME}(?:\.{NAME})?(?:\s+as\s+{NAME}|\s+(?!(?:{_CLAUSES})\b){NAME})?"
+SIMPLE = r"(?is)^\s*select\s(?!.*\b(?:select|union|intersect|except)\b)"
 KEYWORDS = ("as", "distinct", "case", "when", "then", "else", "end", "and", "or", "not", "null", "is", "in", "like")
 
 
-def _tidy(sql: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(sql, r"\s+", " "), r";\s*$", "")))
-
-
 def supported(sql: Column) -> Column:
     """A single select block: no nested select, set operation or common table expression."""
-    text = _tidy(sql)
-    selects = F.size(F.regexp_extract_all(text, F.lit(r"(\bselect\b)")))
-    return text.startswith("select ") & (selects == 1) & ~text.rlike(r"\b(union|intersect|except)\b")
+    return sql.rlike(SIMPLE)
 
 
 def sources(log: DataFrame, query_id: str, sql: str) -> DataFrame:
     """``(query, database, table, alias)`` for every FROM and JOIN."""
-    text = _tidy(F.col(sql))
-    names = F.regexp_extract_all(text, F.lit(SOURCE), F.lit(1))
-    aliases = F.regexp_extract_all(text, F.lit(SOURCE), F.lit(2))
-    pairs = F.arrays_zip(names.alias("name"), aliases.alias("alias"))
-    exploded = log.select(query_id, F.explode(pairs).alias("_p"))
-    pieces = F.split(F.col("_p.name"), r"\.", 2)
-    qualified = F.size(pieces) == 2
-    table = F.when(qualified, F.get(pieces, 1)).otherwise(F.get(pieces, 0))
-    return exploded.select(
-        query_id,
-        F.when(qualified, F.get(pieces, 0)).alias("database"),
-        table.alias("table"),
-        F.when(F.col("_p.alias") != "", F.col("_p.alias")).otherwise(table).alias("alias"),
+    found = F.regexp_extract_all(F.col(sql), F.lit(SOURCE), F.lit(0))
+    words = F.split(F.lower(F.col("_source")), r"\s+")
+    dotted = F.get(F.col("_words"), 1)
+    table = F.substring_index(dotted, ".", -1)
+    return (
+        log.select(query_id, F.explode(found).alias("_source"))
+        .select(query_id, words.alias("_words"))
+        .select(
+            query_id,
+            F.when(dotted.contains("."), F.substring_index(dotted, ".", 1)).alias("database"),
+            table.alias("table"),
+            F.when(F.size("_words") > 2, F.element_at("_words", -1)).otherwise(table).alias("alias"),
+        )
     )
 
 
@@ -56,9 +52,9 @@ def selected_columns(log: DataFrame, query_id: str, sql: str, catalogue: DataFra
     tables, unqualified names through the catalogue, and ``*`` to all columns. Join
     and filter conditions do not count. Unsupported statements give no rows.
     """
-    head = F.regexp_extract(_tidy(F.col(sql)), r"^select (.*?) from ", 1)
+    head = F.lower(F.regexp_extract(F.col(sql), r"(?is)^\s*select\s+(.*?)\s+from\s", 1))
     unquoted = F.regexp_replace(head, r"'[^']*'", " ")
-    unnamed = F.regexp_replace(unquoted, rf"\bas {NAME}", " ")
+    unnamed = F.regexp_replace(unquoted, rf"\bas\s+{NAME}", " ")
     token = rf"((?:{NAME}\.)?(?:{NAME}\b(?!\s*\(|\.)|\*))"
     tokens = F.array_distinct(F.regexp_extract_all(unnamed, F.lit(token), F.lit(1)))
     items = (

@@ -1,4 +1,4 @@
-"""Locate IPv4 numbers in possibly overlapping ranges.
+"""Locate IPv4 numbers in possibly overlapping ranges; the narrowest range wins.
 
 A range splits into at most 62 aligned blocks of 2^level addresses. A block is
 identified by ``(level, prefix)``, one best range is kept for each, and an address
@@ -32,37 +32,38 @@ def _aligned_blocks(start: Column, end: Column) -> Column:
     return F.filter(F.flatten(F.transform(levels, at_level)), lambda b: b.isNotNull())
 
 
-def range_blocks(ranges: DataFrame) -> DataFrame:
-    """``(start, end, location)`` ranges as unique ``(level, prefix)`` blocks.
+def numbered_ranges(ranges: DataFrame) -> DataFrame:
+    """Unique valid ranges with their ``priority``: narrower first, then lower start.
 
-    Where ranges overlap the narrowest wins, then the lowest start, then the label.
+    Width and start have 32 bits each and share one signed 64-bit number, so the best
+    of several ranges is a plain minimum. Of equal ranges the lowest label stays.
     """
-    best = F.min(F.struct("width", "start", "location")).alias("best")
-
-    def unique(df: DataFrame) -> DataFrame:
-        return df.groupBy("level", "prefix").agg(best).select("level", "prefix", "best.*")
-
     valid = ranges.where("start <= end and start >= 0").select(
         F.col("start").cast("bigint"), F.col("end").cast("bigint"), "location"
     )
-    split = valid.select(
-        (F.col("end") - F.col("start")).alias("width"),
-        "start",
-        "location",
-        F.explode(_aligned_blocks(F.col("start"), F.col("end"))).alias("_b"),
-    ).select("width", "start", "location", "_b.*")
+    width = F.col("end") - F.col("start")
+    return (
+        valid.where(F.col("end") < (1 << ADDRESS_BITS))
+        .groupBy("start", "end")
+        .agg(F.min("location").alias("location"))
+        .withColumn("priority", (width - (1 << 31)) * (1 << 32) + F.col("start"))
+    )
+
+
+def range_blocks(numbered: DataFrame) -> DataFrame:
+    """Unique ``(level, prefix)`` blocks with the best priority that covers each."""
+
+    def unique(df: DataFrame) -> DataFrame:
+        return df.groupBy("level", "prefix").agg(F.min("priority").alias("priority"))
+
+    split = numbered.select("priority", F.explode(_aligned_blocks(F.col("start"), F.col("end"))).alias("_b"))
     wide = F.col("level") > TOP_LEVEL
     factor = F.pow(F.lit(2), F.greatest(F.col("level") - TOP_LEVEL, F.lit(0))).cast("bigint")
-    narrowed = unique(split).select(
+    inside = F.sequence(F.col("prefix") * factor, (F.col("prefix") + 1) * factor - 1)
+    narrowed = unique(split.select("priority", "_b.*")).select(
         F.least("level", F.lit(TOP_LEVEL)).alias("level"),
-        F.explode(
-            F.when(wide, F.sequence(F.col("prefix") * factor, (F.col("prefix") + 1) * factor - 1)).otherwise(
-                F.array("prefix")
-            )
-        ).alias("prefix"),
-        "width",
-        "start",
-        "location",
+        F.explode(F.when(wide, inside).otherwise(F.array("prefix"))).alias("prefix"),
+        "priority",
     )
     return unique(narrowed)
 
@@ -72,15 +73,17 @@ def locate(addresses: DataFrame, ranges: DataFrame, ip: str = "ip_num", keep: tu
 
     ``addresses`` must already be distinct on ``ip``; columns in ``keep`` are carried along.
     """
+    numbered = materialise(numbered_ranges(ranges))
+    blocks = materialise(range_blocks(numbered))
     probes = addresses.select(ip, *keep, F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))).alias("level")).withColumn(
-        "prefix", F.floor(F.col(ip) / F.pow(F.lit(2), F.col("level"))).cast("bigint")
+        "prefix", F.expr(f"shiftright({ip}, level)")
     )
-    hits = lookup_join(probes, range_blocks(ranges), ["level", "prefix"], [ip])
-    return (
-        hits.groupBy(ip)
-        .agg(F.min(F.struct("width", "start", "location")).alias("_best"), *[F.first(c).alias(c) for c in keep])
-        .select(ip, *keep, F.col("_best.location").alias("location"))
+    best = (
+        lookup_join(probes, blocks, ["level", "prefix"], [ip])
+        .groupBy(ip)
+        .agg(F.min("priority").alias("priority"), *[F.max(c).alias(c) for c in keep])
     )
+    return lookup_join(best, numbered.select("priority", "location"), ["priority"], [ip]).select(ip, *keep, "location")
 
 
 def ip_location(log: DataFrame, ranges: DataFrame, ip: str, salt_on: list[str]) -> DataFrame:
@@ -89,14 +92,17 @@ def ip_location(log: DataFrame, ranges: DataFrame, ip: str, salt_on: list[str])
     Addresses are located once each; the log meets the result in a join salted by
     ``salt_on``, which must vary within an address.
     """
-    distinct = log.select(ip).where(F.col(ip).isNotNull()).distinct()
-    located = materialise(locate(distinct, ranges, ip))
+    located = materialise(locate(log.select(ip).distinct(), ranges, ip))
     return lookup_join(log, located, [ip], salt_on, "left")
 
 
 def location_counts(log: DataFrame, ranges: DataFrame, ip: str, unmatched: bool = False) -> DataFrame:
-    """Rows per location; addresses are counted first, so a busy address is one row afterwards."""
-    counted = log.where(F.col(ip).isNotNull()).groupBy(ip).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows per location; addresses are counted first, so a busy address is one row afterwards.
+
+    With ``unmatched``, rows outside all ranges or without a valid address count under a
+    null location.
+    """
+    counted = log.groupBy(ip).agg(F.count(F.lit(1)).alias("_n"))
     located = locate(counted, ranges, ip, keep=("_n",))
     if unmatched:
         located = counted.join(located.drop("_n"), ip, "left")

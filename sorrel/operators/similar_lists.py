@@ -35,6 +35,12 @@ def _vectors_of(ids: DataFrame, catalogue: DataFrame, id_col: str) -> DataFrame:
     return catalogue.join(ids.select(F.col("base").alias(id_col)), id_col, "left_semi")
 
 
+def _known(ids: DataFrame, catalogue: DataFrame, id_col: str) -> DataFrame:
+    """The ids that the catalogue holds, once each; they are used several times."""
+    held = catalogue.select(F.col(id_col).cast("bigint").alias("base"))
+    return materialise(held.join(ids.select("base").distinct(), "base", "left_semi"))
+
+
 def latest_changes(events: DataFrame, sequence: str) -> DataFrame:
     """Last known event per item; other event types are ignored."""
     return (
@@ -62,8 +68,8 @@ def apply_add(
     Added ids that the catalogue does not know have no effect; items without a list
     do not get one.
     """
-    fresh = _vectors_of(added.select("base").distinct(), catalogue, id_col)
-    new_ids = fresh.select(F.col(id_col).cast("bigint").alias("base"))
+    new_ids = _known(added, catalogue, id_col)
+    fresh = _vectors_of(new_ids, catalogue, id_col)
     old = lists.join(new_ids, "base", "left_anti")
     challengers = top_matches(
         _vectors_of(old, catalogue, id_col), fresh, n, "cosine", id_col, vec_col
@@ -83,8 +89,8 @@ def apply_update(
     no worse than its old last entry. Otherwise an unlisted item may have moved up and
     the list is rebuilt from the catalogue.
     """
-    fresh = _vectors_of(updated.select("base").distinct(), catalogue, id_col)
-    ids = materialise(fresh.select(F.col(id_col).cast("bigint").alias("base")))
+    ids = _known(updated, catalogue, id_col)
+    fresh = _vectors_of(ids, catalogue, id_col)
     old = lists.join(ids, "base", "left_anti")
     last = F.element_at("entries", -1)
     limits = old.where(F.size("entries") > 0).select(

@@ -55,9 +55,9 @@ def change_stream(spark: SparkSession, path: str, options: dict[str, str] | None
 
 
 def parse_changes(messages: DataFrame, value: str = "value") -> DataFrame:
-    event = F.from_json(F.col(value), CHANGE_EVENT)
     others = [c for c in messages.columns if c != value]
-    return messages.select(*others, event["type"].alias("type"), event["sid"].alias("sid"))
+    parsed = messages.select(*others, F.from_json(F.col(value), CHANGE_EVENT).alias("_event"))
+    return parsed.select(*others, "_event.type", "_event.sid")
 
 
 def resolve_start_offsets(offsets: DataFrame, reset: str = "largest") -> DataFrame:

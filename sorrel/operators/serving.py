@@ -60,7 +60,7 @@ def live(state: DataFrame, now: Column) -> DataFrame:
 
 def delete(current: DataFrame, keys: DataFrame) -> DataFrame:
     """State without the given ``(namespace, key)`` pairs, all pages of them."""
-    return current.join(keys.select("namespace", "key"), ["namespace", "key"], "left_anti")
+    return current.join(keys.select("namespace", "key").distinct(), ["namespace", "key"], "left_anti")
 
 
 def lookup(state: DataFrame, namespace: str, now: Column) -> DataFrame:

@@ -48,10 +48,21 @@ def behaviour_stream(
     raise ValueError(f"unknown kind of stream: {kind}")
 
 
-def change_stream(spark: SparkSession, path: str, options: dict[str, str] | None = None) -> DataFrame:
-    """Item change events ``(type, sid)`` from arriving JSON files, in file and line order."""
-    raw = spark.readStream.options(**(options or {})).text(path)
-    return parse_changes(raw.where(F.trim("value") != ""))
+def change_stream(
+    spark: SparkSession, kind: str, path: str | None = None, options: dict[str, str] | None = None
+) -> DataFrame:
+    """Item change events as ``(type, sid, sequence)``; ``sequence`` orders them as they arrived."""
+    if kind == "kafka":
+        raw = spark.readStream.format("kafka").options(**(options or {})).load()
+        arrival = F.struct("timestamp", "partition", "offset")
+        text = raw.select(F.col("value").cast("string").alias("value"), arrival.alias("sequence"))
+    elif kind == "files":
+        raw = spark.readStream.options(**(options or {})).text(path)
+        meta = [F.col(f"_metadata.{c}").alias(c) for c in ("file_modification_time", "file_path", "file_block_start")]
+        text = raw.select("value", F.struct(*meta).alias("sequence"))
+    else:
+        raise ValueError(f"unknown kind of stream: {kind}")
+    return parse_changes(text.where(F.trim("value") != ""))
 
 
 def parse_changes(messages: DataFrame, value: str = "value") -> DataFrame:

@@ -51,8 +51,9 @@ def batch_writer(
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        ordered = batch.withColumn("_seq", F.monotonically_increasing_id())
-        changes = latest_changes(ordered, "_seq")
+        # Lines of one file stay in order; across files and partitions the arrival decides.
+        ordered = batch.withColumn("_order", F.struct("sequence", F.monotonically_increasing_id().alias("line")))
+        changes = latest_changes(ordered, "_order")
         earlier = read_changes(spark, lists_path).where(F.col("seq") <= batch_id)
         before = materialise(stored_lists(latest(earlier)))
         after = apply_changes(before, changes, read_catalogue(spark), id_col, vec_col, n)

@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from sorrel.functions.similarity import squared_distance
 from sorrel.operators.topk import top_matches
 from sorrel.schemas import KMEANS_ITERATIONS, KMEANS_K, NEAREST_IN_CLUSTER
 from sorrel.session import materialise
@@ -37,6 +38,14 @@ def assign(model: KMeansModel, items: DataFrame, vec_col: str) -> DataFrame:
     return model.transform(_ml(items, vec_col)).drop("_ml")
 
 
+def model_cost(model: KMeansModel, items: DataFrame, vec_col: str) -> float:
+    """Sum of squared distances to the final centres; training reports those before its last step."""
+    rows = [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]
+    centres = items.sparkSession.createDataFrame(rows, "cluster int, _centre array<double>")
+    placed = assign(model, items, vec_col).join(F.broadcast(centres), "cluster")  # one row per cluster
+    return placed.agg(F.sum(squared_distance(F.col(vec_col), F.col("_centre")))).head()[0] or 0.0
+
+
 def grid_search(
     items: DataFrame, vec_col: str, ks: Sequence[int] = KMEANS_K, iterations: Sequence[int] = KMEANS_ITERATIONS
 ) -> tuple[KMeansModel, DataFrame]:
@@ -46,7 +55,7 @@ def grid_search(
 
     def run(point: tuple[int, int]) -> tuple[KMeansModel, float]:
         model = fit(data, vec_col, *point)
-        return model, model.summary.trainingCost
+        return model, model_cost(model, data, vec_col)
 
     try:
         with ThreadPool(min(GRID_THREADS, len(points))) as pool:

@@ -10,7 +10,7 @@ def latest_checkpoint_offset(spark: SparkSession, folder: str) -> DataFrame:
     """``(batch, offset)`` of the newest batch: the last line of its file."""
     files = spark.read.option("pathGlobFilter", "[0-9]*").text(folder, wholetext=True)
     name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
-    lines = F.split(F.rtrim("value"), "\n")
+    lines = F.split(F.regexp_replace("value", r"\s+$", ""), "\n")
     batches = files.select(
         name.alias("_name"), F.trim(F.element_at(lines, -1)).alias("offset")
     ).where(F.col("_name").rlike("^[0-9]+$"))

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from sorrel.functions.similarity import METRICS
 from sorrel.operators.joins import lookup_join
-from sorrel.session import shuffle_partitions
+from sorrel.session import materialise, shuffle_partitions
 
 BLOCK_ROWS = 16384
 SMALLEST_BLOCK = 256
 SLICE_SCORES = 1 << 22
+PAIRS_PER_CORE = 4
 DIGITS = 10
 LOWER_IS_BETTER = {"euclidean"}
 _GROUP, _LEFT, _RIGHT = "_group", "_lb", "_rb"
@@ -70,34 +71,88 @@ def _centred(m: np.ndarray) -> np.ndarray:
     return centred
 
 
-def _score(metric: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Matrix of scores, higher is better."""
-    if a.shape[1] != b.shape[1]:
-        raise ValueError(f"vectors differ in length: {a.shape[1]} and {b.shape[1]}")
-    if metric == "dot":
-        return a @ b.T
+def _prepared(metric: str, m: np.ndarray) -> np.ndarray:
+    """Vectors whose dot product is the metric; rows without a direction become NaN."""
     if metric == "cosine":
-        return _unit(a) @ _unit(b).T
+        return _unit(m)
     if metric == "pearson":
-        return _unit(_centred(a)) @ _unit(_centred(b)).T
-    if metric == "euclidean":
-        # Differences rather than the expanded square: no cancellation near zero.
-        total = np.zeros((len(a), len(b)))
-        for d in range(a.shape[1]):
-            total += np.square(a[:, d, None] - b[None, :, d])
-        return -np.sqrt(total)
+        return _unit(_centred(m))
+    if metric in ("dot", "euclidean"):
+        return m
     raise ValueError(f"unknown metric: {metric}")
 
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the best ``k`` per row; equal scores go to earlier columns."""
-    k = min(k, scores.shape[1])
+class _Scorer:
+    """Scores of left rows against all right rows, higher is better.
+
+    A matrix product gives every score to within ``margin``. For distances it comes
+    from expanded squares, so the few candidates are worked out again by differences.
+    """
+
+    def __init__(self, metric: str, a: np.ndarray, b: np.ndarray):
+        self.metric, self.a, self.b = metric, a, b
+        self.far = metric == "euclidean"
+        if self.far:
+            self.aa, self.bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+
+    def rough(self, at: int, to: int) -> np.ndarray:
+        product = self.a[at:to] @ self.b.T
+        if not self.far:
+            return product
+        product *= 2
+        product -= self.aa[at:to, None]
+        product -= self.bb[None, :]
+        return product
+
+    def margin(self, kth: np.ndarray) -> np.ndarray | float:
+        if not self.far:
+            return 10.0 ** (1 - DIGITS)
+        size = max(self.aa.max(initial=0.0), self.bb.max(initial=0.0))
+        reach = np.sqrt(np.maximum(-np.where(np.isfinite(kth), kth, 0.0), 0.0))
+        return 4e-15 * self.a.shape[1] * size + (2 * reach + 1e-9) * 10.0 ** (1 - DIGITS)
+
+    def exact(self, rough: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rounded scores of single pairs."""
+        if not self.far:
+            return np.round(rough, DIGITS)
+        out = np.full(len(rough), -np.inf)
+        for at in range(0, len(rough), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            step = self.a[left[part]] - self.b[right[part]]
+            out[part] = -np.round(np.sqrt(np.einsum("ij,ij->i", step, step)), DIGITS)
+        out[~np.isfinite(rough)] = -np.inf
+        return out
+
+
+def _first_level(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best ``k`` places per row of rounded scores; equal scores go to earlier columns."""
     kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
     above = scores > kth
     level = scores == kth
     room = k - above.sum(axis=1, keepdims=True)
     level &= np.cumsum(level, axis=1, dtype=np.int32) <= room
-    return np.nonzero((above | level) & np.isfinite(scores))
+    return np.nonzero(above | level)
+
+
+def _best(scores: np.ndarray, k: int, scorer: _Scorer, exact) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and exact scores that hold the best ``k`` per row, perhaps with a few more.
+
+    Usually only the scores down to a little below the k-th need to be exact. Where
+    many are that close, as among copies, all of them are worked out.
+    """
+    width = scores.shape[1]
+    k = min(k, width)
+    kth = np.partition(scores, width - k, axis=1)[:, width - k, None]
+    rows, cols = np.nonzero(scores >= kth - scorer.margin(kth))
+    if len(rows) <= 4 * k * len(scores):
+        values = exact(scores[rows, cols], rows, cols)
+    else:
+        rows, cols = (x.ravel() for x in np.indices(scores.shape, dtype=np.int32))
+        whole = exact(scores.ravel(), rows, cols).reshape(scores.shape)
+        rows, cols = _first_level(whole, k)
+        values = whole[rows, cols]
+    real = np.isfinite(values)
+    return rows[real], cols[real], values[real]
 
 
 def _trim(base: np.ndarray, item: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
@@ -118,7 +173,9 @@ def _pair_kernel(metric: str, k: int, exclude_self: bool, both_ways: bool, schem
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         group, lb, rb = (part.as_py() for part in key)
-        a, b = _vectors(left), _vectors(right)
+        a, b = _prepared(metric, _vectors(left)), _prepared(metric, _vectors(right))
+        if a.shape[1] != b.shape[1]:
+            raise ValueError(f"vectors differ in length: {a.shape[1]} and {b.shape[1]}")
         lid, rid = left.column("id").to_numpy(), right.column("id").to_numpy()
         seen_row = seen_col = np.empty(0, dtype=int)
         if seen.num_rows:
@@ -127,25 +184,30 @@ def _pair_kernel(metric: str, k: int, exclude_self: bool, both_ways: bool, schem
             c = np.minimum(np.searchsorted(rid, item), len(rid) - 1)
             hit = (lid[r] == base) & (rid[c] == item)
             seen_row, seen_col = r[hit], c[hit]
+        bad_row, bad_col = ~np.isfinite(a).all(axis=1), ~np.isfinite(b).all(axis=1)
+        own = np.searchsorted(rid, lid) if exclude_self else None
+        scorer = _Scorer(metric, a, b)
         forward, backward = [], []
         step = max(1, SLICE_SCORES // len(rid))
         for at in range(0, len(lid), step):
             ids = lid[at : at + step]
-            scores = np.round(_score(metric, a[at : at + step], b), DIGITS)
-            scores[np.isnan(scores)] = -np.inf
+            scores = scorer.rough(at, at + step)
+            scores[bad_row[at : at + step]] = -np.inf
+            scores[:, bad_col] = -np.inf
             if exclude_self:
-                scores[ids[:, None] == rid[None, :]] = -np.inf
+                place = np.minimum(own[at : at + step], len(rid) - 1)
+                same = np.flatnonzero(rid[place] == ids)
+                scores[same, place[same]] = -np.inf
             here = (seen_row >= at) & (seen_row < at + step)
             scores[seen_row[here] - at, seen_col[here]] = -np.inf
-            rows, cols = _best(scores, k)
-            forward.append((ids[rows], rid[cols], scores[rows, cols]))
+            rows, cols, values = _best(scores, k, scorer, lambda s, r, c: scorer.exact(s, r + at, c))
+            forward.append((ids[rows], rid[cols], values))
             if both_ways and lb != rb:
-                cols, rows = _best(np.ascontiguousarray(scores.T), k)
-                backward.append((rid[cols], ids[rows], scores[rows, cols]))
-        found = [np.concatenate(parts) for parts in zip(*forward)]
-        if backward:
-            other = _trim(*(np.concatenate(parts) for parts in zip(*backward)), k)
-            found = [np.concatenate(parts) for parts in zip(found, other)]
+                turned = np.ascontiguousarray(scores.T)
+                cols, rows, values = _best(turned, k, scorer, lambda s, c, r: scorer.exact(s, r + at, c))
+                backward.append((rid[cols], ids[rows], values))
+        sides = [_trim(*(np.concatenate(parts) for parts in zip(*side)), k) for side in (forward, backward) if side]
+        found = [np.concatenate(parts) for parts in zip(*sides)]
         groups = np.full(len(found[0]), group, dtype=np.int64)
         return pa.table([pa.array(x) for x in (groups, *found)], schema=schema)
 
@@ -155,7 +217,7 @@ def _pair_kernel(metric: str, k: int, exclude_self: bool, both_ways: bool, schem
 def _blocks(rows: int, parallelism: int) -> int:
     """Blocks for ``rows`` vectors: bounded in size, and enough pairs to keep tasks busy."""
     by_size = math.ceil(rows / BLOCK_ROWS)
-    by_work = min(math.ceil(rows / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * parallelism)))
+    by_work = min(math.ceil(rows / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * PAIRS_PER_CORE * parallelism)))
     return max(1, by_size, by_work)
 
 
@@ -247,21 +309,25 @@ def top_matches(
 
 
 def _grouped_blocks(left: DataFrame, right: DataFrame, self_join: bool) -> tuple[DataFrame, DataFrame, int]:
-    def sized(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(_GROUP).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias(name))
+    """Attaches the number of blocks per group; groups are cut alike, by the total work."""
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(_GROUP).agg(F.count(F.lit(1)).alias(name))
 
     if self_join:
-        sizes = sized(left, "_nl").withColumn("_nr", F.col("_nl"))
-        work = F.col("_nl") * (F.col("_nl") + 1) / 2
+        counts = counted(left, "_cl").withColumn("_cr", F.col("_cl"))
     else:
-        sizes = sized(left, "_nl").join(sized(right, "_nr"), _GROUP)
-        work = F.col("_nl") * F.col("_nr")
-    pairs = sizes.agg(F.sum(work.cast("bigint"))).head()[0] or 1
-    return (
-        lookup_join(left, sizes, [_GROUP], ["id"]),
-        lookup_join(right, sizes, [_GROUP], ["id"]),
-        int(pairs),
+        counts = counted(left, "_cl").join(counted(right, "_cr"), _GROUP)
+    counts = materialise(counts)
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    work = counts.agg(F.sum(F.col("_cl").cast("double") * F.col("_cr"))).head()[0] or 0.0
+    edge = int(min(BLOCK_ROWS, max(SMALLEST_BLOCK, math.sqrt(work / (PAIRS_PER_CORE * cores)))))
+    sizes = counts.select(
+        _GROUP, F.ceil(F.col("_cl") / edge).cast("int").alias("_nl"), F.ceil(F.col("_cr") / edge).cast("int").alias("_nr")
     )
+    per_group = F.col("_nl").cast("bigint") * (F.col("_nl") + 1) / 2 if self_join else F.col("_nl").cast("bigint") * F.col("_nr")
+    pairs = int(sizes.agg(F.sum(per_group)).head()[0] or 1)
+    return lookup_join(left, sizes, [_GROUP], ["id"]), lookup_join(right, sizes, [_GROUP], ["id"]), pairs
 
 
 def keep_best(found: DataFrame, k: int) -> DataFrame:

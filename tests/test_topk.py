@@ -44,6 +44,7 @@ def found(df):
 @pytest.fixture()
 def small_blocks(monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(topk, "SMALLEST_BLOCK", 10)
     monkeypatch.setattr(topk, "SLICE_SCORES", 64)
 
 
@@ -57,6 +58,16 @@ def data(n, dim=5, seed=1):
     return rows
 
 
+@pytest.mark.parametrize("scale", [1e-6, 1.0, 1e6])
+def test_distances_between_close_points_far_from_the_origin(spark, small_blocks, scale):
+    rng = np.random.default_rng(8)
+    rows = {i: [float(v) for v in scale * (1000 + 1e-4 * rng.normal(size=6))] for i in range(60)}
+    for twin in range(40, 60):
+        rows[twin] = list(rows[5])
+    df = spark.createDataFrame(list(rows.items()), SCHEMA)
+    assert found(top_matches(df, None, 4, "euclidean", "id", "vec")) == brute(rows, rows, 4, "euclidean")
+
+
 @pytest.mark.parametrize("metric", ["cosine", "pearson", "euclidean", "dot"])
 def test_self_comparison(spark, small_blocks, metric):
     rows = data(90)

@@ -23,6 +23,7 @@ BLOCK_ROWS = 16384
 SMALLEST_BLOCK = 256
 SLICE_SCORES = 1 << 22
 PAIRS_PER_CORE = 4
+EXCLUDED_PER_PAIR = 1 << 22
 DIGITS = 10
 LOWER_IS_BETTER = {"euclidean"}
 _GROUP, _LEFT, _RIGHT = "_group", "_lb", "_rb"
@@ -242,6 +243,8 @@ def top_matches(
     spark = base.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
     self_join = items is None
+    if exclude is not None and (group_col or self_join):
+        raise ValueError("exclude needs an ungrouped comparison with items")
 
     def shaped(df: DataFrame) -> DataFrame:
         group = F.col(group_col).cast("bigint") if group_col else F.lit(0).cast("bigint")
@@ -259,6 +262,9 @@ def top_matches(
         n_right = n_left if self_join else right.count()
         nl = _blocks(n_left, parallelism)
         nr = nl if self_join else _blocks(n_right, parallelism)
+        if exclude is not None:
+            crowd = math.sqrt(exclude.count() / (EXCLUDED_PER_PAIR * nl * nr))
+            nl, nr = (math.ceil(n * max(1.0, crowd)) for n in (nl, nr))
         pairs = nl * (nl + 1) // 2 if self_join else nl * nr
         sizes = [F.lit(nl).alias("_nl"), F.lit(nr).alias("_nr")]
         left, right = left.select("*", *sizes), right.select("*", *sizes)
@@ -278,8 +284,6 @@ def top_matches(
     left = left.select(*columns, F.lit(None).cast("bigint").alias("other"))
     right = right.select(*columns)
     if exclude is not None:
-        if group_col or self_join:
-            raise ValueError("exclude needs an ungrouped comparison with items")
         left = left.unionByName(
             exclude.select(
                 F.lit(0).cast("bigint").alias(_GROUP),

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sorrel.operators.joins import at_most
 from sorrel.operators.serving import COLUMNS, latest, live
+from sorrel.session import materialise, shuffle_partitions
 
+IN_LIST_KEYS = 1000
 LAYOUT = (
     "namespace string, key string, page bigint, value string, expires_at timestamp, "
     "deleted boolean, written_at timestamp, seq bigint"
@@ -29,10 +32,29 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{LAYOUT}, batch_id bigint").parquet(path).select(*COLUMNS)
 
 
+def changes_of(changes: DataFrame, namespace: str, keys: DataFrame) -> DataFrame:
+    """The changes of some keys of a namespace, for looking up what one batch needs.
+
+    Few keys become an IN filter, which skips the parts of sorted files that hold none
+    of them; many keys are joined.
+    """
+    wanted = changes.where(F.col("namespace") == namespace)
+    keys = keys.select("key").where(F.col("key").isNotNull()).distinct().persist()
+    try:
+        if at_most(keys, IN_LIST_KEYS):
+            return wanted.where(F.col("key").isin([r["key"] for r in keys.collect()]))
+        return wanted.join(keys, "key", "left_semi").select(*COLUMNS)
+    finally:
+        keys.unpersist()
+
+
 def read_live(spark: SparkSession, path: str, now: Column) -> DataFrame:
     return live(latest(read_changes(spark, path)), now)
 
 
 def compact(spark: SparkSession, path: str, target: str, now: Column) -> None:
-    """Writes the live state to a new folder; readers move to it when it is complete."""
-    append_batch(read_live(spark, path, now), target, 0)
+    """Writes the live state to a new folder, in key order; readers move to it when it is complete."""
+    order = ["namespace", "key", "page"]
+    state = materialise(read_live(spark, path, now))
+    parts = shuffle_partitions(spark)
+    append_batch(state.repartitionByRange(parts, *order).sortWithinPartitions(*order), target, 0)

@@ -13,24 +13,30 @@ from sorrel.operators.behaviour import accepted, parse_messages, rejected, score
 from sorrel.operators.realtime import content_recommendations, prepared_recommendations
 from sorrel.operators.serving import latest, lookup, paged_ids, with_ttl
 from sorrel.schemas import OFFLINE_ALS, OFFLINE_CB, ONLINE_ALS, ONLINE_CB, STREAM_SECONDS_DIRECT, STREAM_WEIGHTS
-from sorrel.sinks.serving import append_batch, read_changes
+from sorrel.sinks.serving import append_batch, changes_of, read_changes
 
 
 def recommend(
-    scores: DataFrame, state: DataFrame, batch_id: int, default_list: str | None = None, limit: int | None = None
+    scores: DataFrame, log: DataFrame, batch_id: int, default_list: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Changes to the serving table for one batch of scores.
 
-    ``state`` is the serving table with the prepared lists. Scores of earlier batches
-    are not added in: a batch stands for itself.
+    ``log`` is the change log of the prepared lists; only the keys of the batch are
+    looked up in it. Scores of earlier batches are not added in: a batch stands for
+    itself.
     """
     now = F.current_timestamp()
-    similar = lookup(state, OFFLINE_CB, now).select(
+
+    def stored(namespace: str, key: str) -> DataFrame:
+        keys = scores.select(F.col(key).cast("string").alias("key"))
+        return lookup(latest(changes_of(log, namespace, keys)), namespace, now)
+
+    similar = stored(OFFLINE_CB, "item_id").select(
         F.col("key").cast("bigint").alias("base"), decode_scored(F.col("value")).alias("entries")
     )
     ranked = content_recommendations(scores, similar, limit)
     content = paged_ids(ranked.withColumn("key", F.col("user_id").cast("string")), "key", "item", "rank")
-    prepared = prepared_recommendations(scores, lookup(state, OFFLINE_ALS, now), default_list)
+    prepared = prepared_recommendations(scores, stored(OFFLINE_ALS, "user_id"), default_list)
     stamp, seq = F.current_timestamp(), F.lit(batch_id)
 
     def change(df: DataFrame, namespace: str) -> DataFrame:
@@ -56,8 +62,8 @@ def batch_writer(
         parsed = parse_messages(batch).persist()
         scores = score(accepted(parsed), weights).persist()
         try:
-            state = latest(read_changes(spark, lists_path))
-            append_batch(recommend(scores, state, batch_id, default_list, limit), online_path, batch_id)
+            log = read_changes(spark, lists_path)
+            append_batch(recommend(scores, log, batch_id, default_list, limit), online_path, batch_id)
             if rejects_path:
                 rows = rejected(parsed).withColumn("batch_id", F.lit(batch_id))
                 (

@@ -70,3 +70,29 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert view(serving.latest(sink.read_changes(spark, path))) == {"a": "2", "b": "9"}
     sink.compact(spark, path, str(tmp_path / "kv2"), at("2024-06-01 00:00:00"))
     assert {r["key"]: r["value"] for r in sink.read_changes(spark, str(tmp_path / "kv2")).collect()} == {"a": "2", "b": "9"}
+
+
+def test_changes_of_some_keys(spark, monkeypatch, capsys, tmp_path):
+    path = str(tmp_path / "kv")
+    sink.append_batch(writes(spark, [(str(i), "v", 1, 1) for i in range(100)]), path, 0)
+    keys = spark.createDataFrame([("5",), ("7",), ("7",), ("500",), (None,)], "key string")
+    for bound in (1000, 1):
+        monkeypatch.setattr(sink, "IN_LIST_KEYS", bound)
+        some = sink.changes_of(sink.read_changes(spark, path), "ns", keys)
+        assert sorted(r["key"] for r in some.collect()) == ["5", "7"]
+        assert sink.changes_of(sink.read_changes(spark, path), "other", keys).count() == 0
+    monkeypatch.setattr(sink, "IN_LIST_KEYS", 1000)
+    sink.changes_of(sink.read_changes(spark, path), "ns", keys).explain()
+    assert "In(key" in capsys.readouterr().out.split("PushedFilters")[1]
+
+
+def test_compacted_files_are_in_key_order(spark, tmp_path):
+    path, target = str(tmp_path / "kv"), tmp_path / "kv2"
+    sink.append_batch(writes(spark, [(str(i * 7919 % 1000), "v", 1, 1) for i in range(1000)]), path, 3)
+    sink.compact(spark, path, str(target), at("2024-06-01 00:00:00"))
+    total = 0
+    for file in target.glob("batch_id=0/*.parquet"):
+        keys = [r["key"] for r in spark.read.parquet(str(file)).collect()]
+        assert keys == sorted(keys)
+        total += len(keys)
+    assert total == 1000

@@ -23,17 +23,20 @@ def supported(sql: Column) -> Column:
     return sql.rlike(SIMPLE)
 
 
-def sources(log: DataFrame, query_id: str, sql: str) -> DataFrame:
-    """``(query, database, table, alias)`` for every FROM and JOIN."""
+def sources(log: DataFrame, query_id: str, sql: str, *keep: str) -> DataFrame:
+    """``(query, database, table, alias)`` for every FROM and JOIN, with the columns in ``keep``."""
     found = F.regexp_extract_all(F.col(sql), F.lit(SOURCE), F.lit(0))
     words = F.split(F.lower(F.col("_source")), r"\s+")
     dotted = F.get(F.col("_words"), 1)
     table = F.substring_index(dotted, ".", -1)
     return (
-        log.select(query_id, F.explode(found).alias("_source"))
-        .select(query_id, words.alias("_words"))
+        # The outer form keeps the optimizer from testing the patterns again in a filter.
+        log.select(query_id, *keep, F.explode_outer(found).alias("_source"))
+        .where(F.col("_source").isNotNull())
+        .select(query_id, *keep, words.alias("_words"))
         .select(
             query_id,
+            *keep,
             F.when(dotted.contains("."), F.substring_index(dotted, ".", 1)).alias("database"),
             table.alias("table"),
             F.when(F.size("_words") > 2, F.element_at("_words", -1)).otherwise(table).alias("alias"),
@@ -57,25 +60,17 @@ def selected_columns(log: DataFrame, query_id: str, sql: str, catalogue: DataFra
     unnamed = F.regexp_replace(unquoted, rf"\bas\s+{NAME}", " ")
     token = rf"((?:{NAME}\.)?(?:{NAME}\b(?!\s*\(|\.)|\*))"
     tokens = F.array_distinct(F.regexp_extract_all(unnamed, F.lit(token), F.lit(1)))
-    items = (
-        log.where(supported(F.col(sql)))
-        .select(query_id, F.explode(tokens).alias("_token"))
-        .where(~F.col("_token").isin(*KEYWORDS))
-        .select(
-            query_id,
-            F.when(F.col("_token").contains("."), F.substring_index("_token", ".", 1)).alias("_alias"),
-            F.substring_index("_token", ".", -1).alias("_name"),
-        )
-    )
-    known = lookup_join(sources(log, query_id, sql), catalogue.select("table", "column"), ["table"], [query_id])
-    match = (F.col("_name") == "*") | (F.col("_name") == F.col("column"))
-    owner = F.col("_alias").isNull() | (F.col("_alias") == F.col("alias"))
-    return (
-        items.join(known, query_id)
-        .where(match & owner)
-        .select(query_id, "table", "column")
-        .distinct()
+    chosen = log.where(supported(F.col(sql))).select(query_id, sql, tokens.alias("_tokens"))
+    # The statement's tokens travel with its tables, so that no join by statement is needed.
+    unqualified = ~F.col("_token").contains(".") & ~F.col("_token").isin(*KEYWORDS)
+    picks = (
+        sources(chosen, query_id, sql, "_tokens")
+        .select(query_id, "table", "alias", F.explode_outer("_tokens").alias("_token"))
+        .where(unqualified | (F.substring_index("_token", ".", 1) == F.col("alias")))
+        .select(query_id, "table", F.substring_index("_token", ".", -1).alias("_name"))
     )
+    named = catalogue.select("table", "column", F.explode(F.array("column", F.lit("*"))).alias("_name"))
+    return lookup_join(picks, named, ["table", "_name"], [query_id]).select(query_id, "table", "column").distinct()
 
 
 def ddl(columns: DataFrame, table: str = "table", position: str = "position",

@@ -19,23 +19,24 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     Trailing commas do not count as fields. Rows that cannot be used keep their
     reason instead of failing the job.
     """
-    trimmed = F.trim(F.col(value))
-    fields = F.split(F.regexp_replace(trimmed, ",+$", ""), ",")
+    # The fields are their own step, so that they are split once for all columns.
+    fielded = messages.withColumn("_fields", F.split(F.rtrim(F.trim(F.col(value)), F.lit(",")), ","))
+    fields = F.col("_fields")
     user, item = (F.trim(F.get(fields, i)).try_cast("int") for i in (0, 2))
     reason = (
-        F.when(F.coalesce(trimmed, F.lit("")) == "", "blank")
+        F.when(F.coalesce(F.trim(F.col(value)), F.lit("")) == "", "blank")
         .when(F.size(fields) != 3, "arity")
         .when(user.isNull() | item.isNull(), "number")
     )
     good = reason.isNull()
-    return messages.withColumns(
+    return fielded.withColumns(
         {
             "user_id": F.when(good, user),
             "operation": F.when(good, F.trim(F.get(fields, 1))),
             "item_id": F.when(good, item),
             "reject_reason": reason,
         }
-    )
+    ).drop("_fields")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -18,7 +18,8 @@ def content_candidates(scores: DataFrame, lists: DataFrame) -> DataFrame:
     keyed = scores.select("user_id", F.col("item_id").cast("bigint").alias("base"), "score")
     offered = lookup_join(keyed, lists.select("base", "entries"), ["base"], ["user_id"])
     return (
-        offered.select("user_id", "score", F.explode("entries").alias("_e"))
+        offered.select("user_id", "score", F.explode_outer("entries").alias("_e"))
+        .where(F.col("_e").isNotNull())
         .select("user_id", F.col("_e.item").alias("item"), (F.col("_e.sim") * F.col("score")).alias("weight"))
         .groupBy("user_id", "item")
         .agg(F.max("weight").alias("weight"))

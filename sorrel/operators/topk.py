@@ -354,7 +354,8 @@ def as_lists(bases: DataFrame, ranked: DataFrame) -> DataFrame:
 
 def as_rows(lists: DataFrame) -> DataFrame:
     """Lists back to ``(base, item, score, rank)`` rows."""
-    return lists.select("base", F.posexplode("entries").alias("_pos", "_entry")).select(
+    entries = lists.select("base", F.posexplode_outer("entries").alias("_pos", "_entry"))
+    return entries.where(F.col("_entry").isNotNull()).select(
         "base",
         F.col("_entry.item").alias("item"),
         F.col("_entry.sim").alias("score"),

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sorrel.llm import exact_dedup, mixing, packing, url_filter
-from sorrel.llm.common import table
+from sorrel.llm import exact_dedup, language_id, mixing, packing, topk, toxicity, url_filter
+from sorrel.llm.common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +92,36 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
   doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window same as (partition by coalesce(text, ''))
 """
+
+
+@query
+def op1_language_id(spark, d):
+    return language_id.identify(table(spark, d, "documents"))
+
+
+@query
+def op7_toxicity(spark, d):
+    judged = toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+    return judged.select(
+        "_doc.doc_id", (crc_bucket(F.col("_doc.doc_id"), 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
+@query
+def op10_topk_search(spark, d):
+    return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op10_topk_search"] = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+  from whole q join whole c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v)
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""

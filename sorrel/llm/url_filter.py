@@ -33,58 +33,47 @@ RULES = (
 )
 
 
-class Node:
-    """A trie node: labels or segments below, the path trie of a host, and rules that end here."""
+#: A trie node in plain values, which tasks can read without importing this module: labels or
+#: segments below; the path trie of a host; and the rules that end here by their last,
+#: unfinished path segment, where "" fits any rest.
+Node = dict
 
-    __slots__ = ("ends", "next", "paths")
 
-    def __init__(self) -> None:
-        self.next: dict[str, Node] = {}
-        self.paths: Node | None = None
-        #: Last, unfinished path segment of a rule -> (rule, verdict); "" fits any rest.
-        self.ends: dict[str, tuple[str, str]] = {}
-
-    def __reduce__(self):
-        return _node, (self.next, self.paths, self.ends)
-
-
-def _node(below: dict, paths: Node | None, ends: dict) -> Node:
-    node = Node()
-    node.next, node.paths, node.ends = below, paths, ends
-    return node
+def _node() -> Node:
+    return {"next": {}, "paths": None, "ends": {}}
 
 
 def build_trie(rules: Iterable[Rule]) -> Node:
     """Of rules with equal host and path a block wins over an allow."""
-    root = Node()
+    root = _node()
     for host, path, verdict in rules:
         if verdict not in ("allow", "block"):
             raise ValueError(f"unknown verdict {verdict}")
         node = root
         for label in reversed(host.translate(str.maketrans(UPPER, LOWER)).split(".")):
-            node = node.next.setdefault(label, Node())
-        if node.paths is None:
-            node.paths = Node()
-        node = node.paths
+            node = node["next"].setdefault(label, _node())
+        if node["paths"] is None:
+            node["paths"] = _node()
+        node = node["paths"]
         *segments, rest = path.split("/")
         for segment in segments:
-            node = node.next.setdefault(segment, Node())
-        if node.ends.get(rest, ("", ""))[1] != "block":
-            node.ends[rest] = (host + path, verdict)
+            node = node["next"].setdefault(segment, _node())
+        if node["ends"].get(rest, ("", ""))[1] != "block":
+            node["ends"][rest] = (host + path, verdict)
     return root
 
 
 def _longest_path(node: Node, path: str) -> tuple[str, str] | None:
     found, segments = None, path.split("/")
     for at in range(len(segments)):
-        if node.ends:
+        if node["ends"]:
             # An unfinished segment must begin what is left; the longest such one wins here.
             left = segments[at]
             for stop in range(len(left), -1, -1):
-                if left[:stop] in node.ends:
-                    found = node.ends[left[:stop]]
+                if left[:stop] in node["ends"]:
+                    found = node["ends"][left[:stop]]
                     break
-        below = node.next.get(segments[at]) if at + 1 < len(segments) else None
+        below = node["next"].get(segments[at]) if at + 1 < len(segments) else None
         if below is None:
             return found
         node = below
@@ -95,11 +84,11 @@ def match(trie: Node, host: str, path: str) -> tuple[str, str] | None:
     """``(rule, verdict)`` of the longest rule that fits."""
     found, node = None, trie
     for label in reversed(host.split(".")):
-        node = node.next.get(label)
+        node = node["next"].get(label)
         if node is None:
             return found
-        if node.paths is not None:
-            found = _longest_path(node.paths, path) or found
+        if node["paths"] is not None:
+            found = _longest_path(node["paths"], path) or found
     return found
 
 

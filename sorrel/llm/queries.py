@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorrel.llm import exact_dedup, language_id, mixing, near_dedup, packing, topk, toxicity, url_filter
+from sorrel.llm import (
+    exact_dedup, language_id, mixing, near_dedup, packing, substring_dedup, suffix_dedup, topk, toxicity, url_filter,
+)
 from sorrel.llm.common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +132,13 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 @query
 def op9_minhash_near_dedup(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"), shingle=2, percent=80)
+
+
+@query
+def op2_substring_dedup(spark, d):
+    return substring_dedup.remove_repeated_windows(table(spark, d, "documents"))
+
+
+@query
+def op6_suffix_dedup(spark, d):
+    return suffix_dedup.remove_repeated_bytes(table(spark, d, "documents"))

@@ -11,19 +11,27 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import sorrel
-from sorrel.llm import exact_dedup, mixing, packing
+from sorrel.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from sorrel.llm.common import stored, table
 
 # Ships the package's functions with the tasks, so that executors need no install.
 cloudpickle.register_pickle_by_value(sorrel)
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def drop_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_equal_texts(docs)
 
 
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).drop("copy", "n_copies")
+    return mixing.replicate(docs).select("_doc.*")
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +39,11 @@ def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", reject_toxic),
     ("exact dedup", drop_equal),
-    ("mixing", mix_sources),
-    ("packing", pack_bins),
+    ("MinHash near-dedup", drop_near),
+    ("mixing sources", mix_sources),
+    ("best-fit packing", pack_bins),
 ]
 
 #: The classifier and the signatures have no SQL form.

@@ -66,17 +66,16 @@ def source_rates(docs: DataFrame, size: Column, weights: Mapping[str, float] | N
     )
 
 
-def mix(
+def replicate(
     docs: DataFrame, weights: Mapping[str, float] | None = None, size: Column | None = None, seed: str = SEED
 ) -> DataFrame:
-    """``docs`` repeated by source and shuffled, with ``copy`` (from 0) and ``n_copies``.
+    """``(_doc, copy, n_copies)``: the rows of ``docs`` as structs, repeated by source and shuffled.
 
     ``size`` measures a document, by default characters of its text with 1 at least. Rows
     with the same id and source are repeated equally often; a null id counts as the text
-    ``null``. Columns of ``docs`` named ``copy`` or ``n_copies`` give way.
+    ``null``. An empty table gives an empty result.
     """
     size = F.coalesce(F.length("text"), F.lit(0)).cast("long") if size is None else size
-    docs = docs.drop("copy", "n_copies")
     source = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
     rates = source_rates(docs, size, weights).select(source.alias("_source"), "copies", "cdf")
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
@@ -90,4 +89,9 @@ def mix(
     order = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), "_id", "copy"))
     n = shuffle_partitions(docs.sparkSession)
     shuffled = copies.withColumn("_order", order).repartition(n, "_order").sortWithinPartitions("_order")
-    return shuffled.select("_doc.*", "copy", "n_copies")
+    return shuffled.select("_doc", "copy", "n_copies")
+
+
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, **options) -> DataFrame:
+    """``docs`` repeated and shuffled, with ``copy`` (from 0) and ``n_copies`` in place of columns of these names."""
+    return replicate(docs.drop("copy", "n_copies"), weights, **options).select("_doc.*", "copy", "n_copies")

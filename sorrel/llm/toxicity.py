@@ -85,9 +85,10 @@ def _count_features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, toxic in zip(frame["text"], frame["toxic"]):
             for feature in features_of(words_of(text)):
                 counts[feature][int(toxic)] += 1
-    yield pd.DataFrame({
-        "feature": list(counts), "clean": [c[0] for c in counts.values()], "toxic": [c[1] for c in counts.values()],
-    })
+    if counts:
+        yield pd.DataFrame({
+            "feature": list(counts), "clean": [c[0] for c in counts.values()], "toxic": [c[1] for c in counts.values()],
+        })
 
 
 def choose_features(sample: DataFrame, clean_docs: int, toxic_docs: int, most: int) -> list[str]:

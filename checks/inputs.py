@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from sorrel.functions.ip import ip_to_num, num_to_ip
 from sorrel.schemas import COLLECT, EVALUATE, VIEW
 
 RANGE_BASE, RANGE_STEP = 16777216, 1024
+#: Moves ids beyond 32 bits.
+LARGE_ID = 3_000_000_000
 OPERATIONS = {"view": VIEW, "click": COLLECT, "purchase": EVALUATE}
 CHANGES = {"signup": "add", "error": "delete", "purchase": "update"}
 
@@ -31,18 +35,19 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def behaviours(spark: SparkSession, folder: str) -> DataFrame:
     return events(spark, folder).select(
-        F.col("user_id").cast("int").alias("user_id"), mapped("event_type", OPERATIONS).alias("operation"),
-        F.col("k").alias("item_id"),
+        F.col("user_id").cast("bigint").alias("user_id"), mapped("event_type", OPERATIONS).alias("operation"),
+        F.col("k").cast("bigint").alias("item_id"),
     )
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Behaviour text in which some event types come out blank, short or with a trailing comma."""
+    """Behaviour text in which some event types come out blank, short, with a trailing comma or with large ids."""
     u, k, kind = F.col("user_id").cast("string"), F.col("k").cast("string"), F.col("event_type")
+    large = (F.col("user_id").cast("bigint") + LARGE_ID).cast("string")
     value = (
         F.when(kind == "view", F.concat_ws(",", u, F.lit(VIEW), k))
         .when(kind == "click", F.concat(u, F.lit(f",{COLLECT},"), k, F.lit(",")))
-        .when(kind == "purchase", F.concat(F.lit(" "), u, F.lit(f",{EVALUATE},"), k, F.lit(" ")))
+        .when(kind == "purchase", F.concat(F.lit(" "), large, F.lit(f",{EVALUATE},"), k, F.lit(" ")))
         .when(kind == "signup", F.lit("  "))
         .otherwise(F.concat(u, F.lit(f",{VIEW}")))
     )
@@ -55,7 +60,7 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def access_log(spark: SparkSession, folder: str) -> DataFrame:
     number = F.lit(RANGE_BASE).cast("bigint") + F.col("event_id") * 11 + F.pmod("user_id", F.lit(7))
-    log = table(spark, folder, "events").select("event_id", num_to_ip(number).alias("ip"))
+    log = table(spark, folder, "events").select("event_id", "event_type", num_to_ip(number).alias("ip"))
     return log.withColumn("ip_num", ip_to_num(F.col("ip")))
 
 
@@ -85,31 +90,45 @@ def change_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts in the layout of the five-feature items."""
+    """Parts in the layout of the five-feature items; some have a fee that is no number."""
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("schoolid"),
         F.col("p_name").alias("schoolname"),
         F.col("p_size").alias("locationid"),
         F.length("p_type").alias("school_type"),
         F.col("p_retailprice").alias("zs"),
-        F.regexp_extract("p_brand", r"#([0-9]+)", 1).alias("fee"),
+        F.when(F.col("p_partkey") % 11 == 0, "n/a").otherwise(F.regexp_extract("p_brand", r"#([0-9]+)", 1)).alias("fee"),
         F.length("p_name").alias("byj"),
     )
 
 
+#: Statements of the error events, by the item number modulo their count.
+ODD_STATEMENTS = (
+    "select p_name from (select p_name from part where p_size > 3) t",
+    "select count(*) as n, p_size from part group by p_size",
+    "select l_quantity * l_extendedprice as gross from lineitem",
+    "select r_name from region r, nation n",
+    "select n_name from main.geo.nation",
+    "with big as (select 1) select * from big",
+    "select s_name from `supplier`",
+    "select *, p_name from part where p_name = 'from nation, region'",
+)
+
+
 def query_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Statements over the test tables, one per event."""
+    """Statements over the test tables, one per event, some of kinds that are only flagged."""
     u, k, kind = F.col("user_id").cast("string"), F.col("k").cast("string"), F.col("event_type")
+    odd = F.get(F.array(*map(F.lit, ODD_STATEMENTS)), F.pmod("k", F.lit(len(ODD_STATEMENTS))).cast("int"))
     text = (
         F.when(kind == "view", F.concat(
-            F.lit("select c.c_name, concat(n_name, c_mktsegment) from customer c left join nation n "
-                  "on c.c_nationkey = n.n_nationkey where c.c_custkey = "), u))
+            F.lit("select p.p_brand, upper(p.p_type), s_name from part p inner join supplier as s "
+                  "on p.p_size = s.s_nationkey where s.s_suppkey = "), u))
         .when(kind == "click", F.concat(F.lit("SELECT * FROM db"), k, F.lit(".region")))
         .when(kind == "purchase", F.concat(
             F.lit("select o.o_orderkey, sum(l_quantity) as qty from orders as o join lineitem l "
                   "on o.o_orderkey = l.l_orderkey where o.o_custkey = "), u, F.lit(" group by o.o_orderkey")))
         .when(kind == "signup", F.lit("select s_name\nfrom supplier;"))
-        .otherwise(F.concat(F.lit("select p_name from (select p_name from part where p_size > "), k, F.lit(") t")))
+        .otherwise(odd)
     )
     return events(spark, folder).select(F.col("event_id").alias("query_id"), text.alias("sql"))
 
@@ -118,3 +137,19 @@ def column_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     names = ["customer", "nation", "region", "orders", "lineitem", "supplier", "part"]
     rows = [(name, field) for name in names for field in table(spark, folder, name).columns]
     return spark.createDataFrame(rows, "table string, column string")
+
+
+def item_factors(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors in the role of item factors."""
+    return vectors(spark, folder).select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features")
+    )
+
+
+def user_factors(items: DataFrame, scores: DataFrame) -> DataFrame:
+    """Means of the factors of a user's items, weighted by score; they stand for fitted ones."""
+    rated = scores.where("score > 0").join(items.withColumnRenamed("id", "item_id"), "item_id")
+    mean = Summarizer.mean(array_to_vector("features"), F.col("score"))
+    return rated.groupBy("user_id").agg(mean.alias("_m")).select(
+        F.col("user_id").alias("id"), vector_to_array("_m").alias("features")
+    )

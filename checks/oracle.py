@@ -122,7 +122,7 @@ msg AS (
   SELECT event_id, CASE event_type
     WHEN 'view' THEN concat(user_id, ',浏览,', k)
     WHEN 'click' THEN concat(user_id, ',收藏,', k, ',')
-    WHEN 'purchase' THEN concat(' ', user_id, ',评价,', k, ' ')
+    WHEN 'purchase' THEN concat(' ', user_id::BIGINT + 3000000000, ',评价,', k, ' ')
     WHEN 'signup' THEN '  '
     ELSE concat(user_id, ',浏览') END AS value
   FROM ev),
@@ -134,12 +134,32 @@ judged AS (
   FROM parts),
 parsed AS (
   SELECT event_id,
-    CASE WHEN reject_reason IS NULL THEN CAST(f[1] AS INTEGER) END AS user_id,
+    CASE WHEN reject_reason IS NULL THEN CAST(f[1] AS BIGINT) END AS user_id,
     CASE WHEN reject_reason IS NULL THEN f[2] END AS operation,
-    CASE WHEN reject_reason IS NULL THEN CAST(f[3] AS INTEGER) END AS item_id,
+    CASE WHEN reject_reason IS NULL THEN CAST(f[3] AS BIGINT) END AS item_id,
     reject_reason
   FROM judged)"""
 
+_FACTORS = f"""{_SCORES},
+items AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+dims AS (
+  SELECT user_id, d, sum(score * x) / sum(score) AS m FROM (
+    SELECT user_id, score, unnest(f) AS x, unnest(range(len(f))) AS d
+    FROM scores JOIN items ON items.id = item_id WHERE score > 0)
+  GROUP BY user_id, d),
+users AS (SELECT user_id AS id, list(m ORDER BY d) AS f FROM dims GROUP BY user_id),
+rated_all AS (
+  SELECT u.id AS user_id, i.id AS item_id, list_inner_product(u.f, i.f) AS rating FROM users u CROSS JOIN items i)"""
+
+
+def _recommended(base: str, other: str, n: int, where: str) -> str:
+    return f"""b AS (
+          SELECT {base}, {other}, rating, row_number() OVER (
+            PARTITION BY {base} ORDER BY round(rating, 10) DESC, {other}) AS rank
+          FROM rated_all r WHERE {where})
+        SELECT {base}, {other}, round(rating, 10) AS rating, CAST(rank AS INTEGER) AS rank FROM b WHERE rank <= {n}"""
+
+
 ORACLE: dict[str, str] = {
     "ip_to_num": f"""WITH {_LOG}
         SELECT n.event_id, CASE WHEN event_type NOT IN ('error', 'signup') THEN ip_num ELSE -1 END AS ip_num
@@ -183,28 +203,38 @@ ORACLE: dict[str, str] = {
         SELECT id AS vec_id, cluster, round(dist, 10) AS distance FROM assigned""",
     "wssse": f"WITH {_VECS}, {_MEANS} SELECT round(sum(dist * dist), 4) AS wssse FROM assigned",
     "cluster_sizes": f"WITH {_VECS}, {_MEANS} SELECT cluster, count(*) AS n_items FROM assigned GROUP BY cluster",
-    "feature_vector": """SELECT p_partkey AS schoolid, p_size::DOUBLE AS f0, length(p_type)::DOUBLE AS f1,
-        p_retailprice AS f2, regexp_extract(p_brand, '#([0-9]+)', 1)::DOUBLE AS f3, length(p_name)::DOUBLE AS f4
-        FROM part""",
+    "feature_vector": """SELECT p_partkey AS schoolid,
+          CASE WHEN bad THEN -1 ELSE p_size::DOUBLE END AS f0, CASE WHEN bad THEN -1 ELSE length(p_type)::DOUBLE END AS f1,
+          CASE WHEN bad THEN -1 ELSE p_retailprice END AS f2,
+          CASE WHEN bad THEN -1 ELSE regexp_extract(p_brand, '#([0-9]+)', 1)::DOUBLE END AS f3,
+          CASE WHEN bad THEN -1 ELSE length(p_name)::DOUBLE END AS f4, CASE WHEN bad THEN 'fee' ELSE '' END AS rejected
+        FROM (SELECT *, p_partkey % 11 = 0 AS bad FROM part)""",
     "scan_catalog_table": """SELECT p_partkey AS schoolid, p_name AS schoolname, p_size AS locationid,
         p_retailprice AS zs FROM part""",
     "json_fields": f"WITH {_CHANGES} SELECT event_id, type, sid FROM typed",
     "cells_unpivot": """SELECT c_custkey::VARCHAR AS rowkey, 'hfile-fy' AS family, qualifier, value FROM (
           SELECT c_custkey, 'c_name' AS qualifier, c_name AS value FROM customer
           UNION ALL SELECT c_custkey, 'c_nationkey', c_nationkey::VARCHAR FROM customer
+          UNION ALL SELECT c_custkey, 'c_acctbal', c_acctbal::VARCHAR FROM customer
           UNION ALL SELECT c_custkey, 'c_mktsegment', c_mktsegment FROM customer)
         WHERE value IS NOT NULL""",
     "cells_sorted": """SELECT rowkey, 'hfile-fy' AS family, qualifier, value,
           row_number() OVER (ORDER BY rowkey, qualifier) - 1 AS position
         FROM (SELECT s_suppkey::VARCHAR AS rowkey, 's_name' AS qualifier, s_name AS value FROM supplier
-          UNION ALL SELECT s_suppkey::VARCHAR, 's_nationkey', s_nationkey::VARCHAR FROM supplier)
+          UNION ALL SELECT s_suppkey::VARCHAR, 's_nationkey', s_nationkey::VARCHAR FROM supplier
+          UNION ALL SELECT s_suppkey::VARCHAR, 's_acctbal', s_acctbal::VARCHAR FROM supplier)
         WHERE value IS NOT NULL""",
     "parse_behaviour": f"""WITH {_TEXT_MESSAGES}
         SELECT event_id, coalesce(user_id, -1) AS user_id, coalesce(item_id, -1) AS item_id,
                coalesce(operation, '') AS operation, coalesce(reject_reason, '') AS reject_reason
         FROM parsed""",
     "parse_indexed_rating": f"""WITH {_EVENTS}
-        SELECT user_id, k AS item_id, 1.5::DOUBLE AS score, event_id AS index FROM ev WHERE event_type <> 'error'""",
+        SELECT event_id,
+          CASE WHEN good THEN user_id::BIGINT + CASE event_type WHEN 'purchase' THEN 3000000000 ELSE 0 END ELSE -1 END AS user_id,
+          CASE WHEN good THEN k::BIGINT ELSE -1 END AS item_id, CASE WHEN good THEN event_id ELSE -1 END AS index,
+          CASE WHEN good THEN 1.5::DOUBLE ELSE -1 END AS score,
+          CASE event_type WHEN 'error' THEN 'arity' WHEN 'signup' THEN 'number' ELSE '' END AS reject_reason
+        FROM (SELECT *, event_type NOT IN ('error', 'signup') AS good FROM ev)""",
     "score_offline": f"WITH {_SCORES} SELECT user_id, item_id, round(score, 6) AS score FROM scores",
     "score_stream": f"""WITH {_TEXT_MESSAGES}, good AS (SELECT * FROM parsed WHERE reject_reason IS NULL),
         {_score('scores', 'good', 0.15, 0.55, 0.30)}
@@ -224,9 +254,10 @@ ORACLE: dict[str, str] = {
         FROM b JOIN m ON b.user_id = m.user_id WHERE bucket IN (6, 7)""",
     "unseen_candidates": f"""WITH {_EVENTS},
         cat AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS position FROM embeddings),
-        seen AS (SELECT DISTINCT user_id, position FROM ev JOIN cat ON cat.vec_id = ev.k),
+        seen AS (SELECT DISTINCT user_id, position FROM ev
+          JOIN cat ON cat.vec_id = CASE WHEN user_id % 25 = 7 THEN k + 10000000 ELSE k END),
         unseen AS (
-          SELECT u.user_id, cat.position FROM (SELECT DISTINCT user_id FROM seen) u CROSS JOIN cat
+          SELECT u.user_id, cat.position FROM (SELECT DISTINCT user_id FROM ev) u CROSS JOIN cat
           ANTI JOIN seen s ON s.user_id = u.user_id AND s.position = cat.position),
         runs AS (
           SELECT user_id, position, position - row_number() OVER (PARTITION BY user_id ORDER BY position) AS run
@@ -263,23 +294,72 @@ ORACLE: dict[str, str] = {
         SELECT v.id AS base, coalesce(value, '') AS value FROM v LEFT JOIN kept ON kept.base = v.id
         WHERE v.id NOT IN (SELECT sid FROM gone)""",
     "topn_apply_update": f"WITH {_VECS}, {_TOP} {_TOP_OUT}",
-    "resolve_start_offsets": f"""WITH {_EVENTS}, o AS (
-          SELECT event_type AS topic, CAST(user_id % 8 AS INTEGER) AS partition, min(event_id) AS earliest,
-                 min(event_id) FILTER (value > 250) - 20 AS committed
-          FROM ev GROUP BY event_type, user_id % 8)
-        SELECT topic, partition, coalesce(greatest(committed, earliest), earliest) AS start FROM o""",
+    "topn_delete_then_update": f"""WITH {_CHANGES}, {_VECS},
+        gone AS (SELECT sid FROM changes WHERE type = 'delete'),
+        moved AS (SELECT sid FROM changes WHERE type = 'update'),
+        old AS (SELECT id, CASE WHEN id IN (SELECT sid FROM moved) THEN list_reverse(e) ELSE e END AS e FROM v),
+        firsts AS (SELECT base, item, sim FROM (
+          SELECT a.id AS base, b.id AS item, round(list_cosine_similarity(a.e, b.e), 10) AS sim, row_number() OVER (
+            PARTITION BY a.id ORDER BY round(list_cosine_similarity(a.e, b.e), 10) DESC, b.id) AS rank
+          FROM old a JOIN old b ON a.id <> b.id) WHERE rank <= 6),
+        held AS (SELECT * FROM firsts WHERE base NOT IN (SELECT sid FROM gone) AND item NOT IN (SELECT sid FROM gone)
+          AND base NOT IN (SELECT sid FROM moved)),
+        limits AS (SELECT base, count(*) AS size, min(sim) AS sim, arg_max(item, (-sim, item)) AS item FROM held GROUP BY base),
+        live AS (SELECT * FROM v WHERE id NOT IN (SELECT sid FROM gone)),
+        offers AS (SELECT a.id AS base, b.id AS item, round(list_cosine_similarity(a.e, b.e), 10) AS sim
+          FROM live a JOIN live b ON a.id <> b.id),
+        new AS (SELECT o.* FROM offers o JOIN limits l ON l.base = o.base
+          WHERE o.item IN (SELECT sid FROM moved) AND (o.sim > l.sim OR o.sim = l.sim AND o.item <= l.item)),
+        kept AS (SELECT base, item, sim FROM held WHERE item NOT IN (SELECT sid FROM moved) UNION ALL SELECT * FROM new),
+        short AS (SELECT l.base FROM limits l LEFT JOIN kept k ON k.base = l.base GROUP BY l.base, l.size
+          HAVING count(k.item) < l.size),
+        rebuild AS (SELECT base FROM short UNION SELECT id FROM live WHERE id IN (SELECT sid FROM moved)),
+        ranked AS (
+          SELECT base, item, sim, row_number() OVER (PARTITION BY base ORDER BY sim DESC, item) AS rank, size
+          FROM (SELECT k.*, l.size FROM kept k JOIN limits l ON l.base = k.base WHERE k.base NOT IN (SELECT base FROM rebuild)
+            UNION ALL SELECT *, 6 FROM offers WHERE base IN (SELECT base FROM rebuild)))
+        SELECT base, item, sim, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= size""",
     "query_log_tables": f"""WITH {_EVENTS}
-        SELECT event_id AS query_id, CASE WHEN event_type = 'click' THEN concat('db', k) ELSE '' END AS database, t AS "table"
-        FROM (SELECT event_id, event_type, k, unnest(CASE event_type WHEN 'view' THEN ['customer', 'nation']
-          WHEN 'click' THEN ['region'] WHEN 'purchase' THEN ['orders', 'lineitem']
-          WHEN 'signup' THEN ['supplier'] ELSE ['part'] END) AS t FROM ev)""",
+        SELECT event_id AS query_id, CASE WHEN event_type = 'click' THEN concat('db', k) ELSE '' END AS database, t AS "table",
+          t = '' AS unsupported
+        FROM (SELECT event_id, event_type, k, unnest(CASE event_type WHEN 'view' THEN ['part', 'supplier']
+          WHEN 'click' THEN ['region'] WHEN 'purchase' THEN ['orders', 'lineitem'] WHEN 'signup' THEN ['supplier']
+          ELSE CASE k % 8 WHEN 1 THEN ['part'] WHEN 2 THEN ['lineitem'] WHEN 7 THEN ['part'] ELSE [''] END END) AS t FROM ev)""",
     "query_log_columns": f"""WITH {_EVENTS}
-        SELECT event_id AS query_id, split_part(c, '.', 1) AS "table", split_part(c, '.', 2) AS "column" FROM (
-          SELECT event_id, unnest(CASE event_type
-            WHEN 'view' THEN ['customer.c_name', 'nation.n_name', 'customer.c_mktsegment']
+        SELECT event_id AS query_id, split_part(c, '.', 1) AS "table", split_part(c, '.', 2) AS "column", c = '' AS unsupported
+        FROM (SELECT event_id, unnest(CASE event_type
+            WHEN 'view' THEN ['part.p_brand', 'part.p_type', 'supplier.s_name']
             WHEN 'click' THEN ['region.r_regionkey', 'region.r_name']
             WHEN 'purchase' THEN ['orders.o_orderkey', 'lineitem.l_quantity']
-            WHEN 'signup' THEN ['supplier.s_name'] ELSE []::VARCHAR[] END) AS c FROM ev)""",
+            WHEN 'signup' THEN ['supplier.s_name']
+            ELSE CASE k % 8 WHEN 1 THEN ['part.p_size'] WHEN 2 THEN ['lineitem.l_quantity', 'lineitem.l_extendedprice']
+              WHEN 7 THEN ['part.p_partkey', 'part.p_name', 'part.p_brand', 'part.p_type', 'part.p_size', 'part.p_retailprice']
+              ELSE [''] END END) AS c FROM ev)""",
+    "als_predict": f"""WITH {_FACTORS}
+        SELECT s.user_id, s.item_id, round(rating, 8) AS prediction FROM scores s
+        JOIN rated_all r ON r.user_id = s.user_id AND r.item_id = s.item_id""",
+    "als_topn_unseen": f"""WITH {_FACTORS}, {_recommended('user_id', 'item_id', 7, """
+          item_id IN (SELECT item_id FROM scores) AND NOT EXISTS (
+            SELECT 1 FROM scores s WHERE s.user_id = r.user_id AND s.item_id = r.item_id)""")}""",
+    "als_items_for_user": f"""WITH {_FACTORS}, {_recommended('user_id', 'item_id', 10, 'user_id = (SELECT min(user_id) FROM scores)')}""",
+    "als_users_for_item": f"""WITH {_FACTORS}, {_recommended('item_id', 'user_id', 10, 'item_id = (SELECT min(item_id) FROM scores)')}""",
+    "als_users_for_items": f"""WITH {_FACTORS}, {_recommended('item_id', 'user_id', 10, 'true')}""",
+    "als_named": f"""WITH {_FACTORS}, b AS (
+          SELECT user_id, item_id, rating, row_number() OVER (
+            PARTITION BY user_id ORDER BY round(rating, 10) DESC, item_id) AS rank FROM rated_all)
+        SELECT user_id, item_id, round(rating, 10) AS rating, CAST(rank AS INTEGER) AS rank, p_name AS name,
+          concat(p_name, ',', format('{{:.6f}}', round(rating, 10))) AS label
+        FROM b JOIN part ON p_partkey = item_id WHERE rank <= 10""",
+    "als_similar_items": f"""WITH {_VECS}
+        SELECT base, item, sim, CAST(rank AS INTEGER) AS rank FROM (
+          SELECT a.id AS base, b.id AS item, round(list_cosine_similarity(a.e, b.e), 10) AS sim, row_number() OVER (
+            PARTITION BY a.id ORDER BY round(list_cosine_similarity(a.e, b.e), 10) DESC, b.id) AS rank
+          FROM v a JOIN v b ON a.id <> b.id) WHERE rank <= 10""",
+    "topn_adjusted_cosine": f"""WITH {_VECS}, p AS (SELECT a.id AS base, b.id AS item, a.e AS x, b.e AS y FROM v a JOIN v b ON a.id <> b.id),
+        s AS (SELECT base, item, round(list_cosine_similarity(
+          {_CENTRED.format('x', _MEAN_BOTH)}, {_CENTRED.format('y', _MEAN_BOTH)}), 10) AS sim FROM p)
+        SELECT base, item, sim, CAST(rank AS INTEGER) AS rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY base ORDER BY sim DESC, item) AS rank FROM s) WHERE rank <= 6""",
     "catalog_ddl": """WITH c AS (
           SELECT l_orderkey, l_linenumber AS position, concat('part_', l_partkey) AS name,
                  CASE l_returnflag WHEN 'A' THEN 'string' WHEN 'N' THEN 'double' ELSE 'bigint' END AS type
@@ -289,3 +369,4 @@ ORACLE: dict[str, str] = {
                  string_agg(concat(name, '  ', type), ',' ORDER BY position, name, type), '  );') AS ddl
         FROM c GROUP BY l_orderkey""",
 }
+ORACLE |= {f"{name}_vector": ORACLE[name] for name in ("sim_cosine", "sim_pearson", "sim_adjusted_cosine", "sim_euclidean")}

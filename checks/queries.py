@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +15,11 @@ from sorrel.functions.ip import ip_to_num
 from sorrel.functions.lists import decode_scored, encode_scored
 from sorrel.operators import als, behaviour, cells, clustering, query_log, ranges, realtime, serving, similar_lists
 from sorrel.operators.joins import lookup_join
-from sorrel.operators.ranking import global_index, neighbour_gaps
+from sorrel.operators.ranking import global_index, unseen_stretches
 from sorrel.operators.topk import as_lists, as_rows, nearest_to_one, top_matches
 from sorrel.session import materialise
 from sorrel.sources.files import catalogue_table
-from sorrel.sources.streams import parse_changes, resolve_start_offsets
+from sorrel.sources.streams import parse_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,8 +43,7 @@ def ip_to_num_(spark, d):
     text = F.when(F.col("event_type") == "error", F.lit("256.1.1.1")).when(
         F.col("event_type") == "signup", F.substring_index("ip", ".", 3)
     ).otherwise(F.col("ip"))
-    log = inputs.access_log(spark, d).join(inputs.events(spark, d).select("event_id", "event_type"), "event_id")
-    return log.select("event_id", F.coalesce(ip_to_num(text), F.lit(-1)).alias("ip_num"))
+    return inputs.access_log(spark, d).select("event_id", F.coalesce(ip_to_num(text), F.lit(-1)).alias("ip_num"))
 
 
 @query
@@ -74,10 +74,17 @@ def _similarity(name: str) -> Query:
     return run
 
 
-QUERIES["sim_cosine"] = _similarity("cosine")
-QUERIES["sim_pearson"] = _similarity("pearson")
-QUERIES["sim_adjusted_cosine"] = _similarity("adjusted_cosine")
-QUERIES["sim_euclidean"] = _similarity("euclidean")
+def _vector_similarity(name: str) -> Query:
+    def run(spark, d):
+        one, other = (array_to_vector(F.col(c).cast("array<double>")) for c in ("va", "vb"))
+        return _pairs(spark, d).select("a", F.round(similarity.VECTOR_METRICS[name](one, other), 6).alias("value"))
+
+    return run
+
+
+for _name in similarity.METRICS:
+    QUERIES[f"sim_{_name}"] = _similarity(_name)
+    QUERIES[f"sim_{_name}_vector"] = _vector_similarity(_name)
 
 
 @query
@@ -92,6 +99,12 @@ def topn_pearson(spark, d):
     return _shown(found)
 
 
+@query
+def topn_adjusted_cosine(spark, d):
+    found = top_matches(inputs.vectors(spark, d), None, schemas.SIMILAR_PER_ITEM, "adjusted_cosine", ID, VEC)
+    return _shown(found)
+
+
 @query
 def topn_euclidean(spark, d):
     found = top_matches(inputs.vectors(spark, d), None, schemas.SIMILAR_PER_ITEM, "euclidean", ID, VEC)
@@ -176,8 +189,13 @@ def kmeans_grid(spark, d):
 
 @query
 def feature_vector(spark, d):
-    shaped = clustering.feature_vector(inputs.part_features(spark, d), schemas.FEATURES)
-    return shaped.select("schoolid", *[F.col("features")[i].alias(f"f{i}") for i in range(len(schemas.FEATURES))])
+    items, n = inputs.part_features(spark, d), len(schemas.FEATURES)
+    shaped = clustering.feature_vector(items, schemas.FEATURES).where("features is not null")
+    good = shaped.select("schoolid", *[F.col("features")[i].alias(f"f{i}") for i in range(n)], F.lit("").alias("rejected"))
+    bad = clustering.rejected_features(items, schemas.FEATURES).select(
+        "schoolid", *[F.lit(-1.0).alias(f"f{i}") for i in range(n)], F.array_join("reject_columns", ",").alias("rejected")
+    )
+    return good.unionByName(bad)
 
 
 @query
@@ -192,7 +210,7 @@ def json_fields(spark, d):
 
 
 def _customers(spark, d):
-    return inputs.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return inputs.table(spark, d, "customer")
 
 
 @query
@@ -202,7 +220,7 @@ def cells_unpivot(spark, d):
 
 @query
 def cells_sorted(spark, d):
-    ordered = cells.to_cells(inputs.table(spark, d, "supplier").drop("s_acctbal"), "s_suppkey")
+    ordered = cells.to_cells(inputs.table(spark, d, "supplier"), "s_suppkey")
     return global_index(ordered, [F.col("rowkey"), F.col("qualifier")], "position")
 
 
@@ -221,12 +239,17 @@ def parse_behaviour(spark, d):
 
 @query
 def parse_indexed_rating(spark, d):
-    lines = inputs.events(spark, d).select(F.concat(
-        F.lit("(("), F.col("user_id").cast("string"), F.lit(","), F.col("k").cast("string"),
-        F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.lit(",1.5")), F.lit("),"),
-        F.col("event_id").cast("string"), F.lit(")"),
+    user = F.when(F.col("event_type") == "purchase", F.col("user_id").cast("bigint") + inputs.LARGE_ID).otherwise(F.col("user_id"))
+    lines = inputs.events(spark, d).select("event_id", F.concat(
+        F.lit("(("), user.cast("string"), F.lit(","), F.col("k").cast("string"),
+        F.when(F.col("event_type") == "error", F.lit("")).when(F.col("event_type") == "signup", F.lit(",x")).otherwise(F.lit(",1.5")),
+        F.lit("),"), F.col("event_id").cast("string"), F.lit(")"),
     ).alias("value"))
-    return behaviour.parse_indexed_ratings(lines)
+    parsed = behaviour.parse_indexed_ratings(lines)
+    return parsed.select(
+        "event_id", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("user_id", "item_id", "index")],
+        F.coalesce("score", F.lit(-1.0)).alias("score"), F.coalesce("reject_reason", F.lit("")).alias("reject_reason"),
+    )
 
 
 def _scores(spark, d, weights=schemas.OFFLINE_WEIGHTS):
@@ -276,14 +299,10 @@ def rmse(spark, d):
 
 @query
 def unseen_candidates(spark, d):
-    """Stretches of catalogue positions (items in id order) that a user has not touched."""
+    """Some users have touched only items that the catalogue does not hold."""
     catalogue = inputs.vectors(spark, d).select(F.col(ID).alias("item_id"))
-    placed = global_index(catalogue, [F.col("item_id")], "position")
-    seen = lookup_join(
-        inputs.behaviours(spark, d).select("user_id", F.col("item_id").cast("bigint")).distinct(),
-        placed, ["item_id"], ["user_id"],
-    )
-    return neighbour_gaps(seen, "user_id", "position", catalogue.count())
+    outside = F.when(F.col("user_id") % 25 == 7, F.col("item_id") + 10_000_000).otherwise(F.col("item_id"))
+    return unseen_stretches(inputs.behaviours(spark, d).select("user_id", outside.alias("item_id")), catalogue)
 
 
 @query
@@ -405,31 +424,35 @@ def topn_apply_update(spark, d):
     return _shown(as_rows(after))
 
 
-# Offsets and query logs ---------------------------------------------------------
-
-
 @query
-def start_offsets(spark, d):
-    part = F.pmod("user_id", F.lit(8)).cast("int")
-    offsets = inputs.events(spark, d).groupBy(F.col("event_type").alias("topic"), part.alias("partition")).agg(
-        F.min("event_id").alias("earliest"),
-        (F.max("event_id") + 1).alias("latest"),
-        (F.min(F.when(F.col("value") > 250, F.col("event_id"))) - 20).alias("committed"),
+def topn_delete_then_update(spark, d):
+    """Deletions shorten lists; a later update must not fill them up."""
+    deleted, updated, vectors = _changed(spark, d, "delete"), _changed(spark, d, "update"), inputs.vectors(spark, d)
+    marks = updated.select(F.col("base").alias(ID), F.lit(True).alias("_old"))
+    before = lookup_join(vectors, marks, [ID], [ID], "left").select(
+        ID, F.when(F.col("_old"), F.reverse(VEC)).otherwise(F.col(VEC)).alias(VEC)
     )
-    return resolve_start_offsets(offsets, "smallest")
+    lists = materialise(similar_lists.apply_delete(similar_lists.build(before, ID, VEC), deleted))
+    live = vectors.join(deleted.select(F.col("base").alias(ID)), ID, "left_anti")
+    return _shown(as_rows(similar_lists.apply_update(lists, updated, live, ID, VEC)))
+
+
+# Query logs ---------------------------------------------------------
+
+
+def _flagged(found, *columns):
+    return found.withColumns({c: F.coalesce(c, F.lit("")) for c in columns})
 
 
 @query
 def query_log_tables(spark, d):
-    named = query_log.tables(inputs.query_log(spark, d), "query_id", "sql")
-    return named.withColumn("database", F.coalesce("database", F.lit("")))
+    return _flagged(query_log.tables(inputs.query_log(spark, d), "query_id", "sql"), "database", "table")
 
 
 @query
 def query_log_columns(spark, d):
-    return query_log.selected_columns(
-        inputs.query_log(spark, d), "query_id", "sql", inputs.column_catalogue(spark, d)
-    )
+    found = query_log.selected_columns(inputs.query_log(spark, d), "query_id", "sql", inputs.column_catalogue(spark, d))
+    return _flagged(found, "table", "column")
 
 
 @query
@@ -445,69 +468,69 @@ def catalog_ddl(spark, d):
 
 # Matrix factorisation -----------------------------------------------------------
 
-_models: dict[tuple[str, str], tuple[object, DataFrame]] = {}
-
-
-def _model(spark, d):
-    """One fitted model per application and data folder."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _models:
-        ratings = _scores(spark, d)
-        _models[key] = (als.fit(ratings), ratings)
-    return _models[key]
-
 
 @query
 def als_factors(spark, d):
-    return als.factors(_model(spark, d)[0])
+    return als.factors(als.fit(_scores(spark, d)))
 
 
 @query
-def als_predict(spark, d):
-    model, ratings = _model(spark, d)
-    return als.predict(model, ratings)
+def als_grid(spark, d):
+    return als.grid_search(_scores(spark, d))[1]
+
+
+def _factors(spark, d):
+    """Ratings, and factors that SQL can work out too, in the place of fitted ones."""
+    ratings = materialise(_scores(spark, d))
+    items = inputs.item_factors(spark, d)
+    return ratings, materialise(inputs.user_factors(items, ratings)), items
+
+
+def _rated(found, rating="rating"):
+    return found.withColumn(rating, F.round(rating, 10)).withColumn("rank", F.col("rank").cast("int"))
 
 
 @query
-def als_grid(spark, d):
-    return als.grid_search(_scores(spark, d))[1]
+def als_predict(spark, d):
+    ratings, users, items = _factors(spark, d)
+    found = als.predict(users, items, ratings.select("user_id", "item_id"))
+    return found.withColumn("prediction", F.round("prediction", 8))
 
 
 @query
 def als_topn_unseen(spark, d):
-    model, ratings = _model(spark, d)
-    catalogue = ratings.select("item_id").distinct()
-    return als.top_unseen(model, ratings, catalogue)
+    ratings, users, items = _factors(spark, d)
+    return _rated(als.top_unseen(users, items, ratings, ratings.select("item_id").distinct()))
 
 
 @query
 def als_items_for_user(spark, d):
-    model, ratings = _model(spark, d)
-    return als.items_for_users(model, ratings.agg(F.min("user_id").alias("user_id")), 10)
+    ratings, users, items = _factors(spark, d)
+    return _rated(als.items_for_users(users, items, 10, ratings.agg(F.min("user_id").alias("user_id"))))
 
 
 @query
 def als_named(spark, d):
-    model, _ = _model(spark, d)
-    names = inputs.table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("name"))
-    return als.named(als.items_for_all_users(model, 10), names)
+    _, users, items = _factors(spark, d)
+    names = inputs.table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"))
+    return _rated(als.named(als.items_for_users(users, items, 10), names, digits=6))
 
 
 @query
 def als_users_for_item(spark, d):
-    model, ratings = _model(spark, d)
-    return als.users_for_items(model, ratings.agg(F.min("item_id").alias("item_id")), 10)
+    ratings, users, items = _factors(spark, d)
+    return _rated(als.users_for_items(users, items, 10, ratings.agg(F.min("item_id").alias("item_id"))))
 
 
 @query
 def als_users_for_items(spark, d):
-    return als.users_for_all_items(_model(spark, d)[0], 10)
+    _, users, items = _factors(spark, d)
+    return _rated(als.users_for_items(users, items, 10))
 
 
 @query
 def als_similar_items(spark, d):
-    return als.similar_items(_model(spark, d)[0], 10)
+    return _shown(als.similar_items(inputs.item_factors(spark, d), 10))
 
 
 QUERIES["ip_to_num"] = QUERIES.pop("ip_to_num_")
-QUERIES["resolve_start_offsets"] = QUERIES.pop("start_offsets")

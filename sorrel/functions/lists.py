@@ -17,7 +17,7 @@ def encode_scored(entries: Column, digits: int | None = None) -> Column:
 
 
 def decode_scored(text: Column) -> Column:
-    """Inverse of :func:`encode_scored`; entries that do not parse are dropped."""
+    """Inverse of :func:`encode_scored`; entries that do not parse are left to :func:`undecoded`."""
     pieces = F.filter(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.trim(p) != "")
 
     def one(p: Column) -> Column:
@@ -30,6 +30,17 @@ def decode_scored(text: Column) -> Column:
     return F.filter(F.transform(pieces, one), lambda e: e["item"].isNotNull() & e["sim"].isNotNull())
 
 
+def undecoded(text: Column) -> Column:
+    """The entries of a scored list that :func:`decode_scored` cannot read."""
+    pieces = F.filter(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.trim(p) != "")
+
+    def broken(p: Column) -> Column:
+        pair = F.split(F.trim(p), ":")
+        return F.get(pair, 0).try_cast("bigint").isNull() | F.get(pair, 1).try_cast("double").isNull()
+
+    return F.filter(pieces, broken)
+
+
 def encode_ids(ids: Column) -> Column:
     return F.array_join(F.transform(ids, lambda i: i.cast("string")), ",")
 

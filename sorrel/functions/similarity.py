@@ -1,7 +1,10 @@
-"""Vector similarities and distances over ``array`` columns."""
+"""Vector similarities and distances over ``array`` columns, and over ML vectors."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,12 +44,22 @@ def cosine(a: Column, b: Column, on_mismatch: str = "error") -> Column:
 
 
 def pearson(a: Column, b: Column, on_mismatch: str = "error") -> Column:
-    """Pearson correlation from raw sums; NaN when either vector is constant."""
-    x, y, n = as_doubles(a), as_doubles(b), F.size(a)
-    sx, sy = _total(x), _total(y)
-    cov = dot(x, y) - sx * sy / n
-    spread = (dot(x, x) - sx * sx / n) * (dot(y, y) - sy * sy / n)
-    value = F.when(F.size(a) == 0, F.lit(NAN)).otherwise(_ratio(cov, F.sqrt(spread)))
+    """Pearson correlation of the centred vectors; NaN when either vector is constant."""
+
+    def centred(vec: Column) -> Column:
+        whole = as_doubles(vec)
+        # A one-element transform holds the mean, so that it is not worked out per component.
+        means = F.array(_total(whole) / F.size(vec))
+        moved = F.get(F.transform(means, lambda m: F.transform(whole, lambda v: v - m)), 0)
+        # Rounding must not give a constant vector a direction.
+        return F.when(F.array_min(whole) == F.array_max(whole), F.transform(whole, lambda v: F.lit(0.0))).otherwise(moved)
+
+    def compare(pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        return _ratio(dot(x, y), F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)))
+
+    shifted = F.array(F.struct(centred(a).alias("x"), centred(b).alias("y")))
+    value = F.when(F.size(a) == 0, F.lit(NAN)).otherwise(F.get(F.transform(shifted, compare), 0))
     return _same_length(a, b, value, on_mismatch)
 
 
@@ -81,3 +94,15 @@ METRICS = {
     "adjusted_cosine": adjusted_cosine,
     "euclidean": euclidean,
 }
+
+
+def for_vectors(metric: Callable[..., Column]) -> Callable[..., Column]:
+    """The same measure over two columns of ML vectors, dense or sparse."""
+
+    def run(a: Column, b: Column, on_mismatch: str = "error") -> Column:
+        return metric(vector_to_array(a), vector_to_array(b), on_mismatch)
+
+    return run
+
+
+VECTOR_METRICS = {name: for_vectors(metric) for name, metric in METRICS.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -10,8 +11,10 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from sorrel.functions.similarity import dot
 from sorrel.operators.behaviour import rmse, split_bucket, split_name
 from sorrel.operators.joins import lookup_join
+from sorrel.operators.ranking import global_index
 from sorrel.operators.topk import top_matches
 from sorrel.schemas import ALS_ITERATIONS, ALS_LAMBDAS, ALS_RANKS, UNSEEN_PER_USER
 from sorrel.session import ensure_checkpoint_dir, materialise
@@ -20,19 +23,53 @@ SEED = 42
 GRID_THREADS = 4
 
 
-def fit(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg: float = 0.6) -> ALSModel:
+@dataclass
+class FactorModel:
+    """Factors by the caller's own ids, which may be any 64-bit numbers, and the fitted model."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+    @property
+    def rank(self) -> int:
+        return self.model.rank
+
+
+def _indexed(ratings: DataFrame, column: str, name: str) -> DataFrame:
+    """Dense numbers for the ids of a column; the trainer takes 32-bit ones only."""
+    ids = ratings.select(column).where(F.col(column).isNotNull()).distinct()
+    return materialise(global_index(ids, [F.col(column)], name).withColumn(name, F.col(name).cast("int")))
+
+
+def fit(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg: float = 0.6) -> FactorModel:
     """Explicit-feedback ALS; checkpoints keep the lineage of the factors short."""
     ensure_checkpoint_dir(ratings.sparkSession)
+    users, items = _indexed(ratings, "user_id", "_user"), _indexed(ratings, "item_id", "_item")
+    rated = ratings.where("user_id is not null and item_id is not null and score is not null")
+    known = lookup_join(lookup_join(rated, users, ["user_id"], ["item_id"]), items, ["item_id"], ["user_id"])
     als = ALS(
-        userCol="user_id", itemCol="item_id", ratingCol="score", rank=rank, maxIter=iterations,
+        userCol="_user", itemCol="_item", ratingCol="score", rank=rank, maxIter=iterations,
         regParam=reg, seed=SEED, coldStartStrategy="drop", checkpointInterval=5,
     )
-    return als.fit(ratings.select("user_id", "item_id", F.col("score").cast("float").alias("score")))
+    model = als.fit(known.select("_user", "_item", F.col("score").cast("float").alias("score")))
 
+    def named_factors(factors: DataFrame, index: DataFrame, number: str, column: str) -> DataFrame:
+        features = F.col("features").cast("array<double>").alias("features")
+        return index.join(factors.withColumnRenamed("id", number), number).select(
+            F.col(column).cast("bigint").alias("id"), features
+        )
+
+    return FactorModel(
+        model, named_factors(model.userFactors, users, "_user", "user_id"),
+        named_factors(model.itemFactors, items, "_item", "item_id"),
+    )
 
-def model_rmse(model: ALSModel, ratings: DataFrame) -> float | None:
+
+def model_rmse(model: FactorModel, ratings: DataFrame) -> float | None:
     """RMSE over the pairs that the model knows."""
-    return rmse(model.transform(ratings), "prediction", "score").head()[0]
+    predicted = predict(model.users, model.items, ratings)
+    return rmse(predicted, "prediction", "score").head()[0]
 
 
 def fixed_split(ratings: DataFrame) -> DataFrame:
@@ -44,7 +81,7 @@ def grid_search(
     ranks: Sequence[int] = ALS_RANKS,
     iterations: Sequence[int] = ALS_ITERATIONS,
     lambdas: Sequence[float] = ALS_LAMBDAS,
-) -> tuple[ALSModel, DataFrame]:
+) -> tuple[FactorModel, DataFrame]:
     """Best model by validation RMSE, the first one on ties, and a metrics frame.
 
     The frame has one row per grid point; the test RMSE is filled for the best.
@@ -54,7 +91,7 @@ def grid_search(
     train, validation, test = (parts.where(F.col("part") == p) for p in ("train", "validation", "test"))
     points = list(product(ranks, iterations, lambdas))
 
-    def run(point: tuple[int, int, float]) -> tuple[ALSModel, float]:
+    def run(point: tuple[int, int, float]) -> tuple[FactorModel, float]:
         model = fit(train, *point)
         error = model_rmse(model, validation)
         return model, float("inf") if error is None else error
@@ -75,62 +112,65 @@ def grid_search(
     return results[best][0], spark.createDataFrame(rows, schema)
 
 
-def factors(model: ALSModel) -> DataFrame:
+def factors(model: FactorModel) -> DataFrame:
     """User and item factors in one frame, ``kind`` telling them apart."""
-    users = model.userFactors.select(F.lit("user").alias("kind"), "id", "features")
-    return users.unionByName(model.itemFactors.select(F.lit("item").alias("kind"), "id", "features"))
+    users = model.users.select(F.lit("user").alias("kind"), "id", "features")
+    return users.unionByName(model.items.select(F.lit("item").alias("kind"), "id", "features"))
+
 
+# The recommenders below work on factor frames ``(id, features)``, wherever these come from.
 
-def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Predicted rating per pair; pairs with an unknown user or item are dropped."""
-    return model.transform(pairs.select("user_id", "item_id"))
+
+def predict(users: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs with their ``prediction``; pairs with an unknown user or item are dropped."""
+    user = users.select(F.col("id").alias("user_id"), F.col("features").alias("_user"))
+    item = items.select(F.col("id").alias("item_id"), F.col("features").alias("_item"))
+    met = lookup_join(lookup_join(pairs, user, ["user_id"], ["item_id"]), item, ["item_id"], ["user_id"])
+    return met.withColumn("prediction", dot(F.col("_user"), F.col("_item"))).drop("_user", "_item")
 
 
 def top_unseen(
-    model: ALSModel, seen: DataFrame, catalogue: DataFrame, n: int = UNSEEN_PER_USER
+    users: DataFrame, items: DataFrame, seen: DataFrame, catalogue: DataFrame, n: int = UNSEEN_PER_USER
 ) -> DataFrame:
-    """Best ``n`` catalogue items per user that the user has not rated.
+    """Best ``n`` catalogue items per user of ``seen`` that the user has not rated.
 
     Seen pairs are masked where a block of users meets a block of items, so a user
     with a long history costs no longer candidate lists.
     """
     pairs = materialise(seen.select(F.col("user_id").alias("base"), F.col("item_id").alias("item")).distinct())
-    users = model.userFactors.join(pairs.select(F.col("base").alias("id")).distinct(), "id", "left_semi")
-    items = model.itemFactors.join(catalogue.select(F.col("item_id").alias("id")).distinct(), "id", "left_semi")
-    best = top_matches(users, items, n, "dot", "id", "features", exclude_self=False, exclude=pairs)
-    return best.select(
-        F.col("base").alias("user_id"), F.col("item").alias("item_id"), F.col("score").alias("rating"), "rank"
-    )
-
-
-def _exploded(recommendations: DataFrame, key: str, other: str) -> DataFrame:
-    return recommendations.select(key, F.posexplode("recommendations").alias("_p", "_r")).select(
-        key, F.col(f"_r.{other}").alias(other), F.col("_r.rating").alias("rating"), (F.col("_p") + 1).alias("rank")
-    )
+    active = users.join(pairs.select(F.col("base").alias("id")).distinct(), "id", "left_semi")
+    offered = items.join(catalogue.select(F.col("item_id").alias("id")).distinct(), "id", "left_semi")
+    best = top_matches(active, offered, n, "dot", "id", "features", exclude_self=False, exclude=pairs)
+    return _recommended(best, "user_id", "item_id")
 
 
-def items_for_users(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
-    return _exploded(model.recommendForUserSubset(users, n), "user_id", "item_id")
+def _recommended(best: DataFrame, base: str, other: str) -> DataFrame:
+    return best.select(F.col("base").alias(base), F.col("item").alias(other), F.col("score").alias("rating"), "rank")
 
 
-def items_for_all_users(model: ALSModel, n: int) -> DataFrame:
-    return _exploded(model.recommendForAllUsers(n), "user_id", "item_id")
+def _chosen(factors: DataFrame, ids: DataFrame | None, column: str) -> DataFrame:
+    return factors if ids is None else factors.join(ids.select(F.col(column).alias("id")).distinct(), "id", "left_semi")
 
 
-def users_for_items(model: ALSModel, items: DataFrame, n: int) -> DataFrame:
-    return _exploded(model.recommendForItemSubset(items, n), "item_id", "user_id")
+def items_for_users(users: DataFrame, items: DataFrame, n: int, only: DataFrame | None = None) -> DataFrame:
+    """Best ``n`` items, rated or not, for all users or for those of ``only``."""
+    best = top_matches(_chosen(users, only, "user_id"), items, n, "dot", "id", "features", exclude_self=False)
+    return _recommended(best, "user_id", "item_id")
 
 
-def users_for_all_items(model: ALSModel, n: int) -> DataFrame:
-    return _exploded(model.recommendForAllItems(n), "item_id", "user_id")
+def users_for_items(users: DataFrame, items: DataFrame, n: int, only: DataFrame | None = None) -> DataFrame:
+    """Best ``n`` users for all items or for those of ``only``."""
+    best = top_matches(_chosen(items, only, "item_id"), users, n, "dot", "id", "features", exclude_self=False)
+    return _recommended(best, "item_id", "user_id")
 
 
-def named(recommendations: DataFrame, names: DataFrame) -> DataFrame:
-    """Adds the item name and the ``name,rating`` label."""
+def named(recommendations: DataFrame, names: DataFrame, digits: int | None = None) -> DataFrame:
+    """Adds the item name and the ``name,rating`` label; ``digits`` fixes the decimals of the rating."""
     joined = lookup_join(recommendations, names.select("item_id", "name"), ["item_id"], ["user_id"])
-    return joined.withColumn("label", F.concat_ws(",", "name", F.col("rating").cast("string")))
+    rating = F.col("rating").cast("string") if digits is None else F.format_string(f"%.{digits}f", "rating")
+    return joined.withColumn("label", F.concat_ws(",", "name", rating))
 
 
-def similar_items(model: ALSModel, n: int) -> DataFrame:
+def similar_items(items: DataFrame, n: int) -> DataFrame:
     """Best ``n`` other items per item by cosine of their factors."""
-    return top_matches(model.itemFactors, None, n, "cosine", "id", "features")
+    return top_matches(items, None, n, "cosine", "id", "features")

@@ -22,7 +22,7 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     # The fields are their own step, so that they are split once for all columns.
     fielded = messages.withColumn("_fields", F.split(F.rtrim(F.trim(F.col(value)), F.lit(",")), ","))
     fields = F.col("_fields")
-    user, item = (F.trim(F.get(fields, i)).try_cast("int") for i in (0, 2))
+    user, item = (F.trim(F.get(fields, i)).try_cast("bigint") for i in (0, 2))
     reason = (
         F.when(F.coalesce(F.trim(F.col(value)), F.lit("")) == "", "blank")
         .when(F.size(fields) != 3, "arity")
@@ -48,14 +48,31 @@ def rejected(parsed: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_indexed_ratings(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``((user,item,score),index)`` text into typed columns; unusable lines are dropped."""
-    fields = F.split(F.regexp_replace(F.trim(F.col(value)), "[()]", ""), ",")
-    return lines.select(
-        F.trim(F.get(fields, 0)).try_cast("int").alias("user_id"),
-        F.trim(F.get(fields, 1)).try_cast("int").alias("item_id"),
-        F.trim(F.get(fields, 2)).try_cast("double").alias("score"),
-        F.trim(F.get(fields, 3)).try_cast("bigint").alias("index"),
-    ).dropna()
+    """``((user,item,score),index)`` text into typed columns plus ``reject_reason``.
+
+    Unusable lines keep their text and their reason; see :func:`accepted_ratings`.
+    """
+    fielded = lines.withColumn("_fields", F.split(F.regexp_replace(F.trim(F.col(value)), "[()]", ""), ","))
+    kinds = {"user_id": "bigint", "item_id": "bigint", "score": "double", "index": "bigint"}
+    typed = {
+        name: F.trim(F.get("_fields", i)).try_cast(kind) for i, (name, kind) in enumerate(kinds.items())
+    }
+    unread = F.lit(False)
+    for column in typed.values():
+        unread = unread | column.isNull()
+    reason = (
+        F.when(F.coalesce(F.trim(F.col(value)), F.lit("")) == "", "blank")
+        .when(F.size("_fields") != 4, "arity")
+        .when(unread, "number")
+    )
+    good = reason.isNull()
+    return fielded.withColumns(
+        {**{name: F.when(good, column) for name, column in typed.items()}, "reject_reason": reason}
+    ).drop("_fields")
+
+
+def accepted_ratings(parsed: DataFrame) -> DataFrame:
+    return parsed.where("reject_reason is null").select("user_id", "item_id", "score", "index")
 
 
 def weighted_score(operation: Column, weights: Mapping[str, float]) -> Column:

@@ -7,11 +7,13 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from sorrel.functions.similarity import squared_distance
+from sorrel.operators.few import best_of_few
 from sorrel.operators.topk import top_matches
 from sorrel.schemas import KMEANS_ITERATIONS, KMEANS_K, NEAREST_IN_CLUSTER
 from sorrel.session import materialise
@@ -21,8 +23,15 @@ GRID_THREADS = 3
 
 
 def feature_vector(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
-    """Numeric columns, in order, as one ``array<double>``."""
-    return df.withColumn(name, F.array(*[F.col(c).cast("double") for c in columns]))
+    """Numeric columns, in order, as one ``array<double>``; null where one of them is no number."""
+    whole = F.array(*[F.col(c).try_cast("double") for c in columns])
+    return df.withColumn(name, F.when(~F.exists(whole, lambda x: x.isNull()), whole))
+
+
+def rejected_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows without a feature vector, with the names of the columns at fault."""
+    faults = F.array(*[F.when(F.col(c).try_cast("double").isNull(), F.lit(c)) for c in columns])
+    return df.withColumn("reject_columns", F.array_compact(faults)).where(F.size("reject_columns") > 0)
 
 
 def _ml(df: DataFrame, vec_col: str) -> DataFrame:
@@ -70,18 +79,16 @@ def grid_search(
 
 
 def centroids(items: DataFrame, cluster_col: str, vec_col: str) -> DataFrame:
-    """Mean vector per cluster, averaged per dimension so that no cluster is gathered."""
-    parts = items.select(cluster_col, F.posexplode(F.col(vec_col).cast("array<double>")).alias("dim", "x"))
-    means = parts.groupBy(cluster_col, "dim").agg(F.avg("x").alias("x"))
-    return means.groupBy(cluster_col).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("dim", "x"))), lambda e: e["x"]).alias("centroid")
-    )
+    """Mean vector per cluster; sums of vectors combine before the shuffle."""
+    mean = Summarizer.mean(F.col("_ml"))
+    means = _ml(items, vec_col).groupBy(cluster_col).agg(mean.alias("_mean"))
+    return means.select(cluster_col, vector_to_array("_mean").alias("centroid"))
 
 
 def nearest_centroid(items: DataFrame, id_col: str, vec_col: str, centres: DataFrame, cluster_col: str) -> DataFrame:
     """``(id, cluster, distance)`` with the closest centroid, the lower cluster number on ties."""
     centres = materialise(centres.select(F.col(cluster_col).alias(id_col), F.col("centroid").alias(vec_col)))
-    found = top_matches(items, centres, 1, "euclidean", id_col, vec_col, exclude_self=False)
+    found = best_of_few(items, centres, 1, "euclidean", id_col, vec_col, exclude_self=False)
     return found.select(F.col("base").alias(id_col), F.col("item").alias("cluster"), F.col("score").alias("distance"))
 
 

@@ -12,65 +12,98 @@ from pyspark.sql import functions as F
 from sorrel.operators.joins import lookup_join
 
 NAME = r"[A-Za-z_][A-Za-z0-9_]*"
-_CLAUSES = "left|right|inner|full|cross|join|on|where|group|order|limit"
+_CLAUSES = "left|right|inner|full|cross|join|on|where|group|order|limit|having"
 SOURCE = rf"(?i)\b(?:from|join)\s+{NAME}(?:\.{NAME})?(?:\s+as\s+{NAME}|\s+(?!(?:{_CLAUSES})\b){NAME})?"
+#: One select block; not a nested one, a set operation or a common table expression.
 SIMPLE = r"(?is)^\s*select\s(?!.*\b(?:select|union|intersect|except)\b)"
+#: Lists of tables, names of three parts and quoted names, which the patterns do not read.
+UNREAD = rf"(?is)\b(?:from|join)\s+(?:[`\"(]|{NAME}(?:\.{NAME})?\.(?:{NAME}\.|[`\"])|{NAME}\.{NAME}\.)"
+COMMA = rf"(?is)\b(?:from|join)\s+{NAME}(?:\.{NAME})?(?:\s+(?:as\s+)?(?!(?:{_CLAUSES})\b){NAME})?\s*,"
 KEYWORDS = ("as", "distinct", "case", "when", "then", "else", "end", "and", "or", "not", "null", "is", "in", "like")
 
 
+def _unquoted(sql: Column) -> Column:
+    return F.regexp_replace(sql, r"'[^']*'", "''")
+
+
 def supported(sql: Column) -> Column:
-    """A single select block: no nested select, set operation or common table expression."""
-    return sql.rlike(SIMPLE)
-
-
-def sources(log: DataFrame, query_id: str, sql: str, *keep: str) -> DataFrame:
-    """``(query, database, table, alias)`` for every FROM and JOIN, with the columns in ``keep``."""
-    found = F.regexp_extract_all(F.col(sql), F.lit(SOURCE), F.lit(0))
-    words = F.split(F.lower(F.col("_source")), r"\s+")
-    dotted = F.get(F.col("_words"), 1)
-    table = F.substring_index(dotted, ".", -1)
-    return (
-        # The outer form keeps the optimizer from testing the patterns again in a filter.
-        log.select(query_id, *keep, F.explode_outer(found).alias("_source"))
-        .where(F.col("_source").isNotNull())
-        .select(query_id, *keep, words.alias("_words"))
-        .select(
-            query_id,
-            *keep,
+    """A single select block over plainly named, joined tables."""
+    text = _unquoted(sql)
+    return F.coalesce(text.rlike(SIMPLE) & ~text.rlike(UNREAD) & ~text.rlike(COMMA), F.lit(False))
+
+
+def _marked(log: DataFrame, query_id: str, sql: str) -> DataFrame:
+    return log.select(query_id, sql, supported(F.col(sql)).alias("_ok"))
+
+
+def _flags(marked: DataFrame, query_id: str, columns: dict[str, str]) -> DataFrame:
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in columns.items()]
+    return marked.where("not _ok").select(query_id, *nothing, F.lit(True).alias("unsupported"))
+
+
+def _sources(sql: Column) -> Column:
+    """``array<struct<database,table,alias>>`` of the FROM and JOIN clauses of a statement."""
+
+    def one(text: Column) -> Column:
+        words = F.split(F.lower(text), r"\s+")
+        dotted = F.get(words, 1)
+        table = F.substring_index(dotted, ".", -1)
+        return F.struct(
             F.when(dotted.contains("."), F.substring_index(dotted, ".", 1)).alias("database"),
             table.alias("table"),
-            F.when(F.size("_words") > 2, F.element_at("_words", -1)).otherwise(table).alias("alias"),
+            F.when(F.size(words) > 2, F.element_at(words, -1)).otherwise(table).alias("alias"),
         )
-    )
+
+    return F.transform(F.regexp_extract_all(_unquoted(sql), F.lit(SOURCE), F.lit(0)), one)
 
 
 def tables(log: DataFrame, query_id: str, sql: str) -> DataFrame:
-    return sources(log, query_id, sql).select(query_id, "database", "table").distinct()
+    """``(query, database, table, unsupported)``: one row per table of a statement.
+
+    A statement that the patterns cannot read gives one row that says so. All names of a
+    statement sit in one row, so they are made distinct there and nothing is shuffled.
+    """
+    marked = _marked(log, query_id, sql)
+    names = F.array_distinct(F.transform(_sources(F.col(sql)), lambda s: F.struct(s["database"], s["table"])))
+    found = marked.where("_ok").select(query_id, F.explode(names).alias("_s"))
+    read = found.select(query_id, "_s.database", "_s.table", F.lit(False).alias("unsupported"))
+    return read.unionByName(_flags(marked, query_id, {"database": "string", "table": "string"}))
 
 
 def selected_columns(log: DataFrame, query_id: str, sql: str, catalogue: DataFrame) -> DataFrame:
-    """``(query, table, column)`` for the columns in the select list.
+    """``(query, table, column, unsupported)`` for the columns in the select list.
 
-    ``catalogue`` is ``(table, column)``. Aliases resolve through the query's own
-    tables, unqualified names through the catalogue, and ``*`` to all columns. Join
-    and filter conditions do not count. Unsupported statements give no rows.
+    ``catalogue`` is ``(table, column)``. Aliases resolve through the query's own tables,
+    unqualified names through the catalogue. ``*`` stands for all columns only as a whole
+    select item or after an alias. Join and filter conditions do not count. A statement
+    that the patterns cannot read gives one row that says so.
     """
+    marked = _marked(log, query_id, sql)
     head = F.lower(F.regexp_extract(F.col(sql), r"(?is)^\s*select\s+(.*?)\s+from\s", 1))
     unquoted = F.regexp_replace(head, r"'[^']*'", " ")
     unnamed = F.regexp_replace(unquoted, rf"\bas\s+{NAME}", " ")
-    token = rf"((?:{NAME}\.)?(?:{NAME}\b(?!\s*\(|\.)|\*))"
-    tokens = F.array_distinct(F.regexp_extract_all(unnamed, F.lit(token), F.lit(1)))
-    chosen = log.where(supported(F.col(sql))).select(query_id, sql, tokens.alias("_tokens"))
-    # The statement's tokens travel with its tables, so that no join by statement is needed.
-    unqualified = ~F.col("_token").contains(".") & ~F.col("_token").isin(*KEYWORDS)
-    picks = (
-        sources(chosen, query_id, sql, "_tokens")
-        .select(query_id, "table", "alias", F.explode_outer("_tokens").alias("_token"))
-        .where(unqualified | (F.substring_index("_token", ".", 1) == F.col("alias")))
-        .select(query_id, "table", F.substring_index("_token", ".", -1).alias("_name"))
-    )
-    named = catalogue.select("table", "column", F.explode(F.array("column", F.lit("*"))).alias("_name"))
-    return lookup_join(picks, named, ["table", "_name"], [query_id]).select(query_id, "table", "column").distinct()
+    # A star between commas, or after an alias; others multiply or count rows.
+    starred = F.regexp_replace(unnamed, rf"(?<=^|,)\s*(?:distinct\s+)?\*\s*(?=,|$)", " _every_ ")
+    starred = F.regexp_replace(starred, rf"({NAME})\.\*", r"$1._every_")
+    token = rf"((?:{NAME}\.)?{NAME}\b(?!\s*\(|\.))"
+    tokens = F.array_distinct(F.regexp_extract_all(starred, F.lit(token), F.lit(1)))
+    picks = F.flatten(F.transform("_sources", lambda s: F.transform(
+        F.filter("_tokens", lambda t: (~t.contains(".") & ~t.isin(*KEYWORDS)) | (F.substring_index(t, ".", 1) == s["alias"])),
+        lambda t: F.struct(s["table"].alias("table"), F.substring_index(t, ".", -1).alias("_name")),
+    )))
+    chosen = marked.where("_ok").select(query_id, tokens.alias("_tokens"), _sources(F.col(sql)).alias("_sources"))
+    # A column named beside a star of its table is part of that star.
+    within = lambda all_, p: ~F.exists(all_, lambda q: (q["table"] == p["table"]) & (q["_name"] == "_every_"))
+    kept = F.filter("_picks", lambda p: (p["_name"] == "_every_") | within(F.col("_picks"), p))
+    picked = chosen.select(query_id, F.array_distinct(picks).alias("_picks")).select(query_id, F.explode(kept).alias("_p"))
+    named_picks = picked.select(query_id, "_p.table", "_p._name")
+    listed = catalogue.groupBy("table").agg(F.collect_set("column").alias("_columns"))  # one row per table
+    joined = lookup_join(named_picks, listed, ["table"], [query_id])
+    names = F.when(F.col("_name") == "_every_", F.col("_columns")).when(
+        F.array_contains("_columns", F.col("_name")), F.array("_name")
+    ).otherwise(F.array().cast("array<string>"))
+    read = joined.select(query_id, "table", F.explode(names).alias("column"), F.lit(False).alias("unsupported"))
+    return read.unionByName(_flags(marked, query_id, {"table": "string", "column": "string"}))
 
 
 def ddl(columns: DataFrame, table: str = "table", position: str = "position",

@@ -75,11 +75,12 @@ def locate(addresses: DataFrame, ranges: DataFrame, ip: str = "ip_num", keep: tu
     """
     numbered = materialise(numbered_ranges(ranges))
     blocks = materialise(range_blocks(numbered))
-    probes = addresses.select(ip, *keep, F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))).alias("level")).withColumn(
-        "prefix", F.expr(f"shiftright({ip}, level)")
-    )
+    # An address is looked up only at levels that occur, and no key is hot, so no salt is needed.
+    levels = [r["level"] for r in blocks.select("level").distinct().collect()]  # 17 at most
+    probes = addresses.select(ip, *keep, F.explode(F.array(*map(F.lit, sorted(levels))).cast("array<int>")).alias("level"))
+    probes = probes.withColumn("prefix", F.expr(f"shiftright({ip}, level)"))
     best = (
-        lookup_join(probes, blocks, ["level", "prefix"], [ip])
+        lookup_join(probes, blocks, ["level", "prefix"], [ip], salts=0)
         .groupBy(ip)
         .agg(F.min("priority").alias("priority"), *[F.max(c).alias(c) for c in keep])
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sorrel.operators.few import best_for_few, best_of_few
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.topk import as_lists, as_rows, keep_best, top_matches
 from sorrel.schemas import SIMILAR_PER_ITEM
@@ -28,7 +29,7 @@ def build_for(
 ) -> DataFrame:
     """``(base, item, score, rank)`` rows for the given ``base`` ids only."""
     chosen = _vectors_of(bases.select("base").distinct(), catalogue, id_col)
-    return top_matches(chosen, catalogue, n, "cosine", id_col, vec_col)
+    return best_for_few(chosen, catalogue, n, "cosine", id_col, vec_col)
 
 
 def _vectors_of(ids: DataFrame, catalogue: DataFrame, id_col: str) -> DataFrame:
@@ -71,12 +72,12 @@ def apply_add(
     new_ids = _known(added, catalogue, id_col)
     fresh = _vectors_of(new_ids, catalogue, id_col)
     old = lists.join(new_ids, "base", "left_anti")
-    challengers = top_matches(
+    challengers = best_of_few(
         _vectors_of(old, catalogue, id_col), fresh, n, "cosine", id_col, vec_col
     ).select("base", "item", "score")
     current = _without_items(as_rows(old), new_ids).select("base", "item", "score")
     merged = keep_best(current.unionByName(challengers), n)
-    own = top_matches(fresh, catalogue, n, "cosine", id_col, vec_col)
+    own = best_for_few(fresh, catalogue, n, "cosine", id_col, vec_col)
     return as_lists(old.select("base").unionByName(new_ids), merged.unionByName(own))
 
 
@@ -85,13 +86,14 @@ def apply_update(
 ) -> DataFrame:
     """Re-scores changed items everywhere.
 
-    A list keeps its other entries as long as the changed items that it held are still
-    no worse than its old last entry. Otherwise an unlisted item may have moved up and
-    the list is rebuilt from the catalogue.
+    A changed item enters a list, or stays in it, only if it is no worse than the old last
+    entry, and a list keeps its length: one that deletions have shortened is not filled up,
+    and an empty one stays empty. If a changed item that a list held falls below its old last
+    entry, an unlisted item may have moved up, and the list is rebuilt from the catalogue.
     """
     ids = _known(updated, catalogue, id_col)
     fresh = _vectors_of(ids, catalogue, id_col)
-    old = lists.join(ids, "base", "left_anti")
+    old = materialise(lists.join(ids, "base", "left_anti"))
     last = F.element_at("entries", -1)
     limits = old.where(F.size("entries") > 0).select(
         "base",
@@ -99,24 +101,19 @@ def apply_update(
         F.round(last["sim"], 10).alias("_sim"),
         last["item"].alias("_item"),
     )
-    challengers = top_matches(
-        _vectors_of(old, catalogue, id_col), fresh, n, "cosine", id_col, vec_col
-    ).select("base", "item", "score")
-    current = _without_items(as_rows(old), ids).select("base", "item", "score")
-    merged = materialise(keep_best(current.unionByName(challengers), n))
     rounded = F.round("score", 10)
     as_good = (rounded > F.col("_sim")) | ((rounded == F.col("_sim")) & (F.col("item") <= F.col("_item")))
-    safe = (
-        merged.join(limits, "base")
-        .groupBy("base", "_size")
-        .agg(F.count_if(as_good).alias("_good"))
-        .where("_good >= _size")
-        .select("base")
+    challengers = best_of_few(_vectors_of(old, catalogue, id_col), fresh, n, "cosine", id_col, vec_col)
+    admitted = challengers.join(limits, "base").where(as_good).select("base", "item", "score")
+    current = _without_items(as_rows(old), ids).select("base", "item", "score")
+    merged = materialise(
+        keep_best(current.unionByName(admitted), n).join(limits.select("base", "_size"), "base").where("rank <= _size")
     )
-    rebuild = limits.select("base").join(safe, "base", "left_anti").unionByName(ids)
+    full = merged.groupBy("base", "_size").count().where(F.col("count") >= F.col("_size")).select("base")
+    rebuild = limits.select("base").join(full, "base", "left_anti").unionByName(ids)
     rebuilt_ids = materialise(rebuild.distinct())
     rebuilt = build_for(rebuilt_ids, catalogue, id_col, vec_col, n)
-    kept = merged.join(rebuilt_ids, "base", "left_anti")
+    kept = merged.drop("_size").join(rebuilt_ids, "base", "left_anti")
     return as_lists(old.select("base").unionByName(ids), kept.unionByName(rebuilt))
 
 
@@ -130,16 +127,19 @@ def apply_changes(
 ) -> DataFrame:
     """One batch of ``(sid, type)`` changes, at most one per item, as set operations."""
     changes = materialise(changes.select(F.col("sid").cast("bigint").alias("base"), "type"))
+    present = {r["type"] for r in changes.select("type").distinct().collect()}
     by_type = {kind: changes.where(F.col("type") == kind).select("base") for kind in KNOWN_EVENTS}
-    deleted = by_type["delete"]
-    live = catalogue.join(deleted.select(F.col("base").alias(id_col)), id_col, "left_anti")
-    after_delete = apply_delete(lists, deleted)
-    after_update = materialise(
-        apply_update(after_delete, by_type["update"], live.join(
-            by_type["add"].select(F.col("base").alias(id_col)), id_col, "left_anti"
-        ), id_col, vec_col, n)
-    )
-    return apply_add(after_update, by_type["add"], live, id_col, vec_col, n)
+    live = catalogue
+    if "delete" in present:
+        gone = by_type["delete"].select(F.col("base").alias(id_col))
+        live = catalogue.join(gone, id_col, "left_anti")
+        lists = materialise(apply_delete(lists, by_type["delete"]))
+    if "update" in present:
+        unseen = live.join(by_type["add"].select(F.col("base").alias(id_col)), id_col, "left_anti")
+        lists = materialise(apply_update(lists, by_type["update"], unseen, id_col, vec_col, n))
+    if "add" in present:
+        lists = apply_add(lists, by_type["add"], live, id_col, vec_col, n)
+    return lists
 
 
 def _without_items(rows: DataFrame, ids: DataFrame) -> DataFrame:

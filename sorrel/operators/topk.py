@@ -78,7 +78,7 @@ def _prepared(metric: str, m: np.ndarray) -> np.ndarray:
         return _unit(m)
     if metric == "pearson":
         return _unit(_centred(m))
-    if metric in ("dot", "euclidean"):
+    if metric in ("dot", "euclidean", "adjusted_cosine"):
         return m
     raise ValueError(f"unknown metric: {metric}")
 
@@ -92,12 +92,23 @@ class _Scorer:
 
     def __init__(self, metric: str, a: np.ndarray, b: np.ndarray):
         self.metric, self.a, self.b = metric, a, b
-        self.far = metric == "euclidean"
-        if self.far:
+        self.far, self.adjusted = metric == "euclidean", metric == "adjusted_cosine"
+        if self.far or self.adjusted:
             self.aa, self.bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+        if self.adjusted:
+            self.sa, self.sb = a.sum(axis=1), b.sum(axis=1)
 
     def rough(self, at: int, to: int) -> np.ndarray:
         product = self.a[at:to] @ self.b.T
+        if self.adjusted:
+            # One mean over both vectors is taken off every component of either.
+            n = self.a.shape[1]
+            mean = (self.sa[at:to, None] + self.sb) / (2 * n)
+            square = n * mean * mean
+            one = self.aa[at:to, None] - 2 * mean * self.sa[at:to, None] + square
+            other = self.bb - 2 * mean * self.sb + square
+            with np.errstate(invalid="ignore", divide="ignore"):
+                return (product - square) / np.sqrt(one * other)
         if not self.far:
             return product
         product *= 2
@@ -106,6 +117,8 @@ class _Scorer:
         return product
 
     def margin(self, kth: np.ndarray) -> np.ndarray | float:
+        if self.adjusted:
+            return 1e-6
         if not self.far:
             return 10.0 ** (1 - DIGITS)
         size = max(self.aa.max(initial=0.0), self.bb.max(initial=0.0))
@@ -114,6 +127,8 @@ class _Scorer:
 
     def exact(self, rough: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rounded scores of single pairs."""
+        if self.adjusted:
+            return self._exact_adjusted(rough, left, right)
         if not self.far:
             return np.round(rough, DIGITS)
         out = np.full(len(rough), -np.inf)
@@ -125,6 +140,20 @@ class _Scorer:
         return out
 
 
+    def _exact_adjusted(self, rough: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        out = np.full(len(rough), -np.inf)
+        for at in range(0, len(rough), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            x, y = self.a[left[part]], self.b[right[part]]
+            mean = ((x.sum(axis=1) + y.sum(axis=1)) / (2 * x.shape[1]))[:, None]
+            x, y = x - mean, y - mean
+            norms = np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                out[part] = np.round((x * y).sum(axis=1) / norms, DIGITS)
+        out[~np.isfinite(rough) | ~np.isfinite(out)] = -np.inf
+        return out
+
+
 def _first_level(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Best ``k`` places per row of rounded scores; equal scores go to earlier columns."""
     kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
@@ -194,6 +223,7 @@ def _pair_kernel(metric: str, k: int, exclude_self: bool, both_ways: bool, schem
             ids = lid[at : at + step]
             scores = scorer.rough(at, at + step)
             scores[bad_row[at : at + step]] = -np.inf
+            scores[np.isnan(scores)] = -np.inf
             scores[:, bad_col] = -np.inf
             if exclude_self:
                 place = np.minimum(own[at : at + step], len(rid) - 1)
@@ -238,7 +268,7 @@ def top_matches(
     ``items=None`` compares ``base`` with itself, visiting each pair of blocks once.
     ``group_col`` (integer) restricts matches to the same group; a large group is cut
     into more blocks. ``exclude`` holds ``(base, item)`` pairs that must not appear.
-    Ids are integers, unique per side; rows without a vector are left out.
+    Ids are integers, unique per side; rows without an id or a vector are left out.
     """
     spark = base.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
@@ -248,7 +278,7 @@ def top_matches(
 
     def shaped(df: DataFrame) -> DataFrame:
         group = F.col(group_col).cast("bigint") if group_col else F.lit(0).cast("bigint")
-        return df.where(F.col(vec_col).isNotNull()).select(
+        return df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(
             group.alias(_GROUP),
             F.col(id_col).cast("bigint").alias("id"),
             F.col(vec_col).alias("vec"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +17,8 @@ def ratings_from_behaviours(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ratings_from_indexed(spark: SparkSession, path: str) -> DataFrame:
-    return behaviour.parse_indexed_ratings(spark.read.text(path)).select("user_id", "item_id", "score")
+    parsed = behaviour.parse_indexed_ratings(spark.read.text(path))
+    return behaviour.accepted_ratings(parsed).select("user_id", "item_id", "score")
 
 
 def indexed_ratings(ratings: DataFrame) -> DataFrame:
@@ -28,11 +28,11 @@ def indexed_ratings(ratings: DataFrame) -> DataFrame:
 
 def train_and_recommend(
     ratings: DataFrame, catalogue: DataFrame, n: int = UNSEEN_PER_USER, **grid: object
-) -> tuple[ALSModel, DataFrame, DataFrame]:
+) -> tuple[als.FactorModel, DataFrame, DataFrame]:
     """Best model of the grid, its metrics, and the best unseen items per user."""
     ratings = materialise(ratings)
     model, metrics = als.grid_search(ratings, **grid)
-    return model, metrics, als.top_unseen(model, ratings, catalogue, n)
+    return model, metrics, als.top_unseen(model.users, model.items, ratings, catalogue, n)
 
 
 def recommendation_puts(recommended: DataFrame, written_at: Column | None = None, seq: int = 0) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from sorrel.schemas import JDBC_BATCH
 
 
-def appender(df: DataFrame, url: str, table: str, batch: int = JDBC_BATCH, **properties: str) -> DataFrameWriter:
-    """A writer that appends in batches of ``batch`` rows, one connection per partition."""
-    options = {"url": url, "dbtable": table, "batchsize": str(batch), **properties}
+def appender(df: DataFrame, url: str, table: str, batch: int = JDBC_BATCH, connections: int = 8, **properties: str) -> DataFrameWriter:
+    """A writer that appends in batches of ``batch`` rows over at most ``connections`` connections."""
+    options = {"url": url, "dbtable": table, "batchsize": str(batch), "numPartitions": str(connections), **properties}
     return df.write.format("jdbc").options(**options).mode("append")
 
 

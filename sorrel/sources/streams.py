@@ -7,30 +7,34 @@ from pyspark.sql import functions as F
 
 from sorrel.schemas import CHANGE_EVENT, STREAM_PARTITIONS, STREAM_RATE_PER_PARTITION, STREAM_SECONDS_DIRECT
 
+#: Offsets per trigger of the direct stream: messages per second and partition, partitions, seconds.
+DIRECT_OFFSETS = STREAM_RATE_PER_PARTITION * STREAM_PARTITIONS * STREAM_SECONDS_DIRECT
+
 
 def kafka_options(
     servers: str,
     topics: list[str],
     reset: str = "largest",
     starting_offsets: str | None = None,
-    rate_per_partition: int = STREAM_RATE_PER_PARTITION,
-    partitions: int = STREAM_PARTITIONS,
-    seconds: int = STREAM_SECONDS_DIRECT,
+    max_offsets: int | None = None,
+    fail_on_data_loss: bool = True,
     consumer_threads: int | None = None,
 ) -> dict[str, str]:
     """Options for the Kafka reader.
 
     ``smallest`` starts a new query at the earliest offsets and anything else at the
-    latest; the rate limit becomes a limit per trigger.
+    latest. A trigger takes all there is unless ``max_offsets`` limits it, for instance
+    to :data:`DIRECT_OFFSETS`. Lost offsets end the query unless the caller accepts them.
     """
     earliest = reset.lower() in ("smallest", "earliest")
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting_offsets or ("earliest" if earliest else "latest"),
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(rate_per_partition * partitions * seconds),
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_offsets:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
     if consumer_threads:
         options["minPartitions"] = str(consumer_threads)
     return options
@@ -69,27 +73,3 @@ def parse_changes(messages: DataFrame, value: str = "value") -> DataFrame:
     others = [c for c in messages.columns if c != value]
     parsed = messages.select(*others, F.from_json(F.col(value), CHANGE_EVENT).alias("_event"))
     return parsed.select(*others, "_event.type", "_event.sid")
-
-
-def resolve_start_offsets(offsets: DataFrame, reset: str = "largest") -> DataFrame:
-    """Start offset per ``(topic, partition)``.
-
-    A committed offset counts unless it has fallen behind the earliest one kept, which
-    then replaces it; a partition without one starts at the end chosen by ``reset``.
-    """
-    fresh = F.col("earliest") if reset.lower() in ("smallest", "earliest") else F.col("latest")
-    committed = F.when(F.col("committed").isNotNull(), F.greatest("committed", "earliest"))
-    return offsets.select("topic", "partition", F.coalesce(committed, fresh).alias("start"))
-
-
-def starting_offsets_json(resolved: DataFrame) -> str:
-    """The reader's ``startingOffsets`` text; one entry per topic partition."""
-    per_topic = resolved.groupBy("topic").agg(
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct(F.col("partition").cast("string"), F.col("start"))))
-        ).alias("m")
-    )
-    whole = per_topic.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("topic", F.to_json("m"))))).alias("m"))
-    row = whole.head()
-    entries = row["m"] if row and row["m"] else {}
-    return "{" + ",".join(f'"{topic}":{inner}' for topic, inner in sorted(entries.items())) + "}"

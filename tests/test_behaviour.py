@@ -9,11 +9,11 @@ def lines(spark, *values):
 def test_parse_and_quarantine(spark):
     df = lines(
         spark, "1,浏览,10", " 2 , 收藏 , 20 ", "3,评价,30,", "3,评价,30,,", "", "   ", None, "1,浏览", "1,浏览,", "1,浏览,5,6",
-        "x,浏览,5", "1,浏览,y", "1,other,5", "99999999999,浏览,5",
+        "x,浏览,5", "1,浏览,y", "1,other,5", "99999999999,浏览,5", "99999999999999999999,浏览,5",
     )
     parsed = behaviour.parse_messages(df)
     good = [tuple(r) for r in behaviour.accepted(parsed).collect()]
-    assert good == [(1, "浏览", 10), (2, "收藏", 20), (3, "评价", 30), (3, "评价", 30), (1, "other", 5)]
+    assert good == [(1, "浏览", 10), (2, "收藏", 20), (3, "评价", 30), (3, "评价", 30), (1, "other", 5), (99999999999, "浏览", 5)]
     reasons = [r["reject_reason"] for r in behaviour.rejected(parsed).collect()]
     assert reasons == ["blank", "blank", "blank", "arity", "arity", "arity", "number", "number", "number"]
 
@@ -29,7 +29,10 @@ def test_scores_with_both_weights(spark):
 
 def test_indexed_rating_text(spark):
     df = lines(spark, "((1,2,1.15),0)", "((3,4,2.7),1)", "((3,4),1)", "", "((a,4,2.7),1)")
-    assert [tuple(r) for r in behaviour.parse_indexed_ratings(df).collect()] == [(1, 2, 1.15, 0), (3, 4, 2.7, 1)]
+    parsed = behaviour.parse_indexed_ratings(df)
+    assert [tuple(r) for r in behaviour.accepted_ratings(parsed).collect()] == [(1, 2, 1.15, 0), (3, 4, 2.7, 1)]
+    bad = {r["value"]: r["reject_reason"] for r in behaviour.rejected(parsed).collect()}
+    assert bad == {"((3,4),1)": "arity", "": "blank", "((a,4,2.7),1)": "number"}
 
 
 def test_profile_pages_are_bounded_and_whole(spark):

@@ -35,14 +35,14 @@ def test_bulk_files_are_sorted_and_do_not_overlap(spark, tmp_path):
 
 
 def test_json_to_adopted_table(spark, tmp_path):
-    source, target = tmp_path / "people", str(tmp_path / "people_cells")
-    source.write_text('{"id":"1","name":"jack","age":"18"}\n{"id":"2","name":"mike"}\n')
-    wide_cells.bulk_load(spark, str(source), target, "people_cells")
-    wide_cells.bulk_load(spark, str(source), target, "people_cells")
+    source, target = tmp_path / "plants", str(tmp_path / "plant_cells")
+    source.write_text('{"id":"fern","height":"40","shade":"yes"}\n{"id":"cactus","height":"15"}\n')
+    wide_cells.bulk_load(spark, str(source), target, "plant_cells")
+    wide_cells.bulk_load(spark, str(source), target, "plant_cells")
     try:
-        assert spark.table("people_cells").count() == 3
+        assert spark.table("plant_cells").count() == 3
     finally:
-        spark.sql("drop table people_cells")
+        spark.sql("drop table plant_cells")
 
 
 def file_clients(folder):
@@ -100,42 +100,62 @@ def log(spark, *texts):
     return spark.createDataFrame(list(enumerate(texts)), "q int, sql string")
 
 
-CATALOGUE = [("people", c) for c in ("name", "phone", "age")] + [("dep", c) for c in ("name", "dep_no")]
+CATALOGUE = [("boats", c) for c in ("hull", "mast", "length")] + [("crews", c) for c in ("boat_id", "size")]
 
 
 def test_tables_of_statements(spark):
     df = log(
-        spark, "select p.name from people p left join dep d on p.name=d.name", "SELECT *\nFROM db1.people\nWHERE age > 3",
-        "select a from t1 as x JOIN db2.t2 on x.a = t2.a", "select 1",
+        spark, "select b.hull from boats b join crews c on b.mast = c.boat_id join boats x on x.hull = b.hull",
+        "SELECT *\nFROM port1.boats\nWHERE length > 9", "select a from t1 as x JOIN db2.t2 on x.a = t2.a", "select 1",
+        "select hull from boats where mast = 'from crews, ports'",
     )
     got = sorted((r["q"], r["database"] or "", r["table"]) for r in query_log.tables(df, "q", "sql").collect())
-    assert got == [(0, "", "dep"), (0, "", "people"), (1, "db1", "people"), (2, "", "t1"), (2, "db2", "t2")]
+    assert got == [
+        (0, "", "boats"), (0, "", "crews"), (1, "port1", "boats"), (2, "", "t1"), (2, "db2", "t2"), (4, "", "boats"),
+    ]
+
+
+def test_statements_that_are_only_flagged(spark):
+    df = log(
+        spark, "select x from t x, u y", "select x from s.d.t", "with w as (select 1) select * from w", "select x from `t`",
+        "select hull from (select hull from boats) t", "select hull from boats union select size from crews", None,
+        "select x from t join \"u\" on 1 = 1", "delete from boats",
+    )
+    catalogue = spark.createDataFrame(CATALOGUE, "table string, column string")
+    for found in (query_log.tables(df, "q", "sql"), query_log.selected_columns(df, "q", "sql", catalogue)):
+        assert sorted((r["q"], r["table"], r["unsupported"]) for r in found.collect()) == [(q, None, True) for q in range(9)]
 
 
 def test_selected_columns(spark):
     df = log(
         spark,
-        "select p.name, concat(phone,dep_no) from people p left join dep d on p.name=d.name",
-        "select * from db1.dep",
-        "select d.* from people p join dep d on p.name = d.name where p.age > 3",
-        "select count(age) as name, 'phone' from people",
-        "select name from (select name from people) t",
-        "select name from people union select name from dep",
-        "select missing from people",
+        "select size, upper(b.hull) as text from crews c right join boats b on b.mast = c.boat_id",
+        "select * from port1.crews",
+        "select c.* from boats b join crews c on b.mast = c.boat_id where b.length > 3",
+        "select max(mast) as hull, 'length' from boats",
+        "select missing from boats",
+        "select count(*) from boats",
+        "select length * 2 as twice, b.length*b.mast from boats b",
+        "select distinct *, size from crews",
     )
     catalogue = spark.createDataFrame(CATALOGUE, "table string, column string")
-    got = sorted((r["q"], r["table"], r["column"]) for r in query_log.selected_columns(df, "q", "sql", catalogue).collect())
-    assert got == [
-        (0, "dep", "dep_no"), (0, "people", "name"), (0, "people", "phone"), (1, "dep", "dep_no"), (1, "dep", "name"),
-        (2, "dep", "dep_no"), (2, "dep", "name"), (3, "people", "age"),
+    found = query_log.selected_columns(df, "q", "sql", catalogue).collect()
+    assert not any(r["unsupported"] for r in found)
+    assert sorted((r["q"], r["table"], r["column"]) for r in found) == [
+        (0, "boats", "hull"), (0, "crews", "size"), (1, "crews", "boat_id"), (1, "crews", "size"),
+        (2, "crews", "boat_id"), (2, "crews", "size"), (3, "boats", "mast"), (6, "boats", "length"), (6, "boats", "mast"),
+        (7, "crews", "boat_id"), (7, "crews", "size"),
     ]
-    flags = [r[0] for r in df.orderBy("q").select(query_log.supported(df["sql"])).collect()]
-    assert flags == [True, True, True, True, False, False, True]
+
+
+def test_names_of_a_log_need_no_shuffle(spark, capsys):
+    query_log.tables(log(spark, "select a from t"), "q", "sql").explain()
+    assert "Exchange" not in capsys.readouterr().out
 
 
 def test_ddl_text(spark):
-    rows = [("people", 1, "phone", "string"), ("people", 0, "name", "string"), ("dep", 0, "dep_no", "int")]
+    rows = [("boats", 1, "mast", "string"), ("boats", 0, "hull", "string"), ("crews", 0, "size", "int")]
     df = spark.createDataFrame(rows, "table string, position int, column string, type string")
     assert {r["ddl"] for r in query_log.ddl(df).collect()} == {
-        "create table people (  name  string,phone  string  );", "create table dep (  dep_no  int  );",
+        "create table boats (  hull  string,mast  string  );", "create table crews (  size  int  );",
     }

@@ -21,8 +21,8 @@ def model(ratings):
 
 
 def factor_arrays(model):
-    users = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
-    items = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    users = {r["id"]: np.array(r["features"]) for r in model.users.collect()}
+    items = {r["id"]: np.array(r["features"]) for r in model.items.collect()}
     return users, items
 
 
@@ -30,7 +30,7 @@ def test_factors_and_predictions(spark, model, ratings):
     users, items = factor_arrays(model)
     assert als.factors(model).count() == len(users) + len(items)
     pairs = spark.createDataFrame([(0, 0), (0, 10_000), (10_000, 0)], "user_id int, item_id int")
-    rows = als.predict(model, pairs).collect()
+    rows = als.predict(model.users, model.items, pairs).collect()
     assert [(r["user_id"], r["item_id"]) for r in rows] == [(0, 0)]
     assert rows[0]["prediction"] == pytest.approx(users[0] @ items[0], abs=1e-4)
 
@@ -40,7 +40,7 @@ def test_top_unseen_is_exact(model, ratings):
     seen = {(r["user_id"], r["item_id"]) for r in ratings.collect()}
     catalogue = ratings.select("item_id").distinct().where("item_id <> 3")
     got = {}
-    for r in als.top_unseen(model, ratings, catalogue, 7).collect():
+    for r in als.top_unseen(model.users, model.items, ratings, catalogue, 7).collect():
         got.setdefault(r["user_id"], {})[r["rank"]] = r["item_id"]
     for user, vec in users.items():
         free = [(-round(float(vec @ v), 10), i) for i, v in items.items() if (user, i) not in seen and i != 3]
@@ -48,29 +48,39 @@ def test_top_unseen_is_exact(model, ratings):
 
 
 def test_recommenders(spark, model, ratings):
-    one = spark.createDataFrame([(0,)], "user_id int")
-    assert als.items_for_users(model, one, 10).count() == 10
-    assert als.users_for_items(model, spark.createDataFrame([(5,)], "item_id int"), 4).count() == 4
-    n_users, n_items = model.userFactors.count(), model.itemFactors.count()
-    every = als.items_for_all_users(model, 3)
-    assert every.count() == 3 * n_users and als.users_for_all_items(model, 2).count() == 2 * n_items
+    users, items = factor_arrays(model)
+    one = spark.createDataFrame([(0,)], "user_id bigint")
+    got = als.items_for_users(model.users, model.items, 10, one).orderBy("rank").collect()
+    wanted = sorted((-round(float(users[0] @ v), 10), i) for i, v in items.items())[:10]
+    assert [(r["item_id"], r["rating"]) for r in got] == [(i, -s) for s, i in wanted]
+    assert als.users_for_items(model.users, model.items, 4, spark.createDataFrame([(5,)], "item_id bigint")).count() == 4
+    every = als.items_for_users(model.users, model.items, 3)
+    assert every.count() == 3 * len(users) and als.users_for_items(model.users, model.items, 2).count() == 2 * len(items)
     names = ratings.select("item_id").distinct().withColumn("name", F.concat(F.lit("n"), F.col("item_id").cast("string")))
     labelled = als.named(every, names).collect()
-    assert len(labelled) == 3 * n_users
+    assert len(labelled) == 3 * len(users)
     assert all(r["label"].startswith(f"n{r['item_id']},") for r in labelled)
 
 
 def test_similar_items_leave_out_the_item(model):
-    rows = als.similar_items(model, 5).collect()
+    rows = als.similar_items(model.items, 5).collect()
     assert all(r["base"] != r["item"] for r in rows)
     assert {sum(1 for r in rows if r["base"] == b) for b in {r["base"] for r in rows}} == {5}
 
 
+def test_ids_beyond_32_bits(spark, ratings):
+    far = ratings.select((F.col("user_id") + 2**40).alias("user_id"), (F.col("item_id") - 2**41).alias("item_id"), "score")
+    model = als.fit(far, 3, 2, 0.1)
+    predicted = als.predict(model.users, model.items, far)
+    assert predicted.count() == far.count()
+    assert predicted.agg(F.min("user_id")).first()[0] >= 2**40
+
+
 def test_model_round_trip(model, tmp_path):
     path = str(tmp_path / "model")
-    model.write().overwrite().save(path)
+    model.model.write().overwrite().save(path)
     again = ALSModel.load(path)
-    assert again.rank == model.rank and again.itemFactors.exceptAll(model.itemFactors).count() == 0
+    assert again.rank == model.rank and again.itemFactors.exceptAll(model.model.itemFactors).count() == 0
 
 
 def test_grid_takes_the_first_lowest_error(ratings):

@@ -101,3 +101,26 @@ def test_one_batch_of_all_kinds(spark):
     for base in set(live) - lost:
         assert after[base] == rebuilt[base]
     assert all(not {1, 2} & {e[0] for e in v} for v in after.values())
+
+
+def test_update_does_not_fill_lists_shortened_by_a_delete(spark):
+    rows = vectors(12, 6)
+    lists = materialise(sl.build(frame(spark, rows), "id", "vec", n=3))
+    shortened = materialise(sl.apply_delete(lists, ids(spark, 3, 7, 9)))
+    before = shown(shortened)
+    live = {i: v for i, v in rows.items() if i not in (3, 7, 9)}
+    live[4] = [-10 * x for x in live[4]]
+    after = shown(sl.apply_update(shortened, ids(spark, 4), frame(spark, live), "id", "vec", n=3))
+    full = shown(sl.build(frame(spark, live), "id", "vec", n=3))
+    for base, old in before.items():
+        if base == 4 or (4 in [i for i, _ in old] and 4 not in [i for i, _ in after[base]]):
+            assert after[base] == full[base]
+        elif 4 not in [i for i, _ in old]:
+            assert len(after[base]) == len(old)
+            assert all(s >= old[-1][1] for i, s in after[base] if i == 4)
+
+
+def test_empty_lists_stay_empty_on_update(spark):
+    rows = vectors(5, 2)
+    lists = spark.createDataFrame([(0, []), (1, [(2, 0.5)])], "base bigint, entries array<struct<item:bigint,sim:double>>")
+    assert shown(sl.apply_update(lists, ids(spark, 4), frame(spark, rows), "id", "vec"))[0] == []

@@ -1,4 +1,3 @@
-import json
 import zipfile
 
 import pytest
@@ -47,7 +46,7 @@ def test_location_job_from_pipe_files(spark, tmp_path):
 
 def test_json_with_and_without_schema(spark, tmp_path):
     path = tmp_path / "stats"
-    path.write_text('{"id":"1","url":"www.a.com","pv":1000,"uv":800}\n')
+    path.write_text('{"id":"k9","url":"shop.test/cart","pv":37,"uv":12}\n')
     assert files.json_table(spark, str(path)).dtypes == files.json_table(spark, str(path), schemas.STATS).select(
         "id", "pv", "url", "uv"
     ).dtypes
@@ -83,26 +82,15 @@ def test_folder_of_workbooks(spark, tmp_path):
 def test_kafka_options():
     options = streams.kafka_options("h:1", ["t1", "t2"], reset="smallest", consumer_threads=2)
     assert options == {
-        "kafka.bootstrap.servers": "h:1", "subscribe": "t1,t2", "startingOffsets": "earliest", "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "200", "minPartitions": "2",
+        "kafka.bootstrap.servers": "h:1", "subscribe": "t1,t2", "startingOffsets": "earliest", "failOnDataLoss": "true",
+        "minPartitions": "2",
     }
+    limited = streams.kafka_options("h:1", ["t"], max_offsets=streams.DIRECT_OFFSETS, fail_on_data_loss=False)
+    assert limited["maxOffsetsPerTrigger"] == "200" and limited["failOnDataLoss"] == "false"
     assert streams.kafka_options("h:1", ["t"])["startingOffsets"] == "latest"
     assert streams.kafka_options("h:1", ["t"], starting_offsets='{"t":{"0":5}}')["startingOffsets"] == '{"t":{"0":5}}'
 
 
-def test_start_offsets(spark):
-    rows = [("t", 0, 10, 90, 50), ("t", 1, 60, 90, 50), ("t", 2, 0, 70, None), ("s", 0, 5, 6, None)]
-    df = spark.createDataFrame(rows, "topic string, partition int, earliest bigint, latest bigint, committed bigint")
-
-    def starts(reset):
-        return {(r["topic"], r["partition"]): r["start"] for r in streams.resolve_start_offsets(df, reset).collect()}
-
-    assert starts("smallest") == {("t", 0): 50, ("t", 1): 60, ("t", 2): 0, ("s", 0): 5}
-    assert starts("largest") == {("t", 0): 50, ("t", 1): 60, ("t", 2): 70, ("s", 0): 6}
-    text = streams.starting_offsets_json(streams.resolve_start_offsets(df))
-    assert json.loads(text) == {"t": {"0": 50, "1": 60, "2": 70}, "s": {"0": 6}}
-
-
 def test_checkpoint_offset_is_numeric_newest(spark, tmp_path):
     for batch, offset in ((2, "a"), (9, "b"), (10, "2400000001667289")):
         (tmp_path / str(batch)).write_text(f'v1\n{{"batchWatermarkMs":0}}\n{offset}\n')

@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sorrel.operators import topk
+from sorrel.functions.similarity import adjusted_cosine
+from sorrel.operators import few as few_module
+from sorrel.operators.few import best_for_few, best_of_few
 from sorrel.operators.topk import as_lists, nearest_to_one, top_matches
 
 SCHEMA = "id bigint, vec array<double>"
@@ -140,3 +143,37 @@ def test_group_limit_in_the_plan(spark, capsys):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], SCHEMA)
     top_matches(df, None, 6, "cosine", "id", "vec").explain()
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def test_rows_without_an_id_or_vector_are_left_out(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (None, [1.0, 0.5]), (4, None)], SCHEMA)
+    assert found(top_matches(df, None, 6, "cosine", "id", "vec")) == {1: [2], 2: [1]}
+    few = df.where("id = 1")
+    assert found(best_of_few(df, few, 6, "cosine", "id", "vec")) == {2: [1]}
+    assert found(best_for_few(few, df, 6, "cosine", "id", "vec")) == {1: [2]}
+
+
+@pytest.mark.parametrize("metric", ["cosine", "pearson", "euclidean", "adjusted_cosine", "dot"])
+@pytest.mark.parametrize("limit", [few_module.FEW_BYTES, 0])
+def test_few_against_many_equals_the_block_join(spark, small_blocks, monkeypatch, metric, limit):
+    rows = data(80)
+    some = {i: rows[i] for i in (0, 3, 12, 69)}
+    base, items = (spark.createDataFrame(list(x.items()), SCHEMA) for x in (some, rows))
+    one, other = found(top_matches(base, items, 6, metric, "id", "vec")), found(top_matches(items, base, 6, metric, "id", "vec"))
+    monkeypatch.setattr(few_module, "FEW_BYTES", limit)
+    assert found(best_for_few(base, items, 6, metric, "id", "vec")) == one
+    assert found(best_of_few(items, base, 6, metric, "id", "vec")) == other
+
+
+def test_adjusted_cosine_follows_the_column_form(spark, small_blocks):
+    df = spark.createDataFrame(list(data(60).items()), SCHEMA)
+    best = top_matches(df, None, 3, "adjusted_cosine", "id", "vec")
+    one, other = (df.select(F.col("id").alias(n), F.col("vec").alias(v)) for n, v in (("base", "x"), ("item", "y")))
+    score = F.abs(adjusted_cosine(F.col("x"), F.col("y")) - F.col("score"))
+    assert best.join(one, "base").join(other, "item").agg(F.max(score)).first()[0] < 1e-9
+
+
+def test_the_large_side_is_not_shuffled(spark, capsys):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], SCHEMA)
+    best_of_few(df, df, 1, "euclidean", "id", "vec", exclude_self=False).explain()
+    assert "Exchange" not in capsys.readouterr().out

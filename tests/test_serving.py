@@ -86,6 +86,27 @@ def test_changes_of_some_keys(spark, monkeypatch, capsys, tmp_path):
     assert "In(key" in capsys.readouterr().out.split("PushedFilters")[1]
 
 
+def test_compaction_moves_readers_and_writers(spark, tmp_path):
+    path = str(tmp_path / "kv")
+    now = at("2024-06-01 00:00:00")
+    for batch in range(4):
+        sink.append_batch(writes(spark, [("a", str(batch), batch + 1, batch), (f"k{batch}", "x", 1, batch)]), path, batch)
+    earlier = sink.read_changes(spark, path)
+    sink.compact_version(spark, path, now)
+    assert sink.current_folder(spark, path).endswith("/_versions/1") and earlier.count() == 8
+    whole = {"a": "3", "k0": "x", "k1": "x", "k2": "x", "k3": "x"}
+    assert view(serving.latest(sink.read_changes(spark, path))) == whole
+    # The batch that was newest runs again, and finds the state before it.
+    before = sink.read_changes(spark, path).where("seq < 3")
+    assert view(serving.latest(before)) == {"a": "2", "k0": "x", "k1": "x", "k2": "x"}
+    sink.append_batch(writes(spark, [("a", "3", 4, 3), ("k3", "x", 1, 3)]), path, 3)
+    assert view(serving.latest(sink.read_changes(spark, path))) == whole
+    sink.append_batch(writes(spark, [("a", "4", 5, 4)]), path, 4)
+    sink.compact_version(spark, path, now)
+    assert view(serving.latest(sink.read_changes(spark, path))) == {**whole, "a": "4"}
+    assert sink.current_folder(spark, path).endswith("/_versions/2")
+
+
 def test_compacted_files_are_in_key_order(spark, tmp_path):
     path, target = str(tmp_path / "kv"), tmp_path / "kv2"
     sink.append_batch(writes(spark, [(str(i * 7919 % 1000), "v", 1, 1) for i in range(1000)]), path, 3)

@@ -150,7 +150,7 @@ def test_jdbc_append_settings(spark):
     jdbc.appender(fake, "jdbc:x", "counts", user="u")
     assert fake.calls == {
         "format": "jdbc", "mode": "append",
-        "options": {"url": "jdbc:x", "dbtable": "counts", "batchsize": "1000", "user": "u"},
+        "options": {"url": "jdbc:x", "dbtable": "counts", "batchsize": "1000", "numPartitions": "8", "user": "u"},
     }
     rows = jdbc.cluster_rows(spark.createDataFrame([(1, "n", 2)], "id int, nm string, cluster int"), "id", "nm")
     assert rows.columns == ["schoolid", "name", "prediction", "accesse_date"] and dict(rows.dtypes)["accesse_date"] == "date"

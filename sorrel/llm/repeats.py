@@ -1,17 +1,21 @@
 """Repeated stretches across a corpus: the parts that both substring operators share.
 
-A *unit* is a byte or a word, a *window* is ``length`` consecutive units of one text. Equal
-texts are set aside first. In the others every window holds an *anchor*, a run of ``gram``
+A *unit* is a byte or a word, a *window* is ``length`` consecutive units of one text. Every
+window holds an *anchor*, a run of ``gram``
 units whose hash is least within the window, so equal windows hold equal anchors in the same
 place. Only anchors travel, packed into arrays and addressed to groups of bounded size:
 
 * an anchor whose run occurs once in the corpus settles that its windows do not repeat;
 * the *context* of an anchor holds all windows around it. Where an earlier text has the same
   context, all those windows are repeats and are settled too;
-* the windows of the anchors that are left, near the ends of copied passages, are *open*.
-
-Of equal (run, context) pairs a task sends on the first only, so a passage that sits in a
-third of all texts costs a row per task and not per text. The operators settle the open
+* of the other windows with an anchor, one half holds more of what stands before the run
+  and one more of what stands after it. Where no other text has the run with that much
+  before it, or after it, that half does not repeat either;
+* the windows that are left, near the ends of copied passages, are *open*.
+
+Of equal (run, context) pairs a batch sends on the first only, so a passage that sits in a
+third of all texts costs a row per batch and not per text; a run that stands in many
+contexts within one batch is open there, and one row bears witness. The operators settle the open
 windows, each by its own method, and mark what they cover.
 """
 
@@ -31,7 +35,8 @@ from sorrel.llm.tokens import BASES, U, mix, stretch_hashes, word_bounds, word_h
 
 #: Bytes of text worked on at a time inside a task, and in a group.
 BATCH, GROUP = 2 << 20, 16 << 20
-TOP = ~U(0)
+#: Contexts of a run in one batch above which they are not sent on one by one.
+COMMON = 64
 
 
 @dataclass(frozen=True)
@@ -43,6 +48,16 @@ class Unit:
     gram: int
     own: bool
 
+    @property
+    def before(self) -> int:
+        """Units before the run that a window of the first half holds at least."""
+        return (self.length - self.gram + 1) // 2
+
+    @property
+    def after(self) -> int:
+        """Units after the run that a window of the other half holds at least."""
+        return self.length - self.gram - self.before + 1
+
     def values(self, text: bytes) -> np.ndarray:
         return word_hashes(text) if self.words else np.frombuffer(text, dtype=np.uint8)
 
@@ -72,32 +87,37 @@ class Batch:
         return np.maximum(self.ends[doc], at - spare), np.minimum(self.ends[doc + 1], at + self.unit.length)
 
 
-def sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """``best`` of every ``width`` consecutive values, by doubling."""
-    out, reach = values, 1
+def least_places(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first least value among every ``width`` consecutive ones, by doubling."""
+
+    def better(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(values[b] < values[a], b, a)
+
+    out, reach = np.arange(len(values)), 1
     while reach * 2 <= width:
-        out = best(out[:-reach], out[reach:])
+        out = better(out[:-reach], out[reach:])
         reach *= 2
     rest = width - reach
-    return best(out[:-rest], out[rest:]) if rest else out
+    return better(out[:-rest], out[rest:]) if rest else out
 
 
-def anchors(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all anchors and the hashes of their runs."""
+def windows_and_anchors(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all windows, the anchor of each, and the hashes of the runs by position."""
     unit, n = batch.unit, len(batch.values)
     if n < unit.length:
-        return np.zeros(0, np.int64), np.zeros(0, U)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
     starts = np.arange(n - unit.gram + 1)
     run = stretch_hashes(batch.values, starts, starts + unit.gram)
-    np.minimum(run, TOP - U(1), out=run)
     left = np.repeat(batch.ends[1:], np.diff(batch.ends)) - np.arange(n)  # units up to the end of the text
-    run[left[: len(run)] < unit.gram] = TOP
-    width = unit.length - unit.gram + 1
-    least = sliding(run, width, np.minimum) + U(1)  # by window start; 0 will mean no window
-    least[left[: len(least)] < unit.length] = 0
-    pad = np.zeros(width - 1, U)
-    chosen = sliding(np.concatenate([pad, least, pad]), width, np.maximum) == run + U(1)
-    chosen &= run != TOP
+    windows = np.flatnonzero(left[: n - unit.length + 1] >= unit.length)
+    return windows, least_places(run, unit.length - unit.gram + 1)[windows], run
+
+
+def anchors(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all anchors and the hashes of their runs."""
+    _, places, run = windows_and_anchors(batch)
+    chosen = np.zeros(len(run), bool)
+    chosen[places] = True
     at = np.flatnonzero(chosen)
     return at, run[at]
 
@@ -110,10 +130,19 @@ def firsts(columns: list[np.ndarray], ids: np.ndarray, at: np.ndarray, own: bool
         fresh[1:] = False
         for c in columns:
             fresh[1:] |= c[order][1:] != c[order][:-1]
-    run = np.cumsum(fresh) - 1
-    first = np.flatnonzero(fresh)[run] if len(order) else run
-    repeat = np.arange(len(order)) != first if own else ids[order] > ids[order][first]
-    return order, run, repeat
+    return order, np.cumsum(fresh) - 1, later_rows(ids[order], at[order], fresh, own)
+
+
+def later_rows(ids: np.ndarray, at: np.ndarray, fresh: np.ndarray, own: bool) -> np.ndarray:
+    """By row, in order: whether the run of equal rows that begins at ``fresh`` has an earlier one.
+
+    A row that occurs twice, with one id and position, is not earlier than itself.
+    """
+    if not len(fresh):
+        return fresh
+    first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    later = ids > ids[first]
+    return later | ((ids == ids[first]) & (at > at[first])) if own else later
 
 
 def several(run: np.ndarray, what: np.ndarray) -> np.ndarray:
@@ -134,10 +163,19 @@ def unpack(frame: pd.DataFrame, column: str, kind: type) -> np.ndarray:
 
 
 #: Rows of packed arrays, addressed to group ``to``: an id, check, position and group of the
-#: text, run and context hash per anchor. ``settled``: 0 to be settled, 1 a witness only,
-#: 2 covered by an earlier text, 3 open.
-PACKED = "to int, ids binary, checks binary, at binary, home binary, run binary, context binary, settled binary"
-KINDS = {"ids": np.int64, "checks": np.int64, "at": np.int32, "home": np.int32, "run": U, "context": U, "settled": np.int8}
+#: text, and hashes of the run, of the run with what is before or after it (0 if the text is
+#: too short for that), and of the context. ``settled``: 0 to be settled, 1 a witness only,
+#: 2 covered by an earlier text, 3 open, 4 open for windows of the first half, 5 of the other.
+PACKED = (
+    "to int, ids binary, checks binary, at binary, home binary, run binary, left binary, right binary, context binary, "
+    "settled binary"
+)
+#: The address takes the low bits of a run's hash and the row the high ones; two runs that look
+#: alike even so only leave their windows open.
+KINDS = {
+    "ids": np.int64, "checks": np.int32, "at": np.int32, "home": np.int32, "run": np.uint32, "left": np.uint32,
+    "right": np.uint32, "context": np.uint32, "settled": np.int8,
+}
 #: Findings, addressed to the group of the text.
 FOUND = "to int, ids binary, checks binary, at binary, settled binary"
 
@@ -170,10 +208,20 @@ def batches_of(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[tuple[
 def _batch(parts: list[pa.RecordBatch], unit: Unit) -> tuple[Batch, np.ndarray]:
     rows = pa.Table.from_batches(parts)
     texts = [t.encode("utf-8", "surrogatepass") for t in rows.column("text").to_pylist()]
-    ids, checks, home = (rows.column(c).to_numpy() for c in ("doc_id", "check", "home"))
+    ids, checks, home = (rows.column(c).to_numpy() for c in ("doc_id", "check", "to"))
     return Batch(unit, ids, checks, texts), home
 
 
+def sides(batch: Batch, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit hashes of each run with what is before it and with what is after it; 0 where the text ends."""
+    unit = batch.unit
+    low, high = batch.ends[doc], batch.ends[doc + 1]
+    start, stop = at - unit.before, at + unit.gram + unit.after
+    left = stretch_hashes(batch.values, np.maximum(start, low), at + unit.gram, BASES[1]) >> U(32) | U(1)
+    right = stretch_hashes(batch.values, at, np.minimum(stop, high), BASES[1]) >> U(32) | U(1)
+    return np.where(start >= low, left, U(0)), np.where(stop <= high, right, U(0))
+
+
 def _send_anchors(unit: Unit, groups: int):
     names = list(KINDS)
 
@@ -186,21 +234,23 @@ def _send_anchors(unit: Unit, groups: int):
             order, pair, repeat = firsts([runs, context], batch.ids[doc], at, unit.own)
             at, runs, context, doc = at[order], runs[order], context[order], doc[order]
             settled = np.where(repeat, 2, 0).astype(np.int8)
-            # A run with several contexts in this batch alone is open here; one row bears witness elsewhere.
-            left = np.flatnonzero(~repeat)
+            # A run with many contexts in this batch alone is open here; one row bears witness elsewhere.
+            unsettled = np.flatnonzero(~repeat)
             numbers = np.cumsum(np.concatenate(([0], runs[1:] != runs[:-1]))) if len(runs) else runs.astype(int)
-            many = several(numbers[left], context[left])
+            many = np.bincount(numbers[unsettled], minlength=1)[numbers[unsettled]] > COMMON
             if not unit.own:
-                many &= several(numbers[left], batch.ids[doc[left]])
-            settled[left[many]] = 3
-            witness = left[many]
+                many &= several(numbers[unsettled], batch.ids[doc[unsettled]])
+            settled[unsettled[many]] = 3
+            witness = unsettled[many]
             if len(witness):
                 witness = witness[np.concatenate(([True], numbers[witness][1:] != numbers[witness][:-1]))]
             rows = np.concatenate([np.arange(len(at)), witness])
             settled = np.concatenate([settled, np.ones(len(witness), np.int8)])
+            left, right = sides(batch, at, doc)
             columns = {
                 "ids": batch.ids[doc[rows]], "checks": batch.checks[doc[rows]], "home": home[doc[rows]],
-                "at": (at - batch.ends[doc])[rows], "run": runs[rows], "context": context[rows], "settled": settled,
+                "at": (at - batch.ends[doc])[rows], "run": runs[rows] >> U(32), "left": left[rows], "right": right[rows],
+                "context": context[rows] >> U(32), "settled": settled,
             }
             to = np.where(settled >= 2, columns["home"], (runs[rows] % U(groups)).astype(np.int64))
             frame = split(to, columns, names)
@@ -214,26 +264,43 @@ def _arrow(schema: str) -> pa.Schema:
     return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
 
 
+def shared(runs: np.ndarray, side: np.ndarray, context: np.ndarray, ids: np.ndarray, own: bool) -> np.ndarray:
+    """Whether the same run has the same side in another context, of another text unless ``own``."""
+    order = np.lexsort([side, runs])
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (runs[order][1:] != runs[order][:-1]) | (side[order][1:] != side[order][:-1])
+    number = np.cumsum(fresh) - 1
+    out = np.zeros(len(order), bool)
+    if len(order):
+        differs = several(number, context[order])
+        out[order] = differs if own else differs & several(number, ids[order])
+    return out & (side > 0)
+
+
 def settle_anchors(frame: pd.DataFrame, unit: Unit) -> pd.DataFrame:
     """What the anchors of one group say of each other, addressed to the groups of the texts."""
     c = {k: unpack(frame, k, kind) for k, kind in KINDS.items()}
     done = c["settled"] >= 2
     told = np.flatnonzero(done)
     rest = np.flatnonzero(~done)
-    runs, context, ids = c["run"][rest], c["context"][rest], c["ids"][rest]
-    order, pair, repeat = firsts([runs, context], ids, c["at"][rest], unit.own)
-    runs, context, ids, witness = runs[order], context[order], ids[order], c["settled"][rest][order] == 1
+    # Equal contexts have equal sides, so that all four hashes tell contexts apart.
+    sides_ = c["left"][rest].astype(U) << U(32) | c["right"][rest]
+    whole = mix(sides_) ^ mix(c["context"][rest].astype(U) << U(32) | c["run"][rest])
+    order, _, repeat = firsts([c["run"][rest], whole], c["ids"][rest], c["at"][rest], unit.own)
+    rows = rest[order]
+    witness = c["settled"][rows] == 1
+    runs = c["run"][rows]
     numbers = np.cumsum(np.concatenate(([0], runs[1:] != runs[:-1]))) if len(runs) else runs.astype(int)
-    others = several(numbers, context) if unit.own else several(numbers, context) & several(numbers, ids)
     # A witness stands for further contexts, so whatever shares its run is open.
-    others |= np.bincount(numbers, witness, int(numbers.max()) + 1)[numbers] > 0 if len(numbers) else False
-    settled = np.where(repeat, 2, np.where(others, 3, 0)).astype(np.int8)
+    seen = np.bincount(numbers, witness, numbers[-1] + 1)[numbers] > 0 if len(numbers) else witness
+    first, other = (shared(runs, c[side][rows], whole[order], c["ids"][rows], unit.own) for side in ("left", "right"))
+    settled = np.select([repeat, seen | (first & other), first, other], [2, 3, 4, 5], 0).astype(np.int8)
     settled[witness] = 0
     keep = settled > 0
-    rows = np.concatenate([told, rest[order[keep]]])
-    columns = {k: c[k][rows] for k in ("ids", "checks", "at")}
+    every = np.concatenate([told, rows[keep]])
+    columns = {k: c[k][every] for k in ("ids", "checks", "at")}
     columns["settled"] = np.concatenate([c["settled"][told], settled[keep]])
-    return split(c["home"][rows], columns, ["ids", "checks", "at", "settled"])
+    return split(c["home"][every], columns, ["ids", "checks", "at", "settled"])
 
 
 def identity(ids: np.ndarray, checks: np.ndarray) -> np.ndarray:
@@ -246,7 +313,7 @@ def first_units(batch: Batch, found: pd.DataFrame) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.int64), np.zeros(0, np.int8)
     own = identity(batch.ids, batch.checks)
     order = np.argsort(own, kind="stable")
-    asked = identity(unpack(found, "ids", np.int64), unpack(found, "checks", np.int64))
+    asked = identity(unpack(found, "ids", np.int64), unpack(found, "checks", np.int32))
     place = np.minimum(np.searchsorted(own[order], asked), len(own) - 1)
     hit = own[order][place] == asked
     doc = order[place[hit]]
@@ -261,74 +328,60 @@ def marked(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Corpus:
-    """The distinct texts, with the groups they are dealt into, and how to find copies."""
+    """The texts with an id, dealt into groups of bounded size by id and a check of the text."""
 
-    rows: DataFrame
     texts: DataFrame
     groups: int
 
 
-def distinct_texts(docs: DataFrame, **extra: Column) -> Corpus:
-    """Set equal texts aside: of each, the row with the smallest id is read on.
-
-    Rows without an id neither lose nor cause anything and are set aside as well. ``extra``
-    are columns over ``text`` (never null) to be worked out for every row.
-    """
+def corpus_of(docs: DataFrame) -> Corpus:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("check", F.xxhash64("text"))
-    signed = read.select(
-        "doc_id", "check", F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes"),
-        *[column.alias(name) for name, column in extra.items()],
-    )
-    rows = stored(signed)
-    first = rows.where("doc_id is not null").groupBy("sha").agg(
-        F.min("doc_id").alias("first"), F.first("check").alias("check"), F.first("n_bytes").alias("n_bytes")
-    )
-    first = stored(first)
-    size = first.agg(F.sum("n_bytes")).first()[0] or 0
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where("doc_id is not null")
+    size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(-(-size // GROUP), 2 * shuffle_partitions(docs.sparkSession))
-    known = rows.join(first.select("sha", "first"), "sha", "left")
-    ids = first.select(F.col("first").alias("doc_id"), "check")
+    check = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     home = F.pmod(F.xxhash64("doc_id", "check"), F.lit(groups)).cast("int")
-    texts = read.join(ids, ["doc_id", "check"], "left_semi").withColumn("home", home)
-    return Corpus(known, stored(texts.dropDuplicates(["doc_id", "check"])), groups)
+    return Corpus(read.withColumn("check", check).withColumn("to", home), groups)
 
 
 #: What stage two leaves: finished texts, texts that wait for open windows, and those windows.
 STAGE = (
-    "kind int, to int, doc_id long, check long, n_units long, n_removed long, n_spans long, sha string, "
+    "kind int, to int, doc_id long, check int, times long, n_units long, n_removed long, n_spans long, sha string, "
     "covered binary, text string, ids binary, checks binary, at binary, home binary, one binary, two binary, lead binary"
 )
 DONE, WAITING, WINDOWS = 0, 1, 2
-WINDOW_KINDS = {"ids": np.int64, "checks": np.int64, "at": np.int32, "home": np.int32, "one": U, "two": U, "lead": U}
+WINDOW_KINDS = {"ids": np.int64, "checks": np.int32, "at": np.int32, "home": np.int32, "one": U, "two": np.uint32, "lead": U}
 
 
 def open_windows(batch: Batch, found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Mask of what is covered already, and the starts of the windows left open."""
+    """Mask of what is covered already, and the starts of the windows that their anchor leaves open."""
     unit, n = batch.unit, len(batch.values)
     at, settled = first_units(batch, found)
-    lo, hi = batch.context(at)
-    same = settled == 2
-    covered = marked(n, lo[same], hi[same])
-    known = marked(n, lo[same], hi[same] - unit.length + 1)
-    last = np.maximum(lo, np.minimum(at + 1, hi - unit.length + 1))
-    asked = marked(n, lo[~same], last[~same])
-    return covered, np.flatnonzero(asked & ~known)
+    code = np.zeros(n + 1, np.int8)
+    code[at] = settled
+    lo, hi = batch.context(at[settled == 2])
+    covered = marked(n, lo, hi)
+    starts, places, _ = windows_and_anchors(batch)
+    state, first = code[places], places - starts >= unit.before
+    return covered, starts[(state == 3) | (first & (state == 4)) | (~first & (state == 5))]
 
 
-def finished(batch: Batch, doc: int, covered: np.ndarray, finish: Callable) -> dict:
+def finished(batch: Batch, doc: int, times: int, covered: np.ndarray, finish: Callable) -> dict:
     a, b = batch.ends[doc], batch.ends[doc + 1]
     mask = covered[a:b]
     edges = np.diff(np.concatenate(([0], mask.view(np.int8), [0])))
     return {
-        "kind": DONE, "doc_id": int(batch.ids[doc]), "check": int(batch.checks[doc]), "n_units": int(b - a),
+        "kind": DONE, "doc_id": int(batch.ids[doc]), "check": int(batch.checks[doc]), "times": int(times), "n_units": int(b - a),
         "n_removed": int(mask.sum()), "n_spans": int((edges == 1).sum()), "sha": finish(batch.texts[doc], mask),
     }
 
 
 def text_batches(frame: pd.DataFrame, unit: Unit) -> Iterator[tuple[Batch, pd.DataFrame]]:
-    """The texts of one group in batches of bounded size."""
-    frame = frame.sort_values(["doc_id", "check"], kind="stable")
+    """The texts of one group in batches of bounded size; rows with equal id and text count once, ``times`` over."""
+    keys = ["doc_id", "check"]
+    if "times" not in frame:
+        frame = frame.assign(times=frame.groupby(keys)["check"].transform("size"))
+    frame = frame.drop_duplicates(keys).sort_values(keys, kind="stable")
     texts = [t.encode("utf-8", "surrogatepass") for t in frame["text"]]
     start = size = 0
     for i in range(len(texts)):
@@ -356,17 +409,18 @@ def stage_two(texts: pd.DataFrame, found: pd.DataFrame, unit: Unit, address: Cal
             if waiting[i]:
                 mask = covered[batch.ends[i] : batch.ends[i + 1]]
                 out.append({
-                    "kind": WAITING, "to": int(part["home"].iloc[i]), "doc_id": int(batch.ids[i]), "check": int(batch.checks[i]),
+                    "kind": WAITING, "to": int(part["to"].iloc[i]), "doc_id": int(batch.ids[i]), "check": int(batch.checks[i]),
+                    "times": int(part["times"].iloc[i]),
                     "covered": np.packbits(mask).tobytes(), "text": part["text"].iloc[i],
                 })
             else:
-                out.append(finished(batch, i, covered, finish))
+                out.append(finished(batch, i, part["times"].iloc[i], covered, finish))
         if len(sent):
             starts, doc = starts[sent], doc[sent]
             to, lead = address(batch, starts, one[sent])
             columns = {
                 "ids": batch.ids[doc], "checks": batch.checks[doc], "at": starts - batch.ends[doc],
-                "home": part["home"].to_numpy()[doc], "one": one[sent], "two": two[sent], "lead": lead,
+                "home": part["to"].to_numpy()[doc], "one": one[sent], "two": two[sent] >> U(32), "lead": lead,
             }
             cut = np.argsort(to, kind="stable")
             edge = np.flatnonzero(np.concatenate(([True], to[cut][1:] != to[cut][:-1])))
@@ -394,32 +448,33 @@ def stage_three(texts: pd.DataFrame, found: pd.DataFrame, unit: Unit, finish: Ca
         for i, bits in enumerate(part["covered"]):
             a, b = batch.ends[i], batch.ends[i + 1]
             covered[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
-            out.append(finished(batch, i, covered, finish))
+            out.append(finished(batch, i, part["times"].iloc[i], covered, finish))
     return _typed(out)
 
 
 def removed(
     corpus: Corpus, unit: Unit, address: Callable, settle: Callable[[pd.DataFrame], pd.DataFrame], finish: Callable
 ) -> DataFrame:
-    """``(doc_id, check, n_units, n_removed, n_spans, found_sha)`` of every distinct text.
+    """``(doc_id, n_units, n_removed, n_spans, sha)`` of every row with an id.
 
     ``address(batch, starts, hashes)`` gives the group of each open window and its leading
     units; ``settle(frame)`` returns the windows of such a group that an earlier text holds.
     """
-    groups, n = corpus.groups, shuffle_partitions(corpus.texts.sparkSession)
+    texts, groups, n = corpus.texts, corpus.groups, shuffle_partitions(corpus.texts.sparkSession)
     dealt = lambda df: df.repartition(n, "to").groupBy("to")
-    sent = corpus.texts.mapInArrow(_send_anchors(unit, groups), PACKED)
-    found = dealt(sent).applyInPandas(lambda f: settle_anchors(f, unit), FOUND)
-    texts = corpus.texts.withColumn("to", F.col("home"))
+    sent = texts.mapInArrow(_send_anchors(unit, groups), PACKED)
+    # Each step is stored, so that the shuffle files of the one before go as soon as it ends.
+    found = stored(dealt(sent).applyInPandas(lambda f: settle_anchors(f, unit), FOUND))
     two = stored(dealt(texts).cogroup(dealt(found)).applyInPandas(
         lambda t, f: stage_two(t, f, unit, address, finish), STAGE
     ))
     windows = two.where(F.col("kind") == WINDOWS).select("to", *WINDOW_KINDS)
-    covered = dealt(windows).applyInPandas(settle, FOUND)
-    waiting = two.where(F.col("kind") == WAITING).select("to", "doc_id", "check", "covered", "text")
+    covered = stored(dealt(windows).applyInPandas(settle, FOUND))
+    waiting = two.where(F.col("kind") == WAITING).select("to", "doc_id", "check", "times", "covered", "text")
     three = dealt(waiting).cogroup(dealt(covered)).applyInPandas(lambda t, f: stage_three(t, f, unit, finish), STAGE)
-    columns = ["doc_id", "check", "n_units", "n_removed", "n_spans", F.col("sha").alias("found_sha")]
-    return two.where(F.col("kind") == DONE).select(*columns).union(three.select(*columns))
+    columns = ["doc_id", "times", "n_units", "n_removed", "n_spans", "sha"]
+    rows = two.where(F.col("kind") == DONE).select(columns).union(three.select(columns))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_copy", "times")
 
 
 def repeated_windows(frame: pd.DataFrame, order_by: Callable, own: bool) -> pd.DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sorrel.llm.common import n_words
-from sorrel.llm.repeats import Batch, Corpus, Unit, distinct_texts, firsts, removed, repeated_windows, words_kept
+from sorrel.llm.repeats import Batch, Corpus, Unit, corpus_of, firsts, removed, repeated_windows, words_kept
 from sorrel.llm.tokens import U, stretch_hashes
 
 WINDOW, GRAM = 20, 10
@@ -29,7 +29,7 @@ COMMON = 0.25
 
 
 def sample_texts(corpus: Corpus, texts: int = SAMPLE_TEXTS) -> DataFrame:
-    """About ``texts`` distinct texts, chosen by hash; they only steer how rows are dealt."""
+    """About ``texts`` texts, chosen by hash; they only steer how rows are dealt."""
     total = max(1, corpus.texts.count())
     share = int(1e6 * min(1.0, texts / total))
     chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < share
@@ -87,16 +87,12 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = G
     An empty table gives an empty result.
     """
     unit = Unit(words=True, length=window, gram=gram, own=True)
-    words = n_words(F.col("text"))
-    joined = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
-    whole = F.when((words < window) | F.col("doc_id").isNull(), F.sha2(joined, 256))
-    corpus = distinct_texts(docs, n_words=words, whole=whole)
+    corpus = corpus_of(docs)
     address = prefix_groups(common_prefixes(corpus, unit), corpus.groups)
     found = removed(corpus, unit, address, lambda f: repeated_windows(f, subtree_order, unit.own), kept_digest)
-    rows = corpus.rows.join(found, ["doc_id", "check"], "left")
-    known, short = F.col("doc_id") == F.col("first"), F.col("whole").isNotNull()
-    return rows.select(
-        "doc_id", "n_words",
-        F.when(short, 0).when(known, F.col("n_removed")).otherwise(F.col("n_words")).cast("long").alias("n_removed"),
-        F.when(short, F.col("whole")).when(known, F.col("found_sha")).otherwise(F.sha2(F.lit(""), 256)).alias("kept_sha256"),
+    joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    untouched = docs.where("doc_id is null").select(
+        F.col("doc_id").cast("long"), n_words(F.col("text")), F.lit(0).cast("long"), F.sha2(joined, 256)
     )
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    return found.select("doc_id", "n_units", "n_removed", "sha").union(untouched).toDF(*names)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sorrel.llm.repeats import Batch, Corpus, Unit, distinct_texts, removed, repeated_windows
+from sorrel.llm.repeats import Batch, Corpus, Unit, corpus_of, later_rows, removed, repeated_windows
 from sorrel.llm.substring_dedup import SAMPLE_PLACES, sample_texts
 from sorrel.llm.tokens import BASES, U, stretch_hashes
 
@@ -84,11 +84,7 @@ def suffix_order(columns: dict[str, np.ndarray], own: bool) -> tuple[np.ndarray,
     keys = [columns["lead"], columns["one"], columns["two"]]
     _, same = multikey_order(keys)
     order, _ = multikey_order([*keys, columns["ids"], columns["at"]])
-    if not len(order):
-        return order, same
-    first = np.flatnonzero(same)[np.cumsum(same) - 1]
-    ids = columns["ids"][order]
-    return order, np.arange(len(order)) != first if own else ids > ids[first]
+    return order, later_rows(columns["ids"][order], columns["at"][order], same, own)
 
 
 def kept_digest(text: bytes, mask: np.ndarray) -> str:
@@ -105,15 +101,12 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRA
     if window < 8:
         raise ValueError("a window has eight bytes at least")
     unit = Unit(words=False, length=window, gram=gram, own=False)
-    corpus = distinct_texts(docs)
+    corpus = corpus_of(docs)
     address = range_groups(*splitters(corpus, unit))
     found = removed(corpus, unit, address, lambda f: repeated_windows(f, suffix_order, unit.own), kept_digest)
-    rows = corpus.rows.join(found, ["doc_id", "check"], "left")
-    known = F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("first"))
-    kept = F.col("doc_id").isNull() | (F.col("n_bytes") < window)
-    return rows.select(
-        "doc_id", "n_bytes",
-        F.when(kept, 0).when(known, F.col("n_removed")).otherwise(F.col("n_bytes")).cast("long").alias("n_removed"),
-        F.when(kept, 0).when(known, F.col("n_spans")).otherwise(1).cast("long").alias("n_spans"),
-        F.when(kept, F.lower(F.hex("sha"))).when(known, F.col("found_sha")).otherwise(F.sha2(F.lit(""), 256)).alias("kept_sha256"),
+    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    untouched = docs.where("doc_id is null").select(
+        F.col("doc_id").cast("long"), F.octet_length(text).cast("long"), none, none, F.sha2(text, 256)
     )
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    return found.select("doc_id", "n_units", "n_removed", "n_spans", "sha").union(untouched).toDF(*names)

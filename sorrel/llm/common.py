@@ -15,6 +15,10 @@ __all__ = ["WORD", "bound_rows", "crc_bucket", "n_words", "shared_path", "shuffl
 
 #: A word is a run of bytes other than these six separators.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Held while a table is stored: finished shuffles leave no files, and texts reach Python in small batches.
+STORING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +34,20 @@ def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there.
 
     Cuts the lineage like a checkpoint, in columns and compressed, so a lost executor
-    costs a new read and not a new computation.
+    costs a new read and not a new computation. The shuffle files of the finished write
+    are of no further use and go at once.
     """
-    path = shared_path(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_path(spark)
+    before = {key: spark.conf.get(key) for key in STORING}
+    for key, value in STORING.items():
+        spark.conf.set(key, value)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def crc_bucket(doc_id: Column, n: int) -> Column:

@@ -54,13 +54,24 @@ def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
+#: Words that a task holds before it sends their counts on.
+HELD = 200_000
+
+
 def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: dict[str, Counter] = defaultdict(Counter)
+
+    def sent() -> Iterator[pd.DataFrame]:
+        for lang, words in counts.items():
+            yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+        counts.clear()
+
     for frame in frames:
         for lang, text in zip(frame["lang"], frame["text"]):
             counts[lang].update(words_of(text))
-    for lang, words in counts.items():
-        yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+            if sum(map(len, counts.values())) >= HELD:
+                yield from sent()
+    yield from sent()
 
 
 def fit_sample(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:

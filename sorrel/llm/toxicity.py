@@ -30,8 +30,9 @@ MODEL_FEATURES = 3_000
 #: Documents of the sample that must hold a feature.
 LEAST_DOCS = 4
 PENALTY = 1.0
-RIDGE = 1e-4
-STEPS = 300
+RIDGE = 1e-5
+STEPS = 800
+RATE = 0.1
 BEGINNINGS = (4, 5, 6, 7)
 LETTERS = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -79,22 +80,32 @@ def swapped(words: list[str], groups: Sequence[Sequence[str]]) -> list[list[str]
     return out
 
 
+#: Features that a task holds before it sends their counts on.
+HELD = 100_000
+
+
 def _count_features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+
+    def sent() -> pd.DataFrame:
+        clean, toxic = ([c[i] for c in counts.values()] for i in (0, 1))
+        return pd.DataFrame({"feature": list(counts), "clean": clean, "toxic": toxic})
+
     for frame in frames:
         for text, toxic in zip(frame["text"], frame["toxic"]):
             for feature in features_of(words_of(text)):
                 counts[feature][int(toxic)] += 1
+            if len(counts) >= HELD:
+                yield sent()
+                counts.clear()
     if counts:
-        yield pd.DataFrame({
-            "feature": list(counts), "clean": [c[0] for c in counts.values()], "toxic": [c[1] for c in counts.values()],
-        })
+        yield sent()
 
 
 def choose_features(sample: DataFrame, clean_docs: int, toxic_docs: int, most: int) -> list[str]:
     """The features whose log odds between the labels stand out most from their error."""
     counts = sample.mapInPandas(_count_features, "feature string, clean long, toxic long")
-    counts = counts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = stored(counts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     odds = lambda hits, docs: F.log((F.col(hits) + 0.5) / (F.lit(docs + 0.5) - F.col(hits) + 0.5))
     error = F.sqrt(1 / (F.col("clean") + 0.5) + 1 / (F.col("toxic") + 0.5))
     z = F.abs((odds("toxic", toxic_docs) - odds("clean", clean_docs)) / error)
@@ -163,7 +174,7 @@ def train(
             grad += own.back(change) - other.back(change)
         grad = np.append(grad, miss.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
-        theta -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
+        theta -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     return theta[:-1], float(theta[-1])
 
 
@@ -187,7 +198,8 @@ def fit(
     names = choose_features(sample, seen.get(0, 0), seen.get(1, 0), model_features)
     names += sorted({t for group in groups for t in group} - set(names))
     features = {name: i for i, name in enumerate(names)}
-    rows = sample.mapInPandas(_numbered(features, groups), "toxic int, own array<int>, other array<int>").toPandas()
+    numbered = sample.mapInPandas(_numbered(features, groups), "toxic int, own array<int>, other array<int>")
+    rows = stored(numbered).toPandas()
     is_doc = rows["other"].isna()
     whole, pairs = rows[is_doc], rows[~is_doc]
     weights, bias = train(

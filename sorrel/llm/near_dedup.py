@@ -15,7 +15,7 @@ Pairs of a large group are never all written out:
    threshold are compared on full sets;
 3. in long lists the nodes meet, with their sets, in blocks of bounded size, where the
    exact overlaps of nodes outside the block's main component are counted by an inverted
-   index. Only links leave a block.
+   index. Only links that connect components leave a block.
 
 Components of all links then give the result.
 """
@@ -135,7 +135,7 @@ def _short_pairs(lists: DataFrame) -> DataFrame:
 
 
 def block_links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Exact links between components within one pair of blocks."""
+    """Exact links between components within one pair of blocks, as many as it takes to connect what they connect."""
     nodes, comps = frame["node"].to_numpy(), frame["component"].to_numpy()
     side = frame["side"].to_numpy()
     crossing = side.min() != side.max()
@@ -150,7 +150,13 @@ def block_links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     owners = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(shingles, kind="stable")
     shingles, owners = shingles[order], owners[order]
-    out = []
+    out, root = [], {c: c for c in names.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
     for x in strays:
         start = np.searchsorted(shingles, sets[x], side="left")
         stop = np.searchsorted(shingles, sets[x], side="right")
@@ -161,7 +167,13 @@ def block_links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
         fits = similar(overlap, sizes[x], sizes, percent) & (comps != comps[x])
         if crossing:
             fits &= side != side[x]
-        out += [(nodes[x], nodes[y]) for y in np.flatnonzero(fits)]
+        # One link per component, and none between components that are connected by now.
+        linked = np.flatnonzero(fits)
+        for y in linked[np.unique(comps[linked], return_index=True)[1]]:
+            one, other = find(int(comps[x])), find(int(comps[y]))
+            if one != other:
+                root[one] = other
+                out.append((nodes[x], nodes[y]))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
@@ -183,8 +195,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``.
 
     Rows without words, or without an id, are linked with nothing and kept. Repeated rows
-    share a component, whose smallest id is kept with every row that bears it. An empty
-    table gives an empty result.
+    share a component, whose smallest id is kept with every row that bears it; different
+    texts under one id count as one document. An empty table gives an empty result.
     """
     signed = stored(signatures(docs, shingle))
     classes = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "digest").agg(

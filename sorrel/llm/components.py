@@ -7,16 +7,24 @@ from pyspark.sql import functions as F
 
 from sorrel.llm.common import stored
 
+#: Tasks over which the neighbours of one node are spread.
+SALTS = 16
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest one."""
+    """Every larger neighbour of a node is linked to the smallest one.
+
+    The minima combine before their shuffle. A hub's neighbours meet its minimum in several tasks.
+    """
     near = _both_ways(edges)
     least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return near.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    copies = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    larger = near.where("b > a").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    return larger.join(copies, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Language, toxicity, urls, mixing, packing, top-k search, the pipeline and the SQL twins."""
 
+import hashlib
 import math
 import random
 from collections import Counter, defaultdict
@@ -14,6 +15,7 @@ from checks.compare import connect, difference
 from sorrel.llm import language_id, mixing, packing, topk, toxicity, url_filter
 from sorrel.llm.common import crc_bucket, table
 from sorrel.llm.queries import ORACLE, QUERIES
+from sorrel.operators.joins import lookup_join
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -163,6 +165,46 @@ def test_mixing_edge_cases(spark):
     assert [r["doc_id"] for r in times] == [1] and abs(times[0]["count"] - 2001) < 300
 
 
+def poisson_place(mean, unit):
+    """The count that inverts the Poisson distribution of ``mean`` at ``unit``."""
+    p = cdf = math.exp(-mean)
+    k = 0
+    while cdf <= unit:
+        k += 1
+        p = p * mean / k
+        cdf += p
+    return k
+
+
+def unit_of(*parts):
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / 2.0**52
+
+
+@pytest.mark.parametrize("block, joined", [(64, 16 << 20), (2, 0)])
+def test_a_tiny_source_is_repeated_as_often_as_poisson_says(spark, monkeypatch, block, joined):
+    monkeypatch.setattr(mixing, "DRAWS", block)
+    monkeypatch.setattr(mixing, "lookup_join", lambda *a: lookup_join(*a, broadcast_bytes=joined))
+    rows = [(i, "x", "en", "tiny") for i in range(150)] + [(7, "x", "en", "tiny")]
+    rows += [(i, "y" * 10_000, "en", "vast") for i in range(200, 280)]
+    found = mixing.mix(documents(spark, rows), {"tiny": 3.0, "vast": 1.0})
+    rate = {"tiny": 0.75 * 800_151 / 151, "vast": 0.25 * 800_151 / 800_000}
+    wanted = {i: poisson_place(rate["vast"], unit_of("mix-7", i)) for i in range(200, 280)}
+    for i in range(150):
+        units = [unit_of("mix-7", i)] + [unit_of("mix-7", "draw", d, i) for d in range(1, 8)]
+        wanted[i] = sum(poisson_place(rate["tiny"] / 8, u) for u in units)
+    counts = found.groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.countDistinct("copy").alias("n"), F.min("copy").alias("low"),
+        F.max("copy").alias("high"), F.min("n_copies").alias("least"), F.max("n_copies").alias("most"),
+    ).collect()
+    got = {r["doc_id"]: r for r in counts}
+    assert {i: r["n"] for i, r in got.items()} == {i: n for i, n in wanted.items() if n}
+    assert all(r["rows"] == r["n"] * (1 + (i == 7)) for i, r in got.items())
+    assert all((r["low"], r["high"], r["least"], r["most"]) == (0, r["n"] - 1, r["n"], r["n"]) for r in got.values())
+    tiny = np.array([got[i]["n"] for i in range(150)])
+    assert abs(tiny.mean() / rate["tiny"] - 1) < 0.01 and 0.6 < tiny.var() / rate["tiny"] < 1.5
+    assert dict(found.dtypes)["n_copies"] == dict(found.dtypes)["copy"] == "bigint"
+
+
 # Packing -------------------------------------------------------------------------
 
 

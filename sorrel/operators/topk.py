@@ -83,32 +83,45 @@ def _prepared(metric: str, m: np.ndarray) -> np.ndarray:
     raise ValueError(f"unknown metric: {metric}")
 
 
+def _levels(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows less their own mean, and the mean as a large and a small part.
+
+    What is left keeps its precision at any level, as the small part holds the rounding of the large.
+    """
+    with np.errstate(invalid="ignore", over="ignore"):
+        large = np.where((m == m[:, :1]).all(axis=1), m[:, 0], m.mean(axis=1))
+        centred = m - large[:, None]
+        small = centred.mean(axis=1)
+        return centred - small[:, None], large, small
+
+
 class _Scorer:
     """Scores of left rows against all right rows, higher is better.
 
     A matrix product gives every score to within ``margin``. For distances it comes
     from expanded squares, so the few candidates are worked out again by differences.
+    For the adjusted cosine the rows lose their own means first. With ``h`` as half the
+    difference of the two means it is ``(xy - nhh) / sqrt((xx + nhh) (yy + nhh))``, where
+    nothing cancels in the norms, and the error is some ``n`` roundings at any level.
     """
 
     def __init__(self, metric: str, a: np.ndarray, b: np.ndarray):
         self.metric, self.a, self.b = metric, a, b
         self.far, self.adjusted = metric == "euclidean", metric == "adjusted_cosine"
-        if self.far or self.adjusted:
-            self.aa, self.bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
         if self.adjusted:
-            self.sa, self.sb = a.sum(axis=1), b.sum(axis=1)
+            self.a, self.la, self.ra = _levels(a)
+            self.b, self.lb, self.rb = _levels(b)
+        if self.far or self.adjusted:
+            self.aa, self.bb = (self.a * self.a).sum(axis=1), (self.b * self.b).sum(axis=1)
 
     def rough(self, at: int, to: int) -> np.ndarray:
         product = self.a[at:to] @ self.b.T
         if self.adjusted:
             # One mean over both vectors is taken off every component of either.
-            n = self.a.shape[1]
-            mean = (self.sa[at:to, None] + self.sb) / (2 * n)
-            square = n * mean * mean
-            one = self.aa[at:to, None] - 2 * mean * self.sa[at:to, None] + square
-            other = self.bb - 2 * mean * self.sb + square
             with np.errstate(invalid="ignore", divide="ignore"):
-                return (product - square) / np.sqrt(one * other)
+                half = ((self.la[at:to, None] - self.lb) + (self.ra[at:to, None] - self.rb)) / 2
+                square = self.a.shape[1] * half * half
+                return (product - square) / np.sqrt((self.aa[at:to, None] + square) * (self.bb + square))
         if not self.far:
             return product
         product *= 2
@@ -118,7 +131,7 @@ class _Scorer:
 
     def margin(self, kth: np.ndarray) -> np.ndarray | float:
         if self.adjusted:
-            return 1e-6
+            return 10.0 ** (1 - DIGITS) + 1e-14 * self.a.shape[1]
         if not self.far:
             return 10.0 ** (1 - DIGITS)
         size = max(self.aa.max(initial=0.0), self.bb.max(initial=0.0))
@@ -144,9 +157,9 @@ class _Scorer:
         out = np.full(len(rough), -np.inf)
         for at in range(0, len(rough), 1 << 16):
             part = slice(at, at + (1 << 16))
-            x, y = self.a[left[part]], self.b[right[part]]
-            mean = ((x.sum(axis=1) + y.sum(axis=1)) / (2 * x.shape[1]))[:, None]
-            x, y = x - mean, y - mean
+            i, j = left[part], right[part]
+            half = (((self.la[i] - self.lb[j]) + (self.ra[i] - self.rb[j])) / 2)[:, None]
+            x, y = self.a[i] + half, self.b[j] - half
             norms = np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1))
             with np.errstate(invalid="ignore", divide="ignore"):
                 out[part] = np.round((x * y).sum(axis=1) / norms, DIGITS)

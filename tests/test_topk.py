@@ -1,5 +1,8 @@
 """The block kernel against brute force, with hot groups, twins and awkward vectors."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +176,28 @@ def test_adjusted_cosine_follows_the_column_form(spark, small_blocks):
     assert best.join(one, "base").join(other, "item").agg(F.max(score)).first()[0] < 1e-9
 
 
+@pytest.mark.parametrize("level", [0.0, 1e6, 1e9])
+@pytest.mark.parametrize("steps", [1, 3])
+def test_adjusted_cosine_at_a_large_common_level(spark, small_blocks, level, steps):
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-40, 41, (4, 6))
+    rows = {i: [float(v) / 32 + level * (i % steps) for v in centres[i % 4] + rng.integers(-3, 4, 6)] for i in range(70)}
+    wanted = {}
+    for b, x in rows.items():
+        scored = []
+        for i, y in rows.items():
+            one, other = [[Fraction(v) for v in z] for z in (x, y)]
+            mean = sum(one + other) / 12
+            one, other = [v - mean for v in one], [v - mean for v in other]
+            square = sum(v * v for v in one) * sum(v * v for v in other)
+            if i != b and square:
+                score = float(sum(v * w for v, w in zip(one, other))) / math.sqrt(square)
+                scored.append((-round(score, 10), i))
+        wanted[b] = [i for _, i in sorted(scored)[:4]]
+    df = spark.createDataFrame(list(rows.items()), SCHEMA)
+    assert found(top_matches(df, None, 4, "adjusted_cosine", "id", "vec")) == wanted
+
+
 def test_the_large_side_is_not_shuffled(spark, capsys):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], SCHEMA)
     best_of_few(df, df, 1, "euclidean", "id", "vec", exclude_self=False).explain()

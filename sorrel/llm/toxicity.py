@@ -1,7 +1,8 @@
 """Counterfactual-regularised toxicity classifier.
 
 A logistic model over the words of a text and the beginnings of its words. It is fitted on a
-sample of labelled documents of bounded expected size. Sentences of the sample that name a
+sample of labelled documents of bounded expected size, which is drawn by label, so that a rare
+label keeps its documents; the loss counts them by the labels they stand for. Sentences of the sample that name a
 group are repeated with the term swapped for others of its kind, and the squared change of
 the logit between the two is added to the loss, so that merely naming a group does not move
 the score. Spark counts the features by label and turns documents into feature numbers; the
@@ -12,8 +13,9 @@ whole text is then scored in its own task.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sorrel.llm.common import crc_bucket, stored
 
-#: Labelled documents expected in the sample.
+#: Labelled documents expected in the sample, at least half of them for a label that has as many.
 FIT_DOCS = 16_000
 #: Features of the model at most, besides the identity terms.
 MODEL_FEATURES = 3_000
@@ -36,7 +38,7 @@ RATE = 0.1
 BEGINNINGS = (4, 5, 6, 7)
 LETTERS = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
-#: Sentences with identity terms used at most from one document of the sample.
+#: Sentences with identity terms used at most from one document of the sample, chosen by hash.
 SENTENCES = 20
 
 # Groups of exchangeable identity terms.
@@ -80,6 +82,14 @@ def swapped(words: list[str], groups: Sequence[Sequence[str]]) -> list[list[str]
     return out
 
 
+def some_of(sentences: list[list[str]], most: int) -> list[list[str]]:
+    """At most so many of the sentences, chosen by a hash of place and words, in their order."""
+    if len(sentences) <= most:
+        return sentences
+    order = sorted(range(len(sentences)), key=lambda i: (zlib.crc32(f"{i} {' '.join(sentences[i])}".encode()), i))
+    return [sentences[i] for i in sorted(order[:most])]
+
+
 #: Features that a task holds before it sends their counts on.
 HELD = 100_000
 
@@ -114,7 +124,10 @@ def choose_features(sample: DataFrame, clean_docs: int, toxic_docs: int, most: i
 
 
 def _numbered(features: dict[str, int], groups: Sequence[Sequence[str]]):
-    """Rows ``(label, kind, pair, indices)``: documents, and sentences with their swaps."""
+    """Rows ``(toxic, own, other, stands)``: documents, and sentences with their swaps.
+
+    ``stands`` is the number of sentences of the document for each one that is used.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = {t for group in groups for t in group}
@@ -123,15 +136,14 @@ def _numbered(features: dict[str, int], groups: Sequence[Sequence[str]]):
             rows = []
             for text, toxic in zip(frame["text"], frame["toxic"]):
                 words = words_of(text)
-                rows.append((int(toxic), numbers(words), None))
+                rows.append((int(toxic), numbers(words), None, 1.0))
                 if terms.isdisjoint(words):
                     continue
-                used = 0
-                for sentence in map(words_of, SENTENCE.split(text)):
-                    if used < SENTENCES and not terms.isdisjoint(sentence):
-                        used += 1
-                        rows += [(int(toxic), numbers(sentence), numbers(o)) for o in swapped(sentence, groups)]
-            yield pd.DataFrame(rows, columns=["toxic", "own", "other"])
+                named = [x for x in map(words_of, SENTENCE.split(text)) if not terms.isdisjoint(x)]
+                for sentence in some_of(named, SENTENCES):
+                    stands = max(1.0, len(named) / SENTENCES)
+                    rows += [(int(toxic), numbers(sentence), numbers(o), stands) for o in swapped(sentence, groups)]
+            yield pd.DataFrame(rows, columns=["toxic", "own", "other", "stands"])
 
     return run
 
@@ -158,19 +170,24 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 def train(
     docs: Rows, labels: np.ndarray, own: Rows, other: Rows, penalty: float = PENALTY, ridge: float = RIDGE,
-    steps: int = STEPS,
+    steps: int = STEPS, stands: np.ndarray | None = None, pair_stands: np.ndarray | None = None,
 ) -> tuple[np.ndarray, float]:
-    """Adam on log loss + ridge + ``penalty`` times the mean squared change under a swap."""
-    rate = min(max(labels.mean(), 1e-6), 1 - 1e-6)
+    """Adam on log loss + ridge + ``penalty`` times the mean squared change under a swap.
+
+    ``stands`` and ``pair_stands`` are the numbers of documents and pairs that a row stands for.
+    """
+    stands = np.ones(docs.n) if stands is None else stands
+    pair_stands = np.ones(own.n) if pair_stands is None else pair_stands
+    rate = min(max((labels * stands).sum() / stands.sum(), 1e-6), 1 - 1e-6)
     theta = np.zeros(docs.width + 1)
     theta[-1] = np.log(rate / (1 - rate))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         weights = theta[:-1]
-        miss = (sigmoid(docs.dot(weights) + theta[-1]) - labels) / docs.n
+        miss = (sigmoid(docs.dot(weights) + theta[-1]) - labels) * stands / stands.sum()
         grad = docs.back(miss) + ridge * weights
         if own.n:
-            change = 2 * penalty * (own.dot(weights) - other.dot(weights)) / own.n
+            change = 2 * penalty * (own.dot(weights) - other.dot(weights)) * pair_stands / pair_stands.sum()
             grad += own.back(change) - other.back(change)
         grad = np.append(grad, miss.sum())
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
@@ -178,18 +195,30 @@ def train(
     return theta[:-1], float(theta[-1])
 
 
+def shares(totals: Mapping[int, int], fit_docs: int) -> dict[int, float]:
+    """The share of the documents of each label that ``fit_docs`` allow; a rare label leaves room to the others."""
+    out, room = {}, float(fit_docs)
+    for i, (label, n) in enumerate(sorted(totals.items(), key=lambda x: (x[1], x[0]))):
+        taken = min(float(n), room / (len(totals) - i))
+        out[label] = taken / n
+        room -= taken
+    return out
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, model_features: int = MODEL_FEATURES,
     groups: Sequence[Sequence[str]] = IDENTITY_TERMS, penalty: float = PENALTY,
 ) -> Model | None:
     """Model of the texts of ``docs`` with ``(doc_id, toxic)`` in ``labels``; None without any.
 
-    The labels are sampled first, by a hash of the id. As the sample has ``fit_docs`` short
+    The labels are sampled first, each on its own, by a hash of the id. As the sample has ``fit_docs`` short
     rows in expectation, it is broadcast to the documents, whose texts then need no shuffle.
     """
-    total = labels.count()
-    share = min(1.0, fit_docs / max(1, total))
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)
+    share = shares({r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}, fit_docs)
+    place = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 40))
+    chosen = F.lit(False)
+    for label, part in share.items():
+        chosen = chosen | ((F.col("toxic") == label) & (place < int(part * (1 << 40))))
     ids = F.broadcast(labels.where(chosen).select("doc_id", "toxic"))
     sample = stored(docs.select("doc_id", "text").join(ids, "doc_id").where("text is not null"))
     seen = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -198,13 +227,15 @@ def fit(
     names = choose_features(sample, seen.get(0, 0), seen.get(1, 0), model_features)
     names += sorted({t for group in groups for t in group} - set(names))
     features = {name: i for i, name in enumerate(names)}
-    numbered = sample.mapInPandas(_numbered(features, groups), "toxic int, own array<int>, other array<int>")
+    numbered = sample.mapInPandas(_numbered(features, groups), "toxic int, own array<int>, other array<int>, stands double")
     rows = stored(numbered).toPandas()
+    rows["stands"] /= rows["toxic"].map(share)
     is_doc = rows["other"].isna()
     whole, pairs = rows[is_doc], rows[~is_doc]
     weights, bias = train(
         Rows(list(whole["own"]), len(names)), whole["toxic"].to_numpy(dtype=np.float64),
         Rows(list(pairs["own"]), len(names)), Rows(list(pairs["other"]), len(names)), penalty,
+        stands=whole["stands"].to_numpy(), pair_stands=pairs["stands"].to_numpy(),
     )
     return Model(features, weights, bias)
 

@@ -88,6 +88,43 @@ def test_swapping_identity_terms_hardly_moves_the_score(spark):
     assert regular[2] > 0.5 > regular[3]
 
 
+def test_toxic_held_out_labels_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    judged = QUERIES["op7_toxicity"](spark, folder).join(table(spark, folder, "labels"), "doc_id")
+    found = judged.where("held_out and toxic = 1").agg(F.avg("predicted"), F.count("*")).first()
+    assert found[0] >= 0.85 and found[1] > 90
+
+
+def test_a_rare_label_keeps_its_documents_in_a_small_sample(spark):
+    rnd = random.Random(9)
+    words = [f"{c}{d}{e}" for c in "klmn" for d in "aeiou" for e in "prst"]
+    insults = ["wretched", "vile", "filthy", "scum"]
+    rows = []
+    for i in range(20_000):
+        text = rnd.choices(words, k=12) + (rnd.choices(insults, k=3) if i % 100 == 0 else [])
+        rows.append((i, " ".join(text), "en", "s"))
+    labels = spark.createDataFrame([(i, 1, int(i % 100 == 0)) for i, *_ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(spark, rows), toxicity.training_labels(labels), fit_docs=400)
+    toxic = [" ".join(rnd.choices(words, k=12) + rnd.choices(insults, k=3)) for _ in range(200)]
+    clean = [" ".join(rnd.choices(words, k=12)) for _ in range(2_000)]
+    assert (toxicity.score_texts(model, toxic) >= 0.5).mean() > 0.9
+    assert (toxicity.score_texts(model, clean) >= 0.5).mean() < 0.01
+
+
+def test_sample_shares_and_chosen_sentences():
+    assert toxicity.shares({0: 10, 1: 5}, 16) == {0: 1.0, 1: 1.0}
+    assert toxicity.shares({0: 9_990_000, 1: 10_000}, 16_000) == {0: 8_000 / 9_990_000, 1: 0.8}
+    assert toxicity.shares({0: 100_000, 1: 1_000}, 16_000) == {0: 0.15, 1: 1.0}
+    text = ". ".join(f"men word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200))
+    words = toxicity.words_of(text)
+    features = {w: i for i, w in enumerate(sorted(set(words) | {"women"}))}
+    frame = next(toxicity._numbered(features, [("women", "men")])(iter([toxicity.pd.DataFrame({"text": [text], "toxic": [1]})])))
+    used = frame[frame["other"].notna()]
+    late = {features[words[i]] for i in range(201, 400, 2)}
+    assert len(used) == toxicity.SENTENCES and set(used["stands"]) == {10.0}
+    assert sum(bool(late & set(own)) for own in used["own"]) > 4
+
+
 def test_toxicity_edge_cases(spark):
     docs = documents(spark, [(1, None, "en", "s"), (2, "", "en", "s"), (None, "x", None, None), (4, "a b", "en", "s"), (4, "a b", "en", "s")])
     docs = docs.withColumn("_doc", F.lit(1)).withColumn("score", F.lit("x"))

@@ -1,9 +1,10 @@
-"""Exact deduplication by a tree merge of sorted digest runs.
+"""Exact deduplication by a tree of hash aggregations over digest runs.
 
 Every document becomes a small digest row; texts are never shuffled. Digest rows are dealt
 into runs by a hash of the document id, so a repeated task yields the same run. In each
-round ``fan_in`` neighbouring runs meet, sorted by digest, and are merged into one, which
-keeps the smallest and largest id and the size of every group. Within a round the digests
+round ``fan_in`` neighbouring runs meet and are aggregated into one by digest, which keeps the
+smallest and largest id and the size of every group. The result does not depend on order, so
+Spark leaves out the sort before it, and no run is sorted or merged as such. Within a round the digests
 spread over all partitions, so no task holds a whole run and the last round is no funnel.
 A hot group costs at most one row per run in every round.
 
@@ -36,7 +37,7 @@ def digests(docs: DataFrame, text: Column, runs: int = RUNS) -> DataFrame:
 
 
 def merge_runs(rows: DataFrame, run: Column) -> DataFrame:
-    """One round: sorted runs with the same new run number become one sorted run."""
+    """One round: runs with the same new run number become one run with a row per digest."""
     n = shuffle_partitions(rows.sparkSession)
     dealt = rows.withColumn("_run", run).repartition(n, "_run", *DIGEST).sortWithinPartitions("_run", *DIGEST)
     return dealt.groupBy("_run", *DIGEST).agg(

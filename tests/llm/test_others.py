@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 import pytest
-from brute import best_products
+from brute import best_products, near_components
 from pyspark.sql import functions as F
 
 from checks.compare import connect, difference
@@ -353,6 +353,46 @@ def test_pipeline_stages(spark, folder):
     assert found == words
 
 
+def test_run_equals_brute_force_on_planted_documents(spark, tmp_path, monkeypatch):
+    rnd = random.Random(12)
+    model = toxicity.Model({"wretched": 0}, np.array([10.0]), -5.0)
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **b: model)
+    vocabulary = [f"{a}{b}" for a in "bcdfgk" for b in ("al", "en", "or", "ut")]
+    texts = {i: " ".join(rnd.choices(vocabulary, k=rnd.randrange(30, 60))) for i in range(1, 61)}
+    texts |= {100 + i: f"{texts[i]} wretched" for i in range(1, 6)}
+    texts |= {200 + i: texts[i] for i in range(10, 18)} | {300 + i: f"{texts[i]} end" for i in range(15, 25)}
+    texts |= {400: "", 401: "", 402: None}
+    rows = [(i, t, "en", f"s{i % 7 // 3}") for i, t in texts.items()]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    kept = {i: t for i, t in texts.items() if "wretched" not in (t or "")}
+    largest = {t or "": i for i, t in sorted(kept.items())}
+    kept = {i: t for i, t in kept.items() if largest[t or ""] == i}
+    kept = {i: kept[i] for i, (_, root) in near_components(kept, 5).items() if root == i}
+    assert len(kept) == 61
+    source = {i: s for i, _, _, s in rows}
+    sizes = Counter()
+    for i, t in kept.items():
+        sizes[source[i]] += max(1, len(t or ""))
+    rate = {s: sum(sizes.values()) / (len(sizes) * n) for s, n in sizes.items()}
+    copies = {i: poisson_place(rate[source[i]], unit_of("mix-7", i)) for i in kept}
+
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r["doc_id"] for r in found) == Counter({i: n for i, n in copies.items() if n})
+    assert all(r["n_words"] == len((texts[r["doc_id"]] or "").split()) for r in found)
+    bins = defaultdict(list)
+    for r in found:
+        if r["bin_id"] is not None:
+            bins[r["bin_id"]].append(r)
+    assert sum(map(len, bins.values())) == sum(r["n_words"] > 0 for r in found)
+    for pieces in bins.values():
+        pieces.sort(key=lambda r: r["bin_start"])
+        assert sum(r["n_words"] for r in pieces) <= 2048 and len({r["source"] for r in pieces}) == len(pieces)
+        assert all(a["bin_start"] + a["n_words"] == b["bin_start"] for a, b in zip(pieces, pieces[1:]))
+
+
 def test_empty_documents_pass_the_pipeline(spark, folder):
     docs = table(spark, folder, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

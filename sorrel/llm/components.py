@@ -28,17 +28,19 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are linked to the smallest of these."""
+    """A node and its smaller neighbours are linked to the smallest of these, in several tasks for a hub."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    copies = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = down.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    moved = salted.join(copies, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node of an edge, the component being its smallest node.
 
-    ``edges`` has long columns ``a`` and ``b``. The two steps keep the edges few, need a
+    ``edges`` has columns ``a`` and ``b`` of one ordered kind, longs or digests. The two steps keep the edges few, need a
     number of rounds that is logarithmic in the length of chains, and each round is stored.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorrel.llm import (
-    exact_dedup, language_id, mixing, near_dedup, packing, substring_dedup, suffix_dedup, topk, toxicity, url_filter,
+    conversation_repair, exact_dedup, hard_negatives, language_id, mixing, near_dedup, packing, simhash, substring_dedup,
+    suffix_dedup, topk, toxicity, url_filter,
 )
 from sorrel.llm.common import crc_bucket, table
 
@@ -142,3 +143,113 @@ def op2_substring_dedup(spark, d):
 @query
 def op6_suffix_dedup(spark, d):
     return suffix_dedup.remove_repeated_bytes(table(spark, d, "documents"))
+
+
+@query
+def op11_hard_negatives(spark, d):
+    rows = table(spark, d, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op11_hard_negatives"] = """
+with whole as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, a.label as anchor_label, c.vec_id, c.label,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::bigint as score
+  from whole a join whole c on a.vec_id % 50 = 0 and c.vec_id <> a.vec_id and len(c.v) = len(a.v)
+), positives as (
+  select * from (
+    select *, row_number() over (partition by anchor_id order by score desc, vec_id) as nth from scored where label = anchor_label
+  ) where nth <= 5
+), negatives as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.nth order by n.score desc, n.vec_id)::int as rank
+  from positives p join scored n on n.anchor_id = p.anchor_id and n.label <> n.anchor_label
+    and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 3
+"""
+
+
+@query
+def op12_conversation_repair(spark, d):
+    rows = table(spark, d, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(rows), rows)
+
+
+ORACLE["op12_conversation_repair"] = r"""
+with recursive ids as (
+  select conv_id, row_number() over (order by conv_id)::bigint as c from (select distinct conv_id from conversations)
+), crc_table as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, x: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as t
+), hashed as (
+  select i.c, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
+      string_split(coalesce(r.conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda s: unicode(s)::bigint)),
+      lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 20 as what
+  from conversations r join ids i on r.conv_id is not distinct from i.conv_id, crc_table
+), damaged as (
+  select c, turn, case when what = 4 then 'user' else role end as role,
+    case what when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case what when 0 then [] when 3 then [1, 2] else [1] end) as copy
+  from hashed
+), placed as (
+  select c, turn, role, text, substr(role, 1, 1) as initial,
+    row_number() over (partition by c order by turn nulls first, role, text, copy) as i,
+    row_number() over (partition by c, role, text order by turn nulls first, copy) > 1 as seen,
+    regexp_extract(text, '(?s)([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as last
+  from damaged
+), faulty as (
+  select *, last = '' as blank, last <> '' and seen as duplicate, last <> '' and not seen and last not in ('.', '!', '?') as truncated,
+    lag(initial) over (partition by c order by i) || initial as pair
+  from placed
+), inserts(st, k, mid, said) as (
+  values (0, 0, 0, []::varchar[]), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']), (1, 0, 1, []), (1, 1, 2, ['user:']),
+    (1, 2, 3, ['user:', 'assistant:']), (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']),
+    (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:'])
+), edits as (
+  select c, i, st, k + 0 as k, 'D' as letter, mid as to_st, 3 + 2 * k as paid, said from faulty, inserts
+  union all
+  select c, i, st, k, 'R', case when mid = 2 then 3 else 2 end, 2 + 2 * k + truncated::int,
+    list_append(said, case when mid = 2 then 'assistant:' else 'user:' end || text) from faulty, inserts where not blank and not duplicate
+  union all
+  select c, i, st, k, 'K', case initial when 's' then 1 when 'u' then 2 else 3 end, 2 * k + truncated::int,
+    list_append(said, role || ':' || text) from faulty, inserts
+  where not blank and not duplicate and (initial = 's' and mid = 0 or initial = 'u' and mid <> 2 or initial = 'a' and mid = 2)
+), steps as (
+  select c, 0::bigint as i, 0 as st, 0 as cost, '' as audit, []::varchar[] as said from ids
+  union all
+  select c, i, st, cost, audit, said from (
+    select s.c, e.i, e.to_st as st, s.cost + e.paid as cost, s.audit || repeat('I', e.k) || e.letter as audit,
+      list_concat(s.said, e.said) as said,
+      row_number() over (partition by s.c, e.to_st order by s.cost + e.paid, s.audit || repeat('I', e.k) || e.letter) as nth
+    from steps s join edits e on e.c = s.c and e.i = s.i + 1 and e.st = s.st
+  ) where nth = 1
+), counted as (
+  select c, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+    sum(blank::int)::bigint as blank, sum(duplicate::int)::bigint as duplicate, sum(truncated::int)::bigint as truncated,
+    sum((pair is not null and pair not in ('su', 'ua', 'au'))::int)::bigint as illegal
+  from faulty group by c
+), ended as (
+  select s.c, s.cost + 2 * k as cost, s.audit || repeat('I', k) as audit, list_concat(s.said, n.said) as said,
+    row_number() over (partition by s.c order by s.cost + 2 * k, s.audit || repeat('I', k)) as nth
+  from steps s join inserts n on s.st = n.st and (n.mid = 3 or n.mid = 0) left join counted t on t.c = s.c
+  where s.i = coalesce(t.n, 0)
+)
+select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, e.cost::bigint as cost, e.audit,
+  sha256(array_to_string(e.said, chr(10))) as repaired_sha256
+from ids i join ended e on e.c = i.c and nth = 1 left join counted t on t.c = i.c
+"""
+
+
+@query
+def op13_simhash_near_dedup(spark, d):
+    return simhash.simhash_duplicates(table(spark, d, "documents"))

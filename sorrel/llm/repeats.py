@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sorrel.llm.common import bound_rows, shuffle_partitions, stored
-from sorrel.llm.tokens import BASES, U, mix, stretch_hashes, word_bounds, word_hashes
+from sorrel.llm.tokens import BASES, U, Powers, Sums, mix, word_bounds, word_hashes, word_hashes_of
 
 #: Bytes of text worked on at a time inside a task, and in a group.
 BATCH, GROUP = 2 << 20, 16 << 20
@@ -70,13 +70,25 @@ class Batch:
     ids: np.ndarray
     checks: np.ndarray
     texts: list[bytes]
+    powers: Powers
     values: np.ndarray = field(init=False)
     ends: np.ndarray = field(init=False)
+    kept: dict[int, Sums] = field(init=False, default_factory=dict)
 
     def __post_init__(self) -> None:
-        parts = [self.unit.values(t) for t in self.texts]
-        self.ends = np.cumsum([0] + [len(p) for p in parts])
-        self.values = np.concatenate(parts) if parts else np.zeros(0, U)
+        if not self.texts:
+            self.values, counts = np.zeros(0, U), []
+        elif self.unit.words:
+            self.values, counts = word_hashes_of(self.texts, self.powers)
+        else:
+            self.values, counts = np.frombuffer(b"".join(self.texts), np.uint8), [len(t) for t in self.texts]
+        self.ends = np.cumsum([0, *counts])
+
+    def sums(self, base: np.uint64 = BASES[0]) -> Sums:
+        """The running sums under a base, worked out once for all stretches of the batch."""
+        if int(base) not in self.kept:
+            self.kept[int(base)] = Sums(self.values, base, self.powers)
+        return self.kept[int(base)]
 
     def owner(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, at, side="right") - 1
@@ -89,16 +101,13 @@ class Batch:
 
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the first least value among every ``width`` consecutive ones, by doubling."""
-
-    def better(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.where(values[b] < values[a], b, a)
-
-    out, reach = np.arange(len(values)), 1
-    while reach * 2 <= width:
-        out = better(out[:-reach], out[reach:])
-        reach *= 2
-    rest = width - reach
-    return better(out[:-rest], out[rest:]) if rest else out
+    least, place, reach = values, np.arange(len(values), dtype=np.int32), 1
+    while reach < width:
+        by = min(reach, width - reach)
+        later = least[by:] < least[:-by]
+        least, place = np.where(later, least[by:], least[:-by]), np.where(later, place[by:], place[:-by])
+        reach += by
+    return place
 
 
 def windows_and_anchors(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,10 +115,12 @@ def windows_and_anchors(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarra
     unit, n = batch.unit, len(batch.values)
     if n < unit.length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
-    starts = np.arange(n - unit.gram + 1)
-    run = stretch_hashes(batch.values, starts, starts + unit.gram)
-    left = np.repeat(batch.ends[1:], np.diff(batch.ends)) - np.arange(n)  # units up to the end of the text
-    windows = np.flatnonzero(left[: n - unit.length + 1] >= unit.length)
+    run = batch.sums().every(unit.gram)
+    whole = np.ones(n - unit.length + 1, bool)
+    for end in batch.ends[1:-1].tolist():
+        # Windows that begin here would reach over the end of a text.
+        whole[max(0, end - unit.length + 1) : end] = False
+    windows = np.flatnonzero(whole)
     return windows, least_places(run, unit.length - unit.gram + 1)[windows], run
 
 
@@ -162,19 +173,20 @@ def unpack(frame: pd.DataFrame, column: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(frame[column]), dtype=kind)
 
 
-#: Rows of packed arrays, addressed to group ``to``: an id, check, position and group of the
-#: text, and hashes of the run, of the run with what is before or after it (0 if the text is
-#: too short for that), and of the context. ``settled``: 0 to be settled, 1 a witness only,
+#: Rows of packed arrays, addressed to group ``to``: an id, check and position of the text,
+#: and hashes of the run, of the run with what is before or after it (0 if the text is
+#: too short for that), and of the context, by two bases. ``settled``: 0 to be settled, 1 a witness only,
 #: 2 covered by an earlier text, 3 open, 4 open for windows of the first half, 5 of the other.
+#: A text is taken as covered only if its run, sides and 96 bits of its context are those of an earlier one.
 PACKED = (
-    "to int, ids binary, checks binary, at binary, home binary, run binary, left binary, right binary, context binary, "
+    "to int, ids binary, checks binary, at binary, run binary, left binary, right binary, context binary, more binary, "
     "settled binary"
 )
 #: The address takes the low bits of a run's hash and the row the high ones; two runs that look
 #: alike even so only leave their windows open.
 KINDS = {
-    "ids": np.int64, "checks": np.int32, "at": np.int32, "home": np.int32, "run": np.uint32, "left": np.uint32,
-    "right": np.uint32, "context": np.uint32, "settled": np.int8,
+    "ids": np.int64, "checks": np.int32, "at": np.int32, "run": np.uint32, "left": np.uint32, "right": np.uint32,
+    "context": U, "more": np.uint32, "settled": np.int8,
 }
 #: Findings, addressed to the group of the text.
 FOUND = "to int, ids binary, checks binary, at binary, settled binary"
@@ -192,24 +204,28 @@ def split(to: np.ndarray, columns: dict[str, np.ndarray], names: list[str]) -> p
     return pd.DataFrame(rows, columns=["to", *names])
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[tuple[Batch, np.ndarray]]:
-    """Texts in batches of bounded size, with the groups of the texts."""
-    held, size = [], 0
+def homes(ids: np.ndarray, checks: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each text, as ``corpus_of`` deals it."""
+    return (ids ^ checks.astype(np.int64)) % groups
+
+
+def batches_of(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[Batch]:
+    """Texts in batches of bounded size, each by id."""
+    held, size, kept = [], 0, Powers()
     for part in bound_rows(batches, "text", BATCH):
         held.append(part)
         size += part.column("text").nbytes
         if size >= BATCH:
-            yield _batch(held, unit)
+            yield _batch(held, unit, kept)
             held, size = [], 0
     if held:
-        yield _batch(held, unit)
+        yield _batch(held, unit, kept)
 
 
-def _batch(parts: list[pa.RecordBatch], unit: Unit) -> tuple[Batch, np.ndarray]:
-    rows = pa.Table.from_batches(parts)
+def _batch(parts: list[pa.RecordBatch], unit: Unit, kept: Powers) -> Batch:
+    rows = pa.Table.from_batches(parts).select(["doc_id", "check", "text"]).sort_by("doc_id")
     texts = [t.encode("utf-8", "surrogatepass") for t in rows.column("text").to_pylist()]
-    ids, checks, home = (rows.column(c).to_numpy() for c in ("doc_id", "check", "to"))
-    return Batch(unit, ids, checks, texts), home
+    return Batch(unit, rows.column("doc_id").to_numpy(), rows.column("check").to_numpy(), texts, kept)
 
 
 def sides(batch: Batch, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,8 +233,9 @@ def sides(batch: Batch, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np
     unit = batch.unit
     low, high = batch.ends[doc], batch.ends[doc + 1]
     start, stop = at - unit.before, at + unit.gram + unit.after
-    left = stretch_hashes(batch.values, np.maximum(start, low), at + unit.gram, BASES[1]) >> U(32) | U(1)
-    right = stretch_hashes(batch.values, at, np.minimum(stop, high), BASES[1]) >> U(32) | U(1)
+    sums = batch.sums(BASES[1])
+    left = sums.of(np.maximum(start, low), at + unit.gram) >> U(32) | U(1)
+    right = sums.of(at, np.minimum(stop, high)) >> U(32) | U(1)
     return np.where(start >= low, left, U(0)), np.where(stop <= high, right, U(0))
 
 
@@ -226,13 +243,18 @@ def _send_anchors(unit: Unit, groups: int):
     names = list(KINDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, home in batches_of(batches, unit):
+        for batch in batches_of(batches, unit):
             at, runs = anchors(batch)
             lo, hi = batch.context(at)
-            context = stretch_hashes(batch.values, lo, hi, BASES[1]) ^ mix((at - lo).astype(U))
+            context = batch.sums(BASES[1]).of(lo, hi) ^ mix((at - lo).astype(U))
+            more = batch.sums().of(lo, hi)
             doc = batch.owner(at)
-            order, pair, repeat = firsts([runs, context], batch.ids[doc], at, unit.own)
-            at, runs, context, doc = at[order], runs[order], context[order], doc[order]
+            # Places go up with the ids here, so that a stable order by hashes leaves equal ones by id and place.
+            order = np.lexsort([context, runs])
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = np.any([c[order][1:] != c[order][:-1] for c in (runs, context, more)], axis=0)
+            at, runs, context, more, doc = at[order], runs[order], context[order], more[order], doc[order]
+            repeat = later_rows(batch.ids[doc], at, fresh, unit.own)
             settled = np.where(repeat, 2, 0).astype(np.int8)
             # A run with many contexts in this batch alone is open here; one row bears witness elsewhere.
             unsettled = np.flatnonzero(~repeat)
@@ -246,13 +268,17 @@ def _send_anchors(unit: Unit, groups: int):
                 witness = witness[np.concatenate(([True], numbers[witness][1:] != numbers[witness][:-1]))]
             rows = np.concatenate([np.arange(len(at)), witness])
             settled = np.concatenate([settled, np.ones(len(witness), np.int8)])
+            # In the order of the texts, where neighbouring ids are alike and take little room.
+            place = np.argsort(at[rows], kind="stable")
+            rows, settled = rows[place], settled[place]
+            at, runs, doc = at[rows], runs[rows], doc[rows]
             left, right = sides(batch, at, doc)
             columns = {
-                "ids": batch.ids[doc[rows]], "checks": batch.checks[doc[rows]], "home": home[doc[rows]],
-                "at": (at - batch.ends[doc])[rows], "run": runs[rows] >> U(32), "left": left[rows], "right": right[rows],
-                "context": context[rows] >> U(32), "settled": settled,
+                "ids": batch.ids[doc], "checks": batch.checks[doc], "at": at - batch.ends[doc], "run": runs >> U(32), "left": left,
+                "right": right, "context": context[rows], "more": more[rows] >> U(32), "settled": settled,
             }
-            to = np.where(settled >= 2, columns["home"], (runs[rows] % U(groups)).astype(np.int64))
+            home = homes(columns["ids"], columns["checks"], groups)
+            to = np.where(settled >= 2, home, (runs % U(groups)).astype(np.int64))
             frame = split(to, columns, names)
             yield pa.RecordBatch.from_pandas(frame, schema=_arrow(PACKED), preserve_index=False)
 
@@ -277,16 +303,16 @@ def shared(runs: np.ndarray, side: np.ndarray, context: np.ndarray, ids: np.ndar
     return out & (side > 0)
 
 
-def settle_anchors(frame: pd.DataFrame, unit: Unit) -> pd.DataFrame:
+def settle_anchors(frame: pd.DataFrame, unit: Unit, groups: int) -> pd.DataFrame:
     """What the anchors of one group say of each other, addressed to the groups of the texts."""
     c = {k: unpack(frame, k, kind) for k, kind in KINDS.items()}
     done = c["settled"] >= 2
     told = np.flatnonzero(done)
     rest = np.flatnonzero(~done)
-    # Equal contexts have equal sides, so that all four hashes tell contexts apart.
+    # Equal contexts have equal sides, so that all hashes tell contexts apart.
     sides_ = c["left"][rest].astype(U) << U(32) | c["right"][rest]
-    whole = mix(sides_) ^ mix(c["context"][rest].astype(U) << U(32) | c["run"][rest])
-    order, _, repeat = firsts([c["run"][rest], whole], c["ids"][rest], c["at"][rest], unit.own)
+    whole = mix(sides_) ^ mix(c["more"][rest].astype(U) << U(32) | c["run"][rest]) ^ c["context"][rest]
+    order, _, repeat = firsts([c["run"][rest], whole, c["context"][rest]], c["ids"][rest], c["at"][rest], unit.own)
     rows = rest[order]
     witness = c["settled"][rows] == 1
     runs = c["run"][rows]
@@ -300,7 +326,7 @@ def settle_anchors(frame: pd.DataFrame, unit: Unit) -> pd.DataFrame:
     every = np.concatenate([told, rows[keep]])
     columns = {k: c[k][every] for k in ("ids", "checks", "at")}
     columns["settled"] = np.concatenate([c["settled"][told], settled[keep]])
-    return split(c["home"][every], columns, ["ids", "checks", "at", "settled"])
+    return split(homes(columns["ids"], columns["checks"], groups), columns, ["ids", "checks", "at", "settled"])
 
 
 def identity(ids: np.ndarray, checks: np.ndarray) -> np.ndarray:
@@ -340,17 +366,17 @@ def corpus_of(docs: DataFrame) -> Corpus:
     size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(-(-size // GROUP), 2 * shuffle_partitions(docs.sparkSession))
     check = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    home = F.pmod(F.xxhash64("doc_id", "check"), F.lit(groups)).cast("int")
+    home = F.pmod(F.col("doc_id").bitwiseXOR(F.col("check").cast("long")), F.lit(groups)).cast("int")
     return Corpus(read.withColumn("check", check).withColumn("to", home), groups)
 
 
 #: What stage two leaves: finished texts, texts that wait for open windows, and those windows.
 STAGE = (
     "kind int, to int, doc_id long, check int, times long, n_units long, n_removed long, n_spans long, sha string, "
-    "covered binary, text string, ids binary, checks binary, at binary, home binary, one binary, two binary, lead binary"
+    "covered binary, text string, ids binary, checks binary, at binary, one binary, two binary, lead binary"
 )
 DONE, WAITING, WINDOWS = 0, 1, 2
-WINDOW_KINDS = {"ids": np.int64, "checks": np.int32, "at": np.int32, "home": np.int32, "one": U, "two": np.uint32, "lead": U}
+WINDOW_KINDS = {"ids": np.int64, "checks": np.int32, "at": np.int32, "one": U, "two": np.uint32, "lead": U}
 
 
 def open_windows(batch: Batch, found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -383,12 +409,12 @@ def text_batches(frame: pd.DataFrame, unit: Unit) -> Iterator[tuple[Batch, pd.Da
         frame = frame.assign(times=frame.groupby(keys)["check"].transform("size"))
     frame = frame.drop_duplicates(keys).sort_values(keys, kind="stable")
     texts = [t.encode("utf-8", "surrogatepass") for t in frame["text"]]
-    start = size = 0
+    start, size, kept = 0, 0, Powers()
     for i in range(len(texts)):
         size += len(texts[i])
         if size >= BATCH or i == len(texts) - 1:
             part = frame.iloc[start : i + 1]
-            yield Batch(unit, part["doc_id"].to_numpy(), part["check"].to_numpy(), texts[start : i + 1]), part
+            yield Batch(unit, part["doc_id"].to_numpy(), part["check"].to_numpy(), texts[start : i + 1], kept), part
             start, size = i + 1, 0
 
 
@@ -398,8 +424,7 @@ def stage_two(texts: pd.DataFrame, found: pd.DataFrame, unit: Unit, address: Cal
     for batch, part in text_batches(texts, unit):
         covered, starts = open_windows(batch, found)
         doc = batch.owner(starts)
-        one = stretch_hashes(batch.values, starts, starts + unit.length, BASES[0])
-        two = stretch_hashes(batch.values, starts, starts + unit.length, BASES[1])
+        one, two = (batch.sums(base).of(starts, starts + unit.length) for base in BASES)
         order, _, repeat = firsts([one, two], batch.ids[doc], starts, unit.own)
         covered |= marked(len(covered), starts[order[repeat]], starts[order[repeat]] + unit.length)
         sent = order[~repeat]
@@ -420,7 +445,7 @@ def stage_two(texts: pd.DataFrame, found: pd.DataFrame, unit: Unit, address: Cal
             to, lead = address(batch, starts, one[sent])
             columns = {
                 "ids": batch.ids[doc], "checks": batch.checks[doc], "at": starts - batch.ends[doc],
-                "home": part["to"].to_numpy()[doc], "one": one[sent], "two": two[sent] >> U(32), "lead": lead,
+                "one": one[sent], "two": two[sent] >> U(32), "lead": lead,
             }
             cut = np.argsort(to, kind="stable")
             edge = np.flatnonzero(np.concatenate(([True], to[cut][1:] != to[cut][:-1])))
@@ -464,7 +489,7 @@ def removed(
     dealt = lambda df: df.repartition(n, "to").groupBy("to")
     sent = texts.mapInArrow(_send_anchors(unit, groups), PACKED)
     # Each step is stored, so that the shuffle files of the one before go as soon as it ends.
-    found = stored(dealt(sent).applyInPandas(lambda f: settle_anchors(f, unit), FOUND))
+    found = stored(dealt(sent).applyInPandas(lambda f: settle_anchors(f, unit, groups), FOUND))
     two = stored(dealt(texts).cogroup(dealt(found)).applyInPandas(
         lambda t, f: stage_two(t, f, unit, address, finish), STAGE
     ))
@@ -477,14 +502,14 @@ def removed(
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_copy", "times")
 
 
-def repeated_windows(frame: pd.DataFrame, order_by: Callable, own: bool) -> pd.DataFrame:
+def repeated_windows(frame: pd.DataFrame, order_by: Callable, own: bool, groups: int) -> pd.DataFrame:
     """The windows of a group that repeat an earlier one, addressed to the groups of their texts."""
     c = {k: unpack(frame, k, kind) for k, kind in WINDOW_KINDS.items()}
     order, repeat = order_by(c, own)
     rows = order[repeat]
     columns = {k: c[k][rows] for k in ("ids", "checks", "at")}
     columns["settled"] = np.full(len(rows), 2, np.int8)
-    return split(c["home"][rows], columns, ["ids", "checks", "at", "settled"])
+    return split(homes(columns["ids"], columns["checks"], groups), columns, ["ids", "checks", "at", "settled"])
 
 
 def words_kept(text: bytes, mask: np.ndarray) -> bytes:

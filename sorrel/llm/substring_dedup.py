@@ -23,16 +23,17 @@ from sorrel.llm.tokens import U, stretch_hashes
 
 WINDOW, GRAM = 20, 10
 DEPTHS = (1, 2, 4, 8, 16)
+#: Texts sampled at least, one per group otherwise, and places in each.
 SAMPLE_TEXTS, SAMPLE_PLACES = 2_000, 64
 #: A prefix with a larger share of the sample than this, over the number of groups, is lengthened.
 COMMON = 0.25
 
 
-def sample_texts(corpus: Corpus, texts: int = SAMPLE_TEXTS) -> DataFrame:
+def sample_texts(corpus: Corpus, texts: int) -> DataFrame:
     """About ``texts`` texts, chosen by hash; they only steer how rows are dealt."""
     total = max(1, corpus.texts.count())
-    share = int(1e6 * min(1.0, texts / total))
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < share
+    share = int(1e12 * min(1.0, texts / total))
+    chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(10**12)) < share
     return corpus.texts.where(chosen).select("doc_id", "check", "text")
 
 
@@ -49,8 +50,9 @@ def common_prefixes(corpus: Corpus, unit: Unit) -> list[np.ndarray]:
                 for depth in DEPTHS[:-1]:
                     yield pd.DataFrame({"depth": depth, "prefix": stretch_hashes(values, starts, starts + depth).view(np.int64)})
 
-    counts = sample_texts(corpus).mapInPandas(run, "depth int, prefix long").groupBy("depth", "prefix").count()
-    total = SAMPLE_TEXTS * SAMPLE_PLACES
+    texts = max(SAMPLE_TEXTS, corpus.groups)
+    counts = sample_texts(corpus, texts).mapInPandas(run, "depth int, prefix long").groupBy("depth", "prefix").count()
+    total = texts * SAMPLE_PLACES
     most = max(2, int(COMMON * total / corpus.groups))
     found = counts.where(F.col("count") > most).toPandas()
     return [np.sort(found.loc[found["depth"] == d, "prefix"].to_numpy(np.int64).view(U)) for d in DEPTHS[:-1]]
@@ -58,11 +60,12 @@ def common_prefixes(corpus: Corpus, unit: Unit) -> list[np.ndarray]:
 
 def prefix_groups(common: list[np.ndarray], groups: int):
     def address(batch: Batch, starts: np.ndarray, _: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        prefix = stretch_hashes(batch.values, starts, starts + DEPTHS[0])
+        sums = batch.sums()
+        prefix = sums.of(starts, starts + DEPTHS[0])
         longer = np.arange(len(starts))
         for depth, known in zip(DEPTHS[1:], common):
             longer = longer[np.isin(prefix[longer], known)]
-            prefix[longer] = stretch_hashes(batch.values, starts[longer], starts[longer] + depth)
+            prefix[longer] = sums.of(starts[longer], starts[longer] + depth)
         return (prefix % U(groups)).astype(np.int64), prefix
 
     return address
@@ -89,7 +92,8 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = G
     unit = Unit(words=True, length=window, gram=gram, own=True)
     corpus = corpus_of(docs)
     address = prefix_groups(common_prefixes(corpus, unit), corpus.groups)
-    found = removed(corpus, unit, address, lambda f: repeated_windows(f, subtree_order, unit.own), kept_digest)
+    groups = corpus.groups
+    found = removed(corpus, unit, address, lambda f: repeated_windows(f, subtree_order, unit.own, groups), kept_digest)
     joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     untouched = docs.where("doc_id is null").select(
         F.col("doc_id").cast("long"), n_words(F.col("text")), F.lit(0).cast("long"), F.sha2(joined, 256)

@@ -18,11 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sorrel.llm.common import shuffle_partitions, stored
 from sorrel.llm.repeats import Batch, Corpus, Unit, corpus_of, later_rows, removed, repeated_windows
-from sorrel.llm.substring_dedup import SAMPLE_PLACES, sample_texts
+from sorrel.llm.substring_dedup import SAMPLE_PLACES, SAMPLE_TEXTS, sample_texts
 from sorrel.llm.tokens import BASES, U, stretch_hashes
 
 WINDOW, GRAM = 50, 20
+TOP = U(1 << 63)
 
 
 def leading(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -34,7 +36,10 @@ def leading(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def splitters(corpus: Corpus, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
-    """Leading bytes and string hash of ``groups - 1`` quantiles of the sampled suffixes."""
+    """Leading bytes and string hash of about ``groups`` quantiles of the sampled suffixes.
+
+    The sample has a text per group and is put in order by range partitions; only the quantiles reach the driver.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -44,13 +49,24 @@ def splitters(corpus: Corpus, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
                     continue
                 starts = np.unique(np.linspace(0, len(values) - unit.length, SAMPLE_PLACES).astype(np.int64))
                 strings = stretch_hashes(values, starts, starts + unit.length, BASES[0])
-                yield pd.DataFrame({"lead": leading(values, starts).view(np.int64), "string": strings.view(np.int64)})
+                # With the first bit turned, signed numbers sort as the unsigned ones.
+                yield pd.DataFrame({"lead": (leading(values, starts) ^ TOP).view(np.int64), "string": (strings ^ TOP).view(np.int64)})
+
+    texts = max(SAMPLE_TEXTS, corpus.groups)
+    sample = stored(sample_texts(corpus, texts).mapInPandas(run, "lead long, string long"))
+    n, step = shuffle_partitions(sample.sparkSession), max(1, -(-sample.count() // corpus.groups))
+
+    def quantiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        passed = 0
+        for frame in frames:
+            yield frame.iloc[(-passed - 1) % step :: step]
+            passed += len(frame)
 
-    sample = sample_texts(corpus).mapInPandas(run, "lead long, string long").toPandas()
-    lead, string = (sample[c].to_numpy(np.int64).view(U) for c in ("lead", "string"))
+    ordered = sample.repartitionByRange(n, "lead", "string").sortWithinPartitions("lead", "string")
+    found = ordered.mapInPandas(quantiles, "lead long, string long").toPandas()
+    lead, string = (found[c].to_numpy(np.int64).view(U) ^ TOP for c in ("lead", "string"))
     order = np.lexsort([string, lead])
-    at = np.unique(np.linspace(0, len(order), corpus.groups + 1)[1:-1].astype(np.int64)) if len(order) else np.zeros(0, int)
-    return lead[order][at], string[order][at]
+    return lead[order], string[order]
 
 
 def range_groups(lead_splits: np.ndarray, string_splits: np.ndarray):
@@ -103,7 +119,8 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRA
     unit = Unit(words=False, length=window, gram=gram, own=False)
     corpus = corpus_of(docs)
     address = range_groups(*splitters(corpus, unit))
-    found = removed(corpus, unit, address, lambda f: repeated_windows(f, suffix_order, unit.own), kept_digest)
+    groups = corpus.groups
+    found = removed(corpus, unit, address, lambda f: repeated_windows(f, suffix_order, unit.own, groups), kept_digest)
     text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
     untouched = docs.where("doc_id is null").select(
         F.col("doc_id").cast("long"), F.octet_length(text).cast("long"), none, none, F.sha2(text, 256)

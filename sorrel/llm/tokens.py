@@ -29,13 +29,47 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+class Powers:
+    """Powers of the bases and of their inverses, worked out once in a task and lengthened as needed."""
+
+    def __init__(self):
+        self.kept: dict[int, np.ndarray] = {}
+
+    def of(self, base: np.uint64, n: int) -> np.ndarray:
+        table = self.kept.get(int(base))
+        if table is None or len(table) < n:
+            table = self.kept[int(base)] = powers(base, n)
+        return table[:n]
+
+
+class Sums:
+    """Running sums of one array under one base, from which the hash of any stretch takes two lookups."""
+
+    def __init__(self, values: np.ndarray, base: np.uint64, kept: Powers):
+        n = len(values)
+        self.inverse = kept.of(U(pow(int(base), -1, 1 << 64)), n + 1)
+        self.sums = np.zeros(n + 1, dtype=U)
+        terms = values.astype(U)
+        terms += U(1)
+        terms *= kept.of(base, n)
+        np.cumsum(terms, out=self.sums[1:])
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Hash of each stretch; equal stretches of any arrays hash alike."""
+        # Dividing by the power at the start makes the hash the same wherever the stretch lies.
+        return mix((self.sums[stop] - self.sums[start]) * self.inverse[start] ^ (stop - start).astype(U))
+
+    def every(self, width: int) -> np.ndarray:
+        """The hash of the stretch of ``width`` values at every place that has one."""
+        out = self.sums[width:] - self.sums[: len(self.sums) - width]
+        out *= self.inverse[: len(out)]
+        out ^= U(width)
+        return mix(out)
+
+
 def stretch_hashes(values: np.ndarray, start: np.ndarray, stop: np.ndarray, base: np.uint64 = BASES[0]) -> np.ndarray:
     """Hash of each ``values[start:stop]``; equal stretches of any arrays hash alike."""
-    n, inverse = len(values), U(pow(int(base), -1, 1 << 64))
-    sums = np.zeros(n + 1, dtype=U)
-    np.cumsum((values.astype(U) + U(1)) * powers(base, n)[:-1], out=sums[1:])
-    # Dividing by the power at the start makes the hash the same wherever the stretch lies.
-    return mix((sums[stop] - sums[start]) * powers(inverse, n)[start] ^ (stop - start).astype(U))
+    return Sums(values, base, Powers()).of(start, stop)
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
@@ -49,23 +83,34 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def word_hashes(text: bytes, lower: bool = False, base: np.uint64 = BASES[0]) -> np.ndarray:
+def word_hashes(text: bytes, lower: bool = False, base: np.uint64 = BASES[0], kept: Powers | None = None) -> np.ndarray:
     """One 64-bit hash per word of the text, worked out slice by slice."""
-    data = np.frombuffer(text, dtype=np.uint8)
+    data, kept = np.frombuffer(text, dtype=np.uint8), kept or Powers()
     if lower:
         data = lower_ascii(data)
     start, stop = word_bounds(data)
     if len(data) <= SLICE:
-        return stretch_hashes(data, start, stop, base)
+        return Sums(data, base, kept).of(start, stop)
     out, first = [], 0
     while first < len(start):
         last = max(first + 1, int(np.searchsorted(stop, start[first] + SLICE, side="right")))
         a, b = start[first], stop[last - 1]
-        out.append(stretch_hashes(data[a:b], start[first:last] - a, stop[first:last] - a, base))
+        out.append(Sums(data[a:b], base, kept).of(start[first:last] - a, stop[first:last] - a))
         first = last
     return np.concatenate(out) if out else np.zeros(0, dtype=U)
 
 
+def word_hashes_of(texts: list[bytes], kept: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of all texts in a row, and the number of words of each; short texts are hashed together."""
+    if sum(map(len, texts)) > 2 * SLICE:
+        parts = [word_hashes(t, kept=kept) for t in texts]
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+    data = np.frombuffer(b" ".join(texts), dtype=np.uint8)
+    start, stop = word_bounds(data)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return Sums(data, BASES[0], kept).of(start, stop), np.diff(np.searchsorted(start, ends), prepend=0)
+
+
 def gram_hashes(words: np.ndarray, n: int, base: np.uint64 = BASES[1]) -> np.ndarray:
     """One hash per run of ``n`` values."""
     count = len(words) - n + 1

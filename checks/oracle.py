@@ -370,3 +370,5 @@ ORACLE: dict[str, str] = {
         FROM c GROUP BY l_orderkey""",
 }
 ORACLE |= {f"{name}_vector": ORACLE[name] for name in ("sim_cosine", "sim_pearson", "sim_adjusted_cosine", "sim_euclidean")}
+#: The same rows, found by bounds.
+ORACLE |= {f"{name}_bounds": ORACLE[name] for name in ("topn_cosine", "topn_euclidean", "cluster_nearest", "als_topn_unseen")}

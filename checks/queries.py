@@ -16,6 +16,7 @@ from sorrel.functions.lists import decode_scored, encode_scored
 from sorrel.operators import als, behaviour, cells, clustering, query_log, ranges, realtime, serving, similar_lists
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.ranking import global_index, unseen_stretches
+from sorrel.operators.pruned import top_matches_pruned
 from sorrel.operators.topk import as_lists, as_rows, nearest_to_one, top_matches
 from sorrel.session import materialise
 from sorrel.sources.files import catalogue_table
@@ -111,6 +112,24 @@ def topn_euclidean(spark, d):
     return _shown(found, "dist")
 
 
+def _bounded(items):
+    """Blocks of a sixteenth of the items, whose bounds are relied on to the end."""
+    return {"block_rows": max(16, items.count() // 16), "worth": 1.0}
+
+
+@query
+def topn_cosine_bounds(spark, d):
+    items = inputs.vectors(spark, d)
+    return _shown(top_matches_pruned(items, None, schemas.SIMILAR_PER_ITEM, "cosine", ID, VEC, **_bounded(items)))
+
+
+@query
+def topn_euclidean_bounds(spark, d):
+    items = inputs.vectors(spark, d)
+    found = top_matches_pruned(items, None, schemas.SIMILAR_PER_ITEM, "euclidean", ID, VEC, **_bounded(items))
+    return _shown(found, "dist")
+
+
 def _first_id(spark, d):
     return inputs.vectors(spark, d).agg(F.min(ID)).head()[0]
 
@@ -149,6 +168,13 @@ def cluster_nearest(spark, d):
     return found.select(F.col("label").cast("int").alias("label"), "base", "item", F.col("score").alias("dist"), F.col("rank").cast("int").alias("rank"))
 
 
+@query
+def cluster_nearest_bounds(spark, d):
+    items = inputs.vectors(spark, d)
+    found = top_matches_pruned(items, None, schemas.NEAREST_IN_CLUSTER, "euclidean", ID, VEC, "label", **_bounded(items))
+    return found.select(F.col("label").cast("int").alias("label"), "base", "item", F.col("score").alias("dist"), F.col("rank").cast("int").alias("rank"))
+
+
 # Clusters -----------------------------------------------------------------------
 
 
@@ -503,6 +529,13 @@ def als_topn_unseen(spark, d):
     return _rated(als.top_unseen(users, items, ratings, ratings.select("item_id").distinct()))
 
 
+@query
+def als_topn_unseen_bounds(spark, d):
+    ratings, users, items = _factors(spark, d)
+    catalogue = ratings.select("item_id").distinct()
+    return _rated(als.top_unseen(users, items, ratings, catalogue, **_bounded(items)))
+
+
 @query
 def als_items_for_user(spark, d):
     ratings, users, items = _factors(spark, d)

@@ -15,6 +15,8 @@ from sorrel.functions.similarity import dot
 from sorrel.operators.behaviour import rmse, split_bucket, split_name
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.ranking import global_index
+from sorrel.operators.few import best_for_few
+from sorrel.operators.pruned import top_matches_pruned
 from sorrel.operators.topk import top_matches
 from sorrel.schemas import ALS_ITERATIONS, ALS_LAMBDAS, ALS_RANKS, UNSEEN_PER_USER
 from sorrel.session import ensure_checkpoint_dir, materialise
@@ -130,17 +132,21 @@ def predict(users: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def top_unseen(
-    users: DataFrame, items: DataFrame, seen: DataFrame, catalogue: DataFrame, n: int = UNSEEN_PER_USER
+    users: DataFrame, items: DataFrame, seen: DataFrame, catalogue: DataFrame, n: int = UNSEEN_PER_USER,
+    **bounds: object,
 ) -> DataFrame:
     """Best ``n`` catalogue items per user of ``seen`` that the user has not rated.
 
     Seen pairs are masked where a block of users meets a block of items, so a user
-    with a long history costs no longer candidate lists.
+    with a long history costs no longer candidate lists. ``bounds`` (``block_rows``, ``worth``,
+    ``report``) asks for items in blocks by norm, with a user's n-th best so far as threshold from block to block.
     """
     pairs = materialise(seen.select(F.col("user_id").alias("base"), F.col("item_id").alias("item")).distinct())
     active = users.join(pairs.select(F.col("base").alias("id")).distinct(), "id", "left_semi")
     offered = items.join(catalogue.select(F.col("item_id").alias("id")).distinct(), "id", "left_semi")
-    best = top_matches(active, offered, n, "dot", "id", "features", exclude_self=False, exclude=pairs)
+    given = ("dot", "id", "features")
+    match = top_matches_pruned if bounds else top_matches
+    best = match(active, offered, n, *given, exclude_self=False, exclude=pairs, **bounds)
     return _recommended(best, "user_id", "item_id")
 
 
@@ -152,16 +158,22 @@ def _chosen(factors: DataFrame, ids: DataFrame | None, column: str) -> DataFrame
     return factors if ids is None else factors.join(ids.select(F.col(column).alias("id")).distinct(), "id", "left_semi")
 
 
+def _best_products(base: DataFrame, only: DataFrame | None, column: str, others: DataFrame, n: int) -> DataFrame:
+    """Best products for all of ``base`` or, where those of ``only`` are few, without a shuffle of the others."""
+    chosen = _chosen(base, only, column)
+    if only is None:
+        return top_matches(chosen, others, n, "dot", "id", "features", exclude_self=False)
+    return best_for_few(chosen, others, n, "dot", "id", "features", exclude_self=False)
+
+
 def items_for_users(users: DataFrame, items: DataFrame, n: int, only: DataFrame | None = None) -> DataFrame:
     """Best ``n`` items, rated or not, for all users or for those of ``only``."""
-    best = top_matches(_chosen(users, only, "user_id"), items, n, "dot", "id", "features", exclude_self=False)
-    return _recommended(best, "user_id", "item_id")
+    return _recommended(_best_products(users, only, "user_id", items, n), "user_id", "item_id")
 
 
 def users_for_items(users: DataFrame, items: DataFrame, n: int, only: DataFrame | None = None) -> DataFrame:
     """Best ``n`` users for all items or for those of ``only``."""
-    best = top_matches(_chosen(items, only, "item_id"), users, n, "dot", "id", "features", exclude_self=False)
-    return _recommended(best, "item_id", "user_id")
+    return _recommended(_best_products(items, only, "item_id", users, n), "item_id", "user_id")
 
 
 def named(recommendations: DataFrame, names: DataFrame, digits: int | None = None) -> DataFrame:

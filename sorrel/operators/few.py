@@ -85,12 +85,14 @@ def best_of_few(
     return found.withColumn("score", -F.col("score")) if metric in LOWER_IS_BETTER else found
 
 
-def best_for_few(few: DataFrame, items: DataFrame, k: int, metric: str, id_col: str, vec_col: str) -> DataFrame:
+def best_for_few(
+    few: DataFrame, items: DataFrame, k: int, metric: str, id_col: str, vec_col: str, exclude_self: bool = True
+) -> DataFrame:
     """As ``top_matches(few, items, ...)``: every task keeps the best ``k`` of its items for each of the few."""
     left = _shaped(few, id_col, vec_col)
     shared = _shared(left)
     if shared is None:
-        return top_matches(few, items, k, metric, id_col, vec_col)
+        return top_matches(few, items, k, metric, id_col, vec_col, exclude_self=exclude_self)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lid, a = shared.value
@@ -99,7 +101,7 @@ def best_for_few(few: DataFrame, items: DataFrame, k: int, metric: str, id_col:
             if not batch.num_rows or not len(lid):
                 continue
             table = pa.Table.from_batches([batch]).sort_by("id")
-            found = _compare(metric, lid, a, table.column("id").to_numpy(), _vectors(table), k, True)
+            found = _compare(metric, lid, a, table.column("id").to_numpy(), _vectors(table), k, exclude_self)
             best = _trim(*(np.concatenate(parts) for parts in zip(best, found)), k)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], schema=FOUND)
 

@@ -12,6 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ SMALLEST_BLOCK = 256
 SLICE_SCORES = 1 << 22
 PAIRS_PER_CORE = 4
 EXCLUDED_PER_PAIR = 1 << 22
+#: Pairs from which it pays to build an index for bounds.
+PRUNE_PAIRS = 1 << 34
 DIGITS = 10
 LOWER_IS_BETTER = {"euclidean"}
 _GROUP, _LEFT, _RIGHT = "_group", "_lb", "_rb"
@@ -53,7 +56,7 @@ def _vectors(table: pa.Table) -> np.ndarray:
     column = table.column("vec").combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = column.chunk(0)
-    lengths = np.unique(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
+    lengths = np.unique(pc.list_value_length(column).to_numpy(zero_copy_only=False))
     if len(lengths) > 1:
         raise ValueError(f"vectors differ in length: {lengths.tolist()}")
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -211,8 +214,8 @@ def _trim(base: np.ndarray, item: np.ndarray, value: np.ndarray, k: int) -> tupl
 def _pair_kernel(metric: str, k: int, exclude_self: bool, both_ways: bool, schema: pa.Schema):
     def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = left.sort_by("id"), right.sort_by("id")
-        seen = left.filter(pa.compute.is_valid(left.column("other")))
-        left = left.filter(pa.compute.is_null(left.column("other")))
+        seen = left.filter(pc.is_valid(left.column("other")))
+        left = left.filter(pc.is_null(left.column("other")))
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         group, lb, rb = (part.as_py() for part in key)
@@ -275,6 +278,7 @@ def top_matches(
     group_col: str | None = None,
     exclude_self: bool = True,
     exclude: DataFrame | None = None,
+    prune: bool = True,
 ) -> DataFrame:
     """Best ``k`` items per base as ``(base, item, score, rank)`` rows.
 
@@ -282,6 +286,7 @@ def top_matches(
     ``group_col`` (integer) restricts matches to the same group; a large group is cut
     into more blocks. ``exclude`` holds ``(base, item)`` pairs that must not appear.
     Ids are integers, unique per side; rows without an id or a vector are left out.
+    From ``PRUNE_PAIRS`` pairs on, bounds are tried first (``pruned``), which give the same rows.
     """
     spark = base.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
@@ -297,12 +302,24 @@ def top_matches(
             F.col(vec_col).alias("vec"),
         )
 
+    def by_bounds(pairs: float) -> DataFrame | None:
+        from sorrel.operators import pruned
+
+        known = metric in pruned.METRICS and not (group_col and (metric == "dot" or not self_join))
+        if not (prune and known and pairs >= PRUNE_PAIRS):
+            return None
+        return pruned.top_matches_pruned(base, items, k, metric, id_col, vec_col, group_col, exclude_self, exclude)
+
     left, right = shaped(base), shaped(base if self_join else items)
     if group_col:
-        left, right, pairs = _grouped_blocks(left, right, self_join)
+        left, right, pairs, work = _grouped_blocks(left, right, self_join)
+        if (bounded := by_bounds(work)) is not None:
+            return bounded
     else:
         n_left = left.count()
         n_right = n_left if self_join else right.count()
+        if (bounded := by_bounds(n_left * n_right)) is not None:
+            return bounded
         nl = _blocks(n_left, parallelism)
         nr = nl if self_join else _blocks(n_right, parallelism)
         if exclude is not None:
@@ -355,8 +372,8 @@ def top_matches(
     return ranked.withColumn("score", -F.col("score")) if metric in LOWER_IS_BETTER else ranked
 
 
-def _grouped_blocks(left: DataFrame, right: DataFrame, self_join: bool) -> tuple[DataFrame, DataFrame, int]:
-    """Attaches the number of blocks per group; groups are cut alike, by the total work."""
+def _grouped_blocks(left: DataFrame, right: DataFrame, self_join: bool) -> tuple[DataFrame, DataFrame, int, float]:
+    """Attaches the number of blocks per group; groups are cut alike, by the total work, which comes last."""
 
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(_GROUP).agg(F.count(F.lit(1)).alias(name))
@@ -374,7 +391,7 @@ def _grouped_blocks(left: DataFrame, right: DataFrame, self_join: bool) -> tuple
     )
     per_group = F.col("_nl").cast("bigint") * (F.col("_nl") + 1) / 2 if self_join else F.col("_nl").cast("bigint") * F.col("_nr")
     pairs = int(sizes.agg(F.sum(per_group)).head()[0] or 1)
-    return lookup_join(left, sizes, [_GROUP], ["id"]), lookup_join(right, sizes, [_GROUP], ["id"]), pairs
+    return lookup_join(left, sizes, [_GROUP], ["id"]), lookup_join(right, sizes, [_GROUP], ["id"]), pairs, work
 
 
 def keep_best(found: DataFrame, k: int) -> DataFrame:

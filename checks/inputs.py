@@ -112,6 +112,11 @@ ODD_STATEMENTS = (
     "with big as (select 1) select * from big",
     "select s_name from `supplier`",
     "select *, p_name from part where p_name = 'from nation, region'",
+    "select p.p_name from part p join supplier using (p_size)",
+    "select r.r_name, n_name from region r natural join nation",
+    "select extract(year from l_shipdate) as y from lineitem",
+    "select c_name from customer where c_mktsegment is distinct from c_name",
+    "select s_name /* from part */ from supplier -- join nation\nwhere s_name <> '-- no comment'",
 )
 
 

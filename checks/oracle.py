@@ -324,7 +324,8 @@ ORACLE: dict[str, str] = {
           t = '' AS unsupported
         FROM (SELECT event_id, event_type, k, unnest(CASE event_type WHEN 'view' THEN ['part', 'supplier']
           WHEN 'click' THEN ['region'] WHEN 'purchase' THEN ['orders', 'lineitem'] WHEN 'signup' THEN ['supplier']
-          ELSE CASE k % 8 WHEN 1 THEN ['part'] WHEN 2 THEN ['lineitem'] WHEN 7 THEN ['part'] ELSE [''] END END) AS t FROM ev)""",
+          ELSE CASE k % 13 WHEN 1 THEN ['part'] WHEN 2 THEN ['lineitem'] WHEN 7 THEN ['part'] WHEN 8 THEN ['part', 'supplier']
+            WHEN 9 THEN ['region', 'nation'] WHEN 12 THEN ['supplier'] ELSE [''] END END) AS t FROM ev)""",
     "query_log_columns": f"""WITH {_EVENTS}
         SELECT event_id AS query_id, split_part(c, '.', 1) AS "table", split_part(c, '.', 2) AS "column", c = '' AS unsupported
         FROM (SELECT event_id, unnest(CASE event_type
@@ -332,7 +333,8 @@ ORACLE: dict[str, str] = {
             WHEN 'click' THEN ['region.r_regionkey', 'region.r_name']
             WHEN 'purchase' THEN ['orders.o_orderkey', 'lineitem.l_quantity']
             WHEN 'signup' THEN ['supplier.s_name']
-            ELSE CASE k % 8 WHEN 1 THEN ['part.p_size'] WHEN 2 THEN ['lineitem.l_quantity', 'lineitem.l_extendedprice']
+            ELSE CASE k % 13 WHEN 1 THEN ['part.p_size'] WHEN 8 THEN ['part.p_name'] WHEN 9 THEN ['region.r_name', 'nation.n_name']
+              WHEN 12 THEN ['supplier.s_name'] WHEN 2 THEN ['lineitem.l_quantity', 'lineitem.l_extendedprice']
               WHEN 7 THEN ['part.p_partkey', 'part.p_name', 'part.p_brand', 'part.p_type', 'part.p_size', 'part.p_retailprice']
               ELSE [''] END END) AS c FROM ev)""",
     "als_predict": f"""WITH {_FACTORS}

@@ -148,6 +148,26 @@ def test_selected_columns(spark):
     ]
 
 
+def test_joins_without_on_comments_and_inner_froms(spark):
+    df = log(
+        spark, "select b.hull from crews join boats b using (mast)", "select b.hull, size from boats b natural join crews",
+        "select extract(year from hull) from boats", "select hull from boats where hull is distinct from mast",
+        "select hull -- , mast\nfrom boats -- join crews\nwhere mast = '--' and length > 1 /* from crews */",
+        "select substring(hull from 2) from boats", "select hull from boats left outer join crews on mast = size for update",
+        "select b.hull from boats tablesample (5 rows) b",
+    )
+    got = sorted((r["q"], r["table"] or "", r["unsupported"]) for r in query_log.tables(df, "q", "sql").collect())
+    assert got == [
+        (0, "boats", False), (0, "crews", False), (1, "boats", False), (1, "crews", False), (2, "", True), (3, "", True),
+        (4, "boats", False), (5, "", True), (6, "boats", False), (6, "crews", False), (7, "", True),
+    ]
+    catalogue = spark.createDataFrame(CATALOGUE, "table string, column string")
+    found = query_log.selected_columns(df, "q", "sql", catalogue).where("not unsupported").collect()
+    assert sorted((r["q"], r["table"], r["column"]) for r in found) == [
+        (0, "boats", "hull"), (1, "boats", "hull"), (1, "crews", "size"), (4, "boats", "hull"), (6, "boats", "hull"),
+    ]
+
+
 def test_names_of_a_log_need_no_shuffle(spark, capsys):
     query_log.tables(log(spark, "select a from t"), "q", "sql").explain()
     assert "Exchange" not in capsys.readouterr().out

@@ -12,6 +12,7 @@ from sorrel.operators.serving import deletes, latest, lookup, puts
 from sorrel.operators.similar_lists import apply_changes, latest_changes
 from sorrel.schemas import OFFLINE_CB, SIMILAR_PER_ITEM
 from sorrel.session import materialise
+from sorrel.sinks.list_store import ListStore, Touched
 from sorrel.sinks.serving import append_batch, read_changes
 
 
@@ -60,3 +61,30 @@ def batch_writer(
         append_batch(materialise(list_changes(before, after, batch_id + 1)), lists_path, batch_id + 1)
 
     return write
+
+
+def block_writer(
+    store: ListStore,
+    lists_path: str,
+    read_catalogue: Callable[[SparkSession], DataFrame],
+    id_col: str,
+    vec_col: str,
+    touched: list[Touched] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function over a list store: a batch reads and writes only blocks that it can alter.
+
+    The serving table at ``lists_path`` gets the lists that came out different. ``touched`` gets what each batch
+    read and wrote.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        ordered = batch.withColumn("_order", F.struct("sequence", F.monotonically_increasing_id().alias("line")))
+        changes = materialise(latest_changes(ordered, "_order"))
+        before, after, what = store.apply(changes, read_catalogue(batch.sparkSession), id_col, vec_col, batch_id + 1)
+        append_batch(materialise(list_changes(before, after, batch_id + 1)), lists_path, batch_id + 1)
+        if touched is not None:
+            touched.append(what)
+
+    return write

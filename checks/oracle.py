@@ -372,5 +372,23 @@ ORACLE: dict[str, str] = {
         FROM c GROUP BY l_orderkey""",
 }
 ORACLE |= {f"{name}_vector": ORACLE[name] for name in ("sim_cosine", "sim_pearson", "sim_adjusted_cosine", "sim_euclidean")}
+
+
+def _als_rank_two(iterations: int, reg: float) -> str:
+    """Alternating least squares with two factors; two by two systems are solved by their determinant."""
+    unit = "('0x' || substr(md5('als-42-{}-' || item_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 / sqrt(2.0)"
+    steps = [f"i0 AS (SELECT item_id AS id, {unit.format(0)} AS a, {unit.format(1)} AS b FROM (SELECT DISTINCT item_id FROM scores))"]
+    half = """{new} AS (SELECT id, (x * q - y * p) / (o * q - p * p) AS a, (y * o - x * p) / (o * q - p * p) AS b FROM (
+      SELECT {mine} AS id, sum(a * a) + {reg} * count(*) AS o, sum(a * b) AS p, sum(b * b) + {reg} * count(*) AS q,
+        sum(score * a) AS x, sum(score * b) AS y FROM scores JOIN {old} ON {other} = id GROUP BY {mine}))"""
+    for n in range(1, iterations + 1):
+        steps.append(half.format(new=f"u{n}", mine="user_id", other="item_id", old=f"i{n - 1}", reg=reg))
+        steps.append(half.format(new=f"i{n}", mine="item_id", other="user_id", old=f"u{n}", reg=reg))
+    return f"""WITH {_SCORES}, {', '.join(steps)}
+        SELECT 'user' AS kind, id, round(a, 6) AS f0, round(b, 6) AS f1 FROM u{iterations}
+        UNION ALL SELECT 'item', id, round(a, 6), round(b, 6) FROM i{iterations}"""
+
+
+ORACLE["als_block_factors"] = _als_rank_two(2, 0.1)
 #: The same rows, found by bounds.
 ORACLE |= {f"{name}_bounds": ORACLE[name] for name in ("topn_cosine", "topn_euclidean", "cluster_nearest", "als_topn_unseen")}

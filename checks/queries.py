@@ -13,7 +13,7 @@ from sorrel import schemas
 from sorrel.functions import similarity
 from sorrel.functions.ip import ip_to_num
 from sorrel.functions.lists import decode_scored, encode_scored
-from sorrel.operators import als, behaviour, cells, clustering, query_log, ranges, realtime, serving, similar_lists
+from sorrel.operators import als, behaviour, cells, clustering, factorise, query_log, ranges, realtime, serving, similar_lists
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.ranking import global_index, unseen_stretches
 from sorrel.operators.pruned import top_matches_pruned
@@ -500,6 +500,14 @@ def als_factors(spark, d):
     return als.factors(als.fit(_scores(spark, d)))
 
 
+@query
+def als_block_factors(spark, d):
+    found = factorise.factorise(_scores(spark, d), rank=2, iterations=2, reg=0.1)
+    both = found.users.withColumn("kind", F.lit("user")).unionByName(found.items.withColumn("kind", F.lit("item")))
+    value = lambda i: F.round(F.col("features")[i], 6).alias(f"f{i}")
+    return both.select("kind", "id", value(0), value(1))
+
+
 @query
 def als_grid(spark, d):
     return als.grid_search(_scores(spark, d))[1]

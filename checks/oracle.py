@@ -390,5 +390,25 @@ def _als_rank_two(iterations: int, reg: float) -> str:
 
 
 ORACLE["als_block_factors"] = _als_rank_two(2, 0.1)
+
+
+def _lloyd(k: int, steps: int) -> str:
+    """Lloyd steps from the items with the least hashes, and what their clusters cost with the last centres."""
+    unit = "('0x' || substr(md5('kmeans-42-' || id), 1, 13))::BIGINT"
+    parts = [f"""c0 AS (SELECT (row_number() OVER (ORDER BY h, id) - 1)::INTEGER AS c, e FROM (
+      SELECT id, e, {unit} AS h FROM v ORDER BY h, id LIMIT {k}))"""]
+    near = """n{0} AS (SELECT id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+      SELECT id, c, list_sum(list_transform(range(1, len(v.e) + 1), lambda i: (v.e[i] - c{0}.e[i]) * (v.e[i] - c{0}.e[i]))) AS d
+      FROM v, c{0}) GROUP BY id)"""
+    for n in range(steps):
+        parts.append(near.format(n))
+        parts.append(f"""c{n + 1} AS (SELECT c, list(m ORDER BY i) AS e FROM (
+          SELECT c, i, avg(x) AS m FROM (SELECT n{n}.c, unnest(v.e) AS x, unnest(range(len(v.e))) AS i FROM n{n} JOIN v USING (id))
+          GROUP BY c, i) GROUP BY c UNION ALL SELECT c, e FROM c{n} WHERE c NOT IN (SELECT c FROM n{n}))""")
+    parts.append(near.format(steps))
+    return f"WITH {_VECS}, {', '.join(parts)} SELECT c AS cluster, count(*) AS n_items, round(sum(d), 6) AS cost FROM n{steps} GROUP BY c"
+
+
+ORACLE["kmeans_bounded"] = _lloyd(5, 3)
 #: The same rows, found by bounds.
 ORACLE |= {f"{name}_bounds": ORACLE[name] for name in ("topn_cosine", "topn_euclidean", "cluster_nearest", "als_topn_unseen")}

@@ -13,7 +13,7 @@ from sorrel import schemas
 from sorrel.functions import similarity
 from sorrel.functions.ip import ip_to_num
 from sorrel.functions.lists import decode_scored, encode_scored
-from sorrel.operators import als, behaviour, cells, clustering, factorise, query_log, ranges, realtime, serving, similar_lists
+from sorrel.operators import als, behaviour, cells, clustering, factorise, kmeans, query_log, ranges, realtime, serving, similar_lists
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.ranking import global_index, unseen_stretches
 from sorrel.operators.pruned import top_matches_pruned
@@ -168,6 +168,14 @@ def cluster_nearest(spark, d):
     return found.select(F.col("label").cast("int").alias("label"), "base", "item", F.col("score").alias("dist"), F.col("rank").cast("int").alias("rank"))
 
 
+@query
+def kmeans_bounded(spark, d):
+    data = kmeans.prepared(inputs.vectors(spark, d), ID, VEC)
+    found = kmeans.lloyd(data, kmeans.hash_seeds(data, 5), 3)[-1]
+    sums = found.assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_items"), F.round(F.sum("square"), 6).alias("cost"))
+    return sums.select(F.col("cluster").cast("int").alias("cluster"), "n_items", "cost")
+
+
 @query
 def cluster_nearest_bounds(spark, d):
     items = inputs.vectors(spark, d)

@@ -32,19 +32,31 @@ def _aligned_blocks(start: Column, end: Column) -> Column:
     return F.filter(F.flatten(F.transform(levels, at_level)), lambda b: b.isNotNull())
 
 
+def range_fault(start: Column, end: Column) -> Column:
+    """Why a range covers no address: ``start``, ``end``, ``reversed`` or ``outside``; null if it does."""
+    return (
+        F.when(start.isNull(), "start").when(end.isNull(), "end").when(start > end, "reversed")
+        .when((start < 0) | (end >= 1 << ADDRESS_BITS), "outside")
+    )
+
+
+def rejected_ranges(ranges: DataFrame) -> DataFrame:
+    """The ranges that the location leaves out, with the reason."""
+    return ranges.withColumn("reject_reason", range_fault(F.col("start"), F.col("end"))).where("reject_reason is not null")
+
+
 def numbered_ranges(ranges: DataFrame) -> DataFrame:
     """Unique valid ranges with their ``priority``: narrower first, then lower start.
 
     Width and start have 32 bits each and share one signed 64-bit number, so the best
     of several ranges is a plain minimum. Of equal ranges the lowest label stays.
     """
-    valid = ranges.where("start <= end and start >= 0").select(
+    valid = ranges.where(range_fault(F.col("start"), F.col("end")).isNull()).select(
         F.col("start").cast("bigint"), F.col("end").cast("bigint"), "location"
     )
     width = F.col("end") - F.col("start")
     return (
-        valid.where(F.col("end") < (1 << ADDRESS_BITS))
-        .groupBy("start", "end")
+        valid.groupBy("start", "end")
         .agg(F.min("location").alias("location"))
         .withColumn("priority", (width - (1 << 31)) * (1 << 32) + F.col("start"))
     )

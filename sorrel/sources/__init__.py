@@ -1 +1 @@
-"""Readers for files, catalogue tables, streams and checkpoints."""
+"""Readers for files, catalogue tables and streams."""

@@ -1,14 +1,15 @@
+import datetime
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from sorrel import schemas
 from sorrel.operators import behaviour
 from sorrel.plans import collaborative, content, location
 from sorrel.sinks import jdbc, kafka
-from sorrel.sources import catalogue, checkpoints, excel, files, streams
+from sorrel.sources import excel, files, streams
 
 
 def test_items_are_trimmed_and_bad_lines_flagged(spark, tmp_path):
@@ -79,6 +80,38 @@ def test_folder_of_workbooks(spark, tmp_path):
     assert got == sorted([(1, "north", 2.5), (2, None, 3.0), (7, "é", None), (None, "x", None)], key=repr)
 
 
+def test_cell_types_and_the_first_sheet_of_the_workbook(spark, tmp_path):
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    sheet = f"""<worksheet xmlns="{main}"><sheetData>
+      <row r="1">{''.join(f'<c r="{c}1" t="inlineStr"><is><t>{n}</t></is></c>' for c, n in zip("ABCDE", ("id", "open", "day", "at", "bad")))}</row>
+      <row r="2"><c r="A2"><v>1</v></c><c r="B2" t="b"><v>1</v></c><c r="C2"><v>45000</v></c><c r="D2"><v>45000.75</v></c><c r="E2" t="e"><v>#DIV/0!</v></c></row>
+      <row r="3"><c r="A3"><v>2</v></c><c r="B3" t="b"><v>0</v></c><c r="C3" t="inlineStr"><is><t>2024-02-03</t></is></c></row></sheetData></worksheet>"""
+    for name, late in (("a", ""), ("b", '<workbookPr date1904="1"/>')):
+        with zipfile.ZipFile(tmp_path / f"{name}.xlsx", "w") as book:
+            book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}">{late}<sheets><sheet name="x" r:id="r2"/><sheet name="y" r:id="r1"/></sheets></workbook>')
+            book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/>'
+                          '<Relationship Id="r2" Target="worksheets/sheet2.xml"/></Relationships>')
+            book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData/></worksheet>')
+            book.writestr("xl/worksheets/sheet2.xml", sheet)
+    kinds = (("id", IntegerType()), ("open", BooleanType()), ("day", DateType()), ("at", TimestampType()), ("bad", StringType()))
+    rows = excel.workbooks(spark, str(tmp_path), StructType([StructField(n, k) for n, k in kinds])).withColumn("at", F.col("at").cast("string"))
+    day = datetime.date
+    assert sorted((tuple(r) for r in rows.collect()), key=str) == [
+        (1, True, day(2023, 3, 15), "2023-03-15 18:00:00", None), (1, True, day(2027, 3, 16), "2027-03-16 18:00:00", None),
+        (2, False, day(2024, 2, 3), None, None), (2, False, day(2024, 2, 3), None, None),
+    ]
+
+
+def test_unreadable_ranges_and_log_lines_come_out(spark, tmp_path):
+    line = lambda a, b: f"x|x|{a}|{b}|x|x|c|p|x|t|x|x|x|d|i"
+    ranges, log = tmp_path / "ranges.txt", tmp_path / "log.txt"
+    ranges.write_text("\n".join([line(1, 9), line("a", 9), line(1, ""), line(9, 1), line(1, 2**32), "short"]) + "\n")
+    log.write_text("x|1.2.3.4\nx|300.1.1.1\nx\n")
+    assert [tuple(r) for r in files.ip_ranges(spark, str(ranges)).collect()] == [(1, 9, "c-p-t-d-i")]
+    assert sorted(r["reject_reason"] for r in files.rejected_ip_ranges(spark, str(ranges)).collect()) == ["end", "outside", "reversed", "start", "start"]
+    assert sorted(tuple(r) for r in files.rejected_log_lines(spark, str(log)).collect()) == [("x", "arity"), ("x|300.1.1.1", "address")]
+
+
 def test_kafka_options():
     options = streams.kafka_options("h:1", ["t1", "t2"], reset="smallest", consumer_threads=2)
     assert options == {
@@ -91,27 +124,6 @@ def test_kafka_options():
     assert streams.kafka_options("h:1", ["t"], starting_offsets='{"t":{"0":5}}')["startingOffsets"] == '{"t":{"0":5}}'
 
 
-def test_checkpoint_offset_is_numeric_newest(spark, tmp_path):
-    for batch, offset in ((2, "a"), (9, "b"), (10, "2400000001667289")):
-        (tmp_path / str(batch)).write_text(f'v1\n{{"batchWatermarkMs":0}}\n{offset}\n')
-    (tmp_path / ".11.tmp.crc").write_text("x")
-    (tmp_path / "99.tmp").write_text("x")
-    rows = checkpoints.latest_checkpoint_offset(spark, str(tmp_path)).collect()
-    assert [tuple(r) for r in rows] == [(10, "2400000001667289")]
-
-
-def test_empty_checkpoint(spark, tmp_path):
-    assert checkpoints.latest_checkpoint_offset(spark, str(tmp_path)).count() == 0
-
-
-def test_catalogue_columns(spark):
-    spark.createDataFrame([(1, "a")], "id int, name string").createOrReplaceTempView("people_view")
-    got = [tuple(r) for r in catalogue.catalogue_columns(spark, ["people_view"]).orderBy("position").collect()]
-    assert got == [("people_view", 0, "id", "int"), ("people_view", 1, "name", "string")]
-    options = catalogue.jdbc_columns_options("jdbc:x", "drv", ["people", "o'k"], user="u")
-    assert "in ('people', 'o''k')" in options["query"] and options["user"] == "u"
-
-
 def test_table_scan_by_database(spark):
     spark.sql("create database if not exists testdb")
     spark.sql("create view testdb.items_v as select 1 as id")

@@ -1,6 +1,6 @@
 """Near-duplicate detection by an inverted join over MinHash coordinates, confirmed on full sets.
 
-Documents with the same shingle set are one *node*, named by their smallest id. A node's
+Documents with the same shingle set are one *node*, found by a digest of the set and numbered. A node's
 signature has ``COORDINATES`` values, each the hash of ``ROWS`` minima, so that unrelated
 texts seldom agree in one. Nodes are posted under every (coordinate, value) pair. Two sets
 with similarity 0.8 agree in fewer than ``MATCHES`` of 32 coordinates with a probability of
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from sorrel.llm.common import bound_rows, shuffle_partitions, stored
 from sorrel.llm.components import connected_components
 from sorrel.llm.tokens import U, gram_hashes, mix, word_hashes
+from sorrel.operators.joins import lookup_join
 
 COORDINATES, ROWS, MATCHES = 32, 3, 3
 SHORT_LIST = 64
@@ -65,6 +66,11 @@ def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     return out
 
 
+def digest_of(shingles: np.ndarray, multipliers: np.ndarray) -> bytes:
+    """128 bits that name a shingle set."""
+    return b"".join(int(np.add.reduce(mix(shingles * m), dtype=U)).to_bytes(8, "big") for m in multipliers[:2])
+
+
 def _sign(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = _multipliers(COORDINATES * ROWS)
@@ -75,8 +81,7 @@ def _sign(size: int):
                 ns.append(len(shingles))
                 one = signature(shingles, multipliers) if len(shingles) else np.zeros(0, dtype=U)
                 values.append(one.view(np.int64))
-                sums = [int(np.add.reduce(mix(shingles * m))) if len(shingles) else 0 for m in multipliers[:2]]
-                digests.append(b"".join(s.to_bytes(8, "big") for s in sums))
+                digests.append(digest_of(shingles, multipliers))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(values, pa.list_(pa.int64()))],
@@ -92,10 +97,19 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(size: int):
+    """The set of each wanted node, from the text under its id that has it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        multipliers = _multipliers(2)
         for batch in bound_rows(batches, "text"):
-            sets = [shingle_set(t.as_py(), size).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
+            nodes, sets = [], []
+            columns = (batch.column(c).to_pylist() for c in ("node", "digest", "text"))
+            for node, digest, text in zip(*columns):
+                shingles = shingle_set(text, size)
+                if digest_of(shingles, multipliers) == digest:
+                    nodes.append(node)
+                    sets.append(shingles.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
 
     return run
 
@@ -136,11 +150,10 @@ def _short_pairs(lists: DataFrame) -> DataFrame:
 
 def block_links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Exact links between components within one pair of blocks, as many as it takes to connect what they connect."""
-    nodes, comps = frame["node"].to_numpy(), frame["component"].to_numpy()
-    side = frame["side"].to_numpy()
+    nodes, side = frame["node"].to_numpy(), frame["side"].to_numpy()
     crossing = side.min() != side.max()
-    names, counts = np.unique(comps, return_counts=True)
-    main = names[counts.argmax()]
+    comps, names = pd.factorize(frame["component"])
+    main = np.bincount(comps).argmax()
     strays = np.flatnonzero(comps != main)
     if not len(strays):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
@@ -150,7 +163,7 @@ def block_links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     owners = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(shingles, kind="stable")
     shingles, owners = shingles[order], owners[order]
-    out, root = [], {c: c for c in names.tolist()}
+    out, root = [], list(range(len(names)))
 
     def find(c: int) -> int:
         while root[c] != c:
@@ -170,7 +183,7 @@ def block_links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
         # One link per component, and none between components that are connected by now.
         linked = np.flatnonzero(fits)
         for y in linked[np.unique(comps[linked], return_index=True)[1]]:
-            one, other = find(int(comps[x])), find(int(comps[y]))
+            one, other = find(comps[x]), find(comps[y])
             if one != other:
                 root[one] = other
                 out.append((nodes[x], nodes[y]))
@@ -194,22 +207,26 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int, block: int)
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``.
 
-    Rows without words, or without an id, are linked with nothing and kept. Repeated rows
-    share a component, whose smallest id is kept with every row that bears it; different
-    texts under one id count as one document. An empty table gives an empty result.
+    Rows without words, or without an id, are linked with nothing and kept. Rows with one id are
+    one document: the sets of all its texts with words are linked, whatever their order, and its rows
+    are kept if its id is the smallest of the component. Very long texts are hashed whole. Further columns
+    do not matter; an empty table gives an empty result.
     """
     signed = stored(signatures(docs, shingle))
-    classes = stored(signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "digest").agg(
-        F.min("doc_id").alias("node"), F.min_by("signature", "doc_id").alias("signature")
-    ))
+    worded = signed.where("n_shingles > 0 and doc_id is not null")
+    classes = worded.groupBy("digest").agg(F.min("doc_id").alias("least"), F.any_value("signature").alias("signature"))
+    # Numbered as they are stored, so that every later step sees the same numbers.
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
     posted = classes.select("node", F.explode("signature").alias("key"))
     lists = posted.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first")).where("size > 1")
     live = stored(posted.join(lists, "key"))
     # Fewer shared lists than the threshold leave no candidate.
-    wanted = live.groupBy("node").count().where(F.col("count") >= MATCHES).select(F.col("node").alias("_wanted"))
+    wanted = live.groupBy("node").count().where(F.col("count") >= MATCHES).select("node")
+    named = classes.join(wanted, "node").select(F.col("least").alias("_id"), "node", "digest")
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-    needed = texts.join(wanted, F.col("_id") == F.col("_wanted"), "left_semi").dropDuplicates(["_id"])
-    sets = stored(needed.select(F.col("_id").alias("node"), "text").mapInArrow(_sets(shingle), "node long, set binary"))
+    # Another text under the same id has another set, and repeated rows have one.
+    needed = texts.join(named, "_id").dropDuplicates(["_id", "node", "text"]).select("node", "digest", "text")
+    sets = stored(needed.mapInArrow(_sets(shingle), "node long, set binary"))
 
     stars = live.where("node <> first").groupBy("node", "first").count().where(F.col("count") >= MATCHES)
     ranked = F.slice(F.sort_array(F.collect_list(F.struct(F.col("count"), F.col("first"))), asc=False), 1, 2)
@@ -228,12 +245,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     more = stored(short.union(_block_links(members, sets, percent, block)))
     # Components found first stand for their nodes, so their links need not be walked again.
     first = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-    final = connected_components(first.union(more))
-
-    ids = classes.select("n_shingles", "digest", F.col("node").alias("class_id")).join(
-        final, F.col("class_id") == F.col("node"), "left"
-    ).select("n_shingles", "digest", F.coalesce("component", "class_id").alias("component_id"))
-    known = signed.select("doc_id", "n_shingles", "digest").join(ids, ["n_shingles", "digest"], "left")
+    mark = F.xxhash64("digest")
+    shared = worded.groupBy("doc_id").agg(F.min(mark).alias("b"), F.max(mark).alias("c")).where("b <> c").select("doc_id")
+    borne = worded.join(shared, "doc_id").select("doc_id", "digest").distinct()
+    borne = stored(borne.join(classes.select("digest", "node"), "digest").select("doc_id", F.col("node").alias("a")))
+    same_id = borne.join(borne.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b").where("a <> b")
+    final = connected_components(first.union(more).union(same_id))
+
+    placed = classes.join(final, "node", "left").select("digest", "node", "least", F.coalesce("component", "node").alias("part"))
+    least = placed.groupBy("part").agg(F.min("least").alias("component_id"))
+    ids = lookup_join(placed.select("digest", "node", "part"), stored(least), ["part"], ["node"]).select("digest", "component_id")
+    # Without words the digest is that of the empty set, which is no node.
+    known = signed.select("doc_id", "n_shingles", "digest").join(ids, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return known.select(
         "doc_id", "n_shingles", component.alias("component_id"),

@@ -2,12 +2,16 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from brute import near_components, repeated_bytes, repeated_words, sha
 from pyspark.sql import functions as F
 
 from sorrel.llm import exact_dedup, near_dedup, substring_dedup, suffix_dedup
 from sorrel.llm.components import connected_components
+from sorrel.llm.repeats import KINDS, Unit, settle_anchors
+from sorrel.llm.tokens import BASES, stretch_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -155,3 +159,43 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(10, 60)] + [(100, 101), (5, 5)]
     found = dict(connected_components(spark.createDataFrame(chain, "a long, b long")).collect())
     assert found == {**{i: 10 for i in range(10, 61)}, 100: 100, 101: 100}
+
+
+def test_a_million_contexts_of_one_run_are_told_apart():
+    """Equal around the run, different further out: no text may pass for a copy of another."""
+    unit, rng, width = Unit(words=False, length=50, gram=20, own=False), np.random.default_rng(6), 80
+    texts = np.full((1_000_000, width), 97, np.uint8)
+    texts[:, :8] = np.arange(1_000_000, dtype=np.uint64)[:, None].view(np.uint8)
+    texts[:, -6:] = rng.integers(0, 256, (1_000_000, 6))
+    hashes = {base: [] for base in BASES}
+    for part in np.array_split(texts, 40):
+        starts = np.arange(len(part)) * width
+        for base in BASES:
+            hashes[base].append(stretch_hashes(part.ravel(), starts, starts + width, base))
+    context, more = (np.concatenate(hashes[base]) for base in (BASES[1], BASES[0]))
+    same = np.ones(1_000_000, np.int64)
+    columns = {"ids": np.arange(1_000_000), "checks": same, "at": same * 30, "run": same, "left": same, "right": same, "context": context,
+               "more": more >> np.uint64(32), "settled": same * 0}
+    packed = {k: np.ascontiguousarray(v.astype(KINDS[k])).tobytes() for k, v in columns.items()}
+    found = settle_anchors(pd.DataFrame([{"to": 0, **packed}]), unit, 4)
+    settled = np.frombuffer(b"".join(found["settled"]), np.int8)
+    assert len(settled) == 1_000_000 and (settled != 2).all()
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_texts_under_one_id_are_linked_in_any_order(spark, turned):
+    one, other = " ".join(f"a{n}" for n in range(40)), " ".join(f"b{n}" for n in range(40))
+    rows = [(1, one), (1, other), (2, one + " x"), (3, other + " y"), (4, "a text of its own")]
+    found = near_dedup.near_duplicates(frame(spark, rows[::-1] if turned else rows, 1), 2).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found) == [
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True),
+    ]
+
+
+def test_components_of_digests_with_a_hub(spark):
+    name = lambda n: f"{n:05d}".encode()
+    edges = [(name(500), name(n)) for n in range(2, 400)] + [(name(1), name(2)), (name(700), name(701))]
+    found = dict(connected_components(spark.createDataFrame(edges, "a binary, b binary")).collect())
+    assert {bytes(k): bytes(v) for k, v in found.items()} == {
+        **{name(n): name(1) for n in [*range(1, 400), 500]}, name(700): name(700), name(701): name(700),
+    }

@@ -135,16 +135,90 @@ def op9_minhash_near_dedup(spark, d):
     return near_dedup.near_duplicates(table(spark, d, "documents"), shingle=2, percent=80)
 
 
+ORACLE["op9_minhash_near_dedup"] = r"""
+with recursive lists as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) < 2 then list_transform(w, lambda x: [x])
+    else list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]]) end) as s from lists
+), sizes as (
+  select l.doc_id, count(s) as n from lists l left join shingles h on h.doc_id = l.doc_id group by l.doc_id
+), numbered as (
+  select doc_id, n, dense_rank() over (order by s) as s from shingles join sizes using (doc_id)
+), links as (
+  select a.doc_id as a, b.doc_id as b from numbered a join numbered b on a.s = b.s and a.doc_id <> b.doc_id
+    and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached as (
+  select doc_id as a, doc_id as b from lists union select r.a, l.b from reached r join links l on l.a = r.b
+)
+select z.doc_id, z.n as n_shingles, min(r.b) as component_id, z.doc_id = min(r.b) as kept
+from sizes z join reached r on r.a = z.doc_id group by z.doc_id, z.n
+"""
+
+
 @query
 def op2_substring_dedup(spark, d):
     return substring_dedup.remove_repeated_windows(table(spark, d, "documents"))
 
 
+ORACLE["op2_substring_dedup"] = r"""
+with lists as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, i, array_to_string(w[i : i + 19], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from lists)
+), later as (
+  select doc_id, i from (select doc_id, i, row_number() over (partition by s order by doc_id, i) as nth from windows) where nth > 1
+), marked as (
+  select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 20 then 0 else 1 end as fresh from later
+), spans as (
+  select doc_id, min(i) as a, max(i) + 20 as b from (
+    select doc_id, i, sum(fresh) over (partition by doc_id order by i) as span from marked
+  ) group by doc_id, span
+), gone as (
+  select doc_id, sum(b - a)::bigint as n_removed, list(a order by a) as starts, list(b order by a) as stops from spans group by doc_id
+)
+select l.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(array_to_string(
+  case when n_removed is null then w else flatten(list_transform(range(1, len(starts) + 2), lambda j:
+    w[(case when j = 1 then 1 else stops[j - 1] end) : (case when j > len(starts) then len(w) else starts[j] - 1 end)])) end, ' ')) as kept_sha256
+from lists l left join gone g on g.doc_id = l.doc_id
+"""
+
+
 @query
 def op6_suffix_dedup(spark, d):
     return suffix_dedup.remove_repeated_bytes(table(spark, d, "documents"))
 
 
+ORACLE["op6_suffix_dedup"] = """
+with texts as (
+  select doc_id, encode(coalesce(text, '')) as h from documents
+), windows as (
+  select doc_id, i, h[i + 1 : i + 50] as s
+  from (select doc_id, h, unnest(range(0, octet_length(h) - 49)) as i from texts)
+), firsts as (
+  select s, min(doc_id) as first from windows group by s having min(doc_id) < max(doc_id)
+), later as (
+  select doc_id, i from windows w join firsts f on f.s = w.s and w.doc_id > f.first
+), marked as (
+  select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as fresh from later
+), spans as (
+  select doc_id, min(i) as a, max(i) + 50 as b from (
+    select doc_id, i, sum(fresh) over (partition by doc_id order by i) as span from marked
+  ) group by doc_id, span
+), gone as (
+  select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans, list(a order by a) as starts, list(b order by a) as stops
+  from spans group by doc_id
+)
+select t.doc_id, octet_length(h)::bigint as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(case when n_removed is null then h else unhex(array_to_string(list_transform(range(1, len(starts) + 2), lambda j:
+    hex(h[(case when j = 1 then 1 else stops[j - 1] + 1 end) : (case when j > len(starts) then octet_length(h) else starts[j] end)])), '')) end)
+    as kept_sha256
+from texts t left join gone g on g.doc_id = t.doc_id
+"""
+
+
 @query
 def op11_hard_negatives(spark, d):
     rows = table(spark, d, "embeddings")

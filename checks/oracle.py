@@ -412,3 +412,4 @@ def _lloyd(k: int, steps: int) -> str:
 ORACLE["kmeans_bounded"] = _lloyd(5, 3)
 #: The same rows, found by bounds.
 ORACLE |= {f"{name}_bounds": ORACLE[name] for name in ("topn_cosine", "topn_euclidean", "cluster_nearest", "als_topn_unseen")}
+ORACLE |= {f"{name}_sweep": ORACLE[name] for name in ("ip_location", "ip_location_count")}

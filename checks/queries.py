@@ -17,6 +17,7 @@ from sorrel.operators import als, behaviour, cells, clustering, factorise, kmean
 from sorrel.operators.joins import lookup_join
 from sorrel.operators.ranking import global_index, unseen_stretches
 from sorrel.operators.pruned import top_matches_pruned
+from sorrel.operators.sweep import locate_by_sweep
 from sorrel.operators.topk import as_lists, as_rows, nearest_to_one, top_matches
 from sorrel.session import materialise
 from sorrel.sources.files import catalogue_table
@@ -58,6 +59,18 @@ def ip_location_count(spark, d):
     return ranges.location_counts(inputs.access_log(spark, d), inputs.ip_ranges(spark, d), "ip_num")
 
 
+@query
+def ip_location_count_sweep(spark, d):
+    return ranges.location_counts(inputs.access_log(spark, d), inputs.ip_ranges(spark, d), "ip_num", locate=locate_by_sweep)
+
+
+@query
+def ip_location_sweep(spark, d):
+    log, known = inputs.access_log(spark, d), inputs.ip_ranges(spark, d)
+    located = ranges.ip_location(log, known, "ip_num", ["event_id"], locate=locate_by_sweep)
+    return located.select("event_id", "ip", "ip_num", F.coalesce("location", F.lit("")).alias("location"))
+
+
 # Similarities and nearest items -------------------------------------------------
 
 

@@ -9,6 +9,8 @@ covers more than 65536 addresses.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,17 +101,19 @@ def locate(addresses: DataFrame, ranges: DataFrame, ip: str = "ip_num", keep: tu
     return lookup_join(best, numbered.select("priority", "location"), ["priority"], [ip]).select(ip, *keep, "location")
 
 
-def ip_location(log: DataFrame, ranges: DataFrame, ip: str, salt_on: list[str]) -> DataFrame:
+def ip_location(log: DataFrame, ranges: DataFrame, ip: str, salt_on: list[str], locate: Callable = locate) -> DataFrame:
     """Every log row with its location, null when no range holds the address.
 
     Addresses are located once each; the log meets the result in a join salted by
-    ``salt_on``, which must vary within an address.
+    ``salt_on``, which must vary within an address. ``locate`` may be ``sweep.locate_by_sweep``.
     """
     located = materialise(locate(log.select(ip).distinct(), ranges, ip))
     return lookup_join(log, located, [ip], salt_on, "left")
 
 
-def location_counts(log: DataFrame, ranges: DataFrame, ip: str, unmatched: bool = False) -> DataFrame:
+def location_counts(
+    log: DataFrame, ranges: DataFrame, ip: str, unmatched: bool = False, locate: Callable = locate
+) -> DataFrame:
     """Rows per location; addresses are counted first, so a busy address is one row afterwards.
 
     With ``unmatched``, rows outside all ranges or without a valid address count under a

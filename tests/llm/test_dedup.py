@@ -199,3 +199,23 @@ def test_components_of_digests_with_a_hub(spark):
     assert {bytes(k): bytes(v) for k, v in found.items()} == {
         **{name(n): name(1) for n in [*range(1, 400), 500]}, name(700): name(700), name(701): name(700),
     }
+
+
+def test_runs_are_merged_in_order_and_open_groups_go_on(spark, capsys):
+    rows = [(i, f"text {i % 7}" if i % 3 else "x" * 100_000) for i in range(900)] + [(None, "text 1"), (None, "alone")]
+    docs = frame(spark, rows, 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        first = exact_dedup.digests(docs, F.col("text"), 4).mapInArrow(exact_dedup._first_pieces, f"{exact_dedup.RUN}, _ids array<long>")
+        merged = exact_dedup.merge_runs(first, F.floor(F.col("_run") / 4).cast("int"))
+        merged.explain()
+        found = merged.collect()
+        per_part = merged.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plan = capsys.readouterr().out
+    assert plan.index("MapInArrow") < plan.index("Sort [_run") < plan.index("Exchange")
+    assert len({bytes(r["_sha"]) for r in found}) == len(found) == 9 and sum(r["_n"] for r in found) == 902
+    for part in {r["part"] for r in per_part}:
+        order = [bytes(r["_sha"]) for r in per_part if r["part"] == part]
+        assert order == sorted(order)

@@ -63,7 +63,8 @@ def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def sent() -> Iterator[pd.DataFrame]:
         for lang, words in counts.items():
-            yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+            if words:  # of texts without letters there is nothing to send
+                yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
         counts.clear()
 
     for frame in frames:
@@ -186,7 +187,8 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
 
     Null and letterless texts are ``und`` with score 0; so is every row if nothing could be
     learned. Repeated rows are predicted alike. A null id counts as the empty text in the
-    fold. An empty table gives an empty result.
+    fold. Very long texts are read whole, and further columns do not matter. An empty table
+    gives an empty result.
     """
     out = crc_bucket(F.col("doc_id"), folds) == held_out
     model = fit(docs, ~out)

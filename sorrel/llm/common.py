@@ -36,7 +36,8 @@ def stored(df: DataFrame) -> DataFrame:
 
     Cuts the lineage like a checkpoint, in columns and compressed, so a lost executor
     costs a new read and not a new computation. The shuffle files of the finished write
-    are of no further use and go at once.
+    are of no further use and go at once. The table itself goes when the driver ends, as
+    frames that read it may be in use until then.
     """
     spark = df.sparkSession
     path = shared_path(spark)
@@ -48,6 +49,8 @@ def stored(df: DataFrame) -> DataFrame:
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -58,7 +59,7 @@ def _with_run_starts(key: str):
             same = pc.or_(pc.fill_null(pc.equal(after, before), False), pc.and_(pc.is_null(after), pc.is_null(before)))
             head = at > 0 and (keys[0].equals(last) or not (keys[0].is_valid or last.is_valid))
             fresh = pa.concat_arrays([pa.array([not head]), pc.invert(same)])
-            places = pa.array(range(at, at + len(keys)), pa.int64())
+            places = pa.array(np.arange(at, at + len(keys), dtype=np.int64))
             starts = pc.fill_null(pc.fill_null_forward(pc.if_else(fresh, places, pa.scalar(None, pa.int64()))), start)
             yield pa.RecordBatch.from_arrays([*batch.columns, starts], names=[*batch.schema.names, "_start"])
             at, start, last = at + len(keys), starts[-1].as_py(), keys[-1]
@@ -125,7 +126,7 @@ def _gaps_of_runs(total: int):
 
 
 def _all(value: int, like: pa.Array) -> pa.Array:
-    return pa.array([value] * len(like), pa.int64())
+    return pa.array(np.full(len(like), value, dtype=np.int64))
 
 
 def _rows(keys: pa.Array, first: pa.Array, last: pa.Array, edge: int) -> pa.RecordBatch:

@@ -72,11 +72,12 @@ def splitters(corpus: Corpus, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
 def range_groups(lead_splits: np.ndarray, string_splits: np.ndarray):
     def address(batch: Batch, starts: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lead = leading(batch.values, starts)
-        to, stop = np.searchsorted(lead_splits, lead, "left"), np.searchsorted(lead_splits, lead, "right")
-        tied = np.flatnonzero(to < stop)
-        for low in np.unique(to[tied]):
-            rows = tied[to[tied] == low]
-            to[rows] = low + np.searchsorted(string_splits[low : stop[rows[0]]], strings[rows], "right")
+        low, stop = np.searchsorted(lead_splits, lead, "left"), np.searchsorted(lead_splits, lead, "right")
+        to, tied = low.copy(), np.flatnonzero(low < stop)
+        for first in np.unique(low[tied]):
+            # By the first splitter and not by the group: strings above the last splitter of their lead go where the next lead begins.
+            rows = tied[low[tied] == first]
+            to[rows] = first + np.searchsorted(string_splits[first : stop[rows[0]]], strings[rows], "right")
         return to, lead
 
     return address
